@@ -12,6 +12,7 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
+from functools import cached_property
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,9 +33,10 @@ from waymark.operators.sampling import sample_users  # noqa: E402
 from waymark.plans.friends import friends_mart  # noqa: E402
 from waymark.plans.user_geo import user_geo_mart  # noqa: E402
 from waymark.plans.zone import zone_mart  # noqa: E402
+from waymark.schemas import MESSAGE_CITY, USER_GEO_MART  # noqa: E402
 from waymark.sources.cities import known_cities, load_cities, with_timezone  # noqa: E402
 from waymark.sources.events import events_window, ingest_events, read_events  # noqa: E402
-from waymark.sources.tables import scratch_path  # noqa: E402
+from waymark.sources.tables import read_table, scratch_path, write_table  # noqa: E402
 from waymark.sources.testdata import geo_log  # noqa: E402
 
 HOME_DAYS = 4
@@ -47,32 +49,51 @@ def _ntz(df: DataFrame, *columns: str) -> DataFrame:
 
 
 class _Inputs:
-    """The stages of the data flow, derived lazily from one directory of tables."""
+    """The stages of the data flow, derived from one directory of tables.
+
+    ``message_city`` and ``user_geo`` are lazy. Queries that use one of them more than once
+    take the ``stored_`` form, handed on through Parquet as between the jobs, so that the
+    log is matched with the cities once.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = use_utc(spark)
         self.events = geo_log(spark, sf_dir)
         self.cities = known_cities(spark)
 
-    @property
+    def _stored(self, df: DataFrame, name: str, schema) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        write_table(df, path)
+        return read_table(self.spark, path, schema, name)
+
+    @cached_property
     def messages(self) -> DataFrame:
         return normalize_messages(self.events)
 
-    @property
+    @cached_property
     def message_city(self) -> DataFrame:
         return nearest.message_city(self.events, self.cities)
 
-    @property
+    @cached_property
+    def stored_message_city(self) -> DataFrame:
+        return self._stored(self.message_city, "message_city", MESSAGE_CITY)
+
+    @cached_property
     def streaks(self) -> DataFrame:
         return streaks.day_streaks(streaks.daily_presence(self.message_city))
 
-    @property
+    @cached_property
     def user_geo(self) -> DataFrame:
         return user_geo_mart(self.message_city, self.cities, HOME_DAYS)
 
-    @property
+    @cached_property
+    def stored_user_geo(self) -> DataFrame:
+        users = user_geo_mart(self.stored_message_city, self.cities, HOME_DAYS)
+        return self._stored(users, "user_geo", USER_GEO_MART)
+
+    @cached_property
     def pairs(self) -> DataFrame:
-        return pairs.shared_channel_pairs(self.user_geo, self.events)
+        return pairs.shared_channel_pairs(self.stored_user_geo, self.events)
 
 
 def _haversine_to_city(spark, sf_dir):
@@ -207,7 +228,7 @@ def _calendar_buckets(spark, sf_dir):
 
 def _registrations(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    return activity.registrations(at.message_city, at.user_geo)
+    return activity.registrations(at.stored_message_city, at.stored_user_geo)
 
 
 def _activity_week(spark, sf_dir):
@@ -223,7 +244,7 @@ def _activity_month(spark, sf_dir):
 
 def _zone_mart(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    return zone_mart(at.events, at.message_city, at.user_geo)
+    return zone_mart(at.events, at.stored_message_city, at.stored_user_geo)
 
 
 def _shared_channel_pairs(spark, sf_dir):
@@ -242,24 +263,26 @@ def _exclude_contacts(spark, sf_dir):
 def _within_km(spark, sf_dir):
     """People who wrote to each other and came within 3 km."""
     at = _Inputs(spark, sf_dir)
-    return proximity.within_km(pairs.direct_contacts(at.events), at.message_city, 3.0)
+    return proximity.within_km(pairs.direct_contacts(at.events), at.stored_message_city, 3.0)
 
 
 def _within_km_haversine(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
     contacts = pairs.direct_contacts(at.events)
-    return proximity.within_km(contacts, at.message_city, 3.0, metric="haversine")
+    return proximity.within_km(contacts, at.stored_message_city, 3.0, metric="haversine")
 
 
 def _near_pairs(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    members = pairs.channel_members(at.user_geo, at.events)
-    return proximity.near_pairs(at.message_city, members, ["city", "channel"], keep=["city"])
+    members = pairs.channel_members(at.stored_user_geo, at.events)
+    return proximity.near_pairs(at.stored_message_city, members, ["city", "channel"], keep=["city"])
 
 
 def _friends_mart(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    found = friends_mart(at.user_geo, at.events, at.message_city, at.cities, AS_OF)
+    found = friends_mart(
+        at.stored_user_geo, at.events, at.stored_message_city, at.cities, AS_OF
+    )
     return _ntz(found, "local_time")
 
 

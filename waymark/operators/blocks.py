@@ -29,12 +29,19 @@ def block_join(
     ``left`` and ``right`` must be disjoint in column names but for ``keys``; the spread
     columns are named with the prefix of their side, ``l_`` and ``r_``.
     """
-    sizes = lambda side, name: side.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    counted = sizes(left, "_n_left").join(sizes(right, "_n_right"), list(keys))
+    present = lambda left_rows, right_rows: [
+        F.lit(left_rows).alias("_n_left"), F.lit(right_rows).alias("_n_right")
+    ]
+    counted = (
+        left.select(*keys, *present(1, 0))
+        .unionByName(right.select(*keys, *present(0, 1)))
+        .groupBy(*keys)
+        .agg(F.sum("_n_left").alias("_n_left"), F.sum("_n_right").alias("_n_right"))
+    )
     blocks = lambda name: F.ceil(F.col(name) / block_rows).cast("int")
-    # Keys over the limit; at most one for every block_rows rows of input.
+    # Keys over the limit on a side; at most one for every block_rows rows of input.
     hot = counted.where(
-        (F.col("_n_left") > block_rows) | (F.col("_n_right") > block_rows)
+        (F.least("_n_left", "_n_right") > 0) & (F.greatest("_n_left", "_n_right") > block_rows)
     ).select(*keys, blocks("_n_left").alias("_blocks_l"), blocks("_n_right").alias("_blocks_r"))
 
     def dealt(side: DataFrame, own: str, other: str, prefix: str) -> DataFrame:

@@ -51,21 +51,33 @@ def _spread(here: Sequence[Column], there: Sequence) -> Column:
 
 def _with_literal_places(points: DataFrame, places: list, metric: str) -> DataFrame:
     """One generated expression per row: no join, no shuffle, no row explosion."""
-    located = [p for p in places if p["lat"] is not None and p["lon"] is not None]
+    located = sorted(
+        (p["city"], p["lat"], p["lon"])
+        for p in places
+        if p["lat"] is not None and p["lon"] is not None
+    )
     axes = _axes(F.col("lat"), F.col("lon"), metric)
     points = points.withColumns(dict(zip(_AXES, axes)))
-    here = [F.col(name) for name in _AXES[: len(axes)]]
-    options = [
-        F.struct(
-            _spread(here, _literal_axes(p["lat"], p["lon"], metric)).alias("spread"),
-            F.lit(p["city"]).alias("city"),
-            F.lit(p["lat"]).alias("lat"),
-            F.lit(p["lon"]).alias("lon"),
-        )
-        for p in located
-    ]
-    best = F.least(*options) if len(options) > 1 else options[0]
-    return points.withColumn("_best", best).drop(*_AXES)
+    # In order of name, so that the lower position wins a tie as the lower name would. The
+    # expression is given as one text: it is long, and quicker to parse than to assemble.
+    options = []
+    for at, (_, lat, lon) in enumerate(located):
+        offsets = [
+            f"({name} - ({value!r}D))" for name, value in zip(_AXES, _literal_axes(lat, lon, metric))
+        ]
+        spread = " + ".join(f"{offset} * {offset}" for offset in offsets)
+        options.append(f"named_struct('spread', {spread}, 'at', {at})")
+    best = options[0] if len(options) == 1 else f"least({', '.join(options)})"
+    points = points.withColumn("_least", F.expr(best))
+    at = F.col("_least.at")
+    names, lats, lons = (F.lit(list(values)) for values in zip(*located))
+    place = F.struct(
+        F.col("_least.spread").alias("spread"),
+        names[at].alias("city"),
+        lats[at].alias("lat"),
+        lons[at].alias("lon"),
+    )
+    return points.withColumn("_best", place).drop("_least", *_AXES)
 
 
 def _with_cell_candidates(points: DataFrame, places: DataFrame, metric: str) -> DataFrame:

@@ -94,6 +94,9 @@ def _side(boxes: DataFrame, prefix: str, cells: Column, name: str = "cell") -> D
 def _settle(met: DataFrame, points: DataFrame, km: float, metric: str) -> DataFrame:
     """Near pairs out of box meetings, which end in ``near``: whether that one is sure."""
     pair = met.columns[:-1]
+    # Spelled out, as the join below implies it for one branch only: with the same filter in
+    # both, they are the same plan up to here and share one exchange.
+    met = met.where(F.col("user_left").isNotNull() & F.col("user_right").isNotNull())
     judged = met.groupBy(*pair).agg(F.max("near").alias("near"))
     sure = judged.where("near").select(*pair)
     if metric != "planar":
