@@ -1,0 +1,132 @@
+import datetime as dt
+import math
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from waymark.functions.calendar import first_timestamp, local_time, parse_timestamp
+from waymark.functions.calendar import month_start, week_start
+from waymark.functions.distance import haversine_km, metric_function, planar_km
+from waymark.functions.events import event_actor
+from waymark.functions.grid import Grid
+
+
+def measure(spark, function, *points):
+    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+    return [r[0] for r in df.select(function(*map(F.col, "abcd"))).collect()]
+
+
+def test_haversine_known_distances(spark):
+    same, antipodes, pole, quarter = measure(
+        spark, haversine_km,
+        (-33.865, 151.2094, -33.865, 151.2094),
+        (-33.865, 151.2094, 33.865, -28.7906),
+        (90.0, 0.0, -90.0, 77.0),
+        (0.0, 0.0, 0.0, 90.0),
+    )
+    assert same == 0.0
+    assert antipodes == pytest.approx(math.pi * 6371.0)
+    assert pole == pytest.approx(math.pi * 6371.0)
+    assert quarter == pytest.approx(math.pi * 6371.0 / 2)
+
+
+def test_antipodal_points_never_give_nan(spark):
+    points = [(a + 0.137, o + 0.211, -a - 0.137, o + 0.211 - 180.0)
+              for a in range(-80, 80, 7) for o in range(-170, 180, 11)]
+    assert not any(math.isnan(d) for d in measure(spark, haversine_km, *points))
+
+
+def test_planar_counts_111_km_per_degree(spark):
+    assert measure(spark, planar_km, (0.0, 0.0, 3.0, 4.0), (1.0, 1.0, 1.0, 1.0)) == [555.0, 0.0]
+
+
+def test_unknown_metric():
+    with pytest.raises(ValueError):
+        metric_function("manhattan")
+
+
+TEXTS = [
+    ("2021-05-01 10:20:30.123456789", dt.datetime(2021, 5, 1, 10, 20, 30, 123456)),
+    ("2021-05-01 10:20:30.5", dt.datetime(2021, 5, 1, 10, 20, 30, 500000)),
+    ("2021-05-01 10:20:30", dt.datetime(2021, 5, 1, 10, 20, 30)),
+    ("yesterday", None),
+    (None, None),
+]
+
+
+def test_timestamp_variants(spark):
+    df = spark.createDataFrame([(t,) for t, _ in TEXTS], "t string")
+    lenient = df.select(F.date_format(parse_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    expected = [e and e.strftime("%Y-%m-%d %H:%M:%S.%f") for _, e in TEXTS]
+    assert [r[0] for r in lenient.collect()] == expected
+    strict = df.select(parse_timestamp(F.col("t"), lenient=False).isNull())
+    assert [r[0] for r in strict.collect()] == [False, False, True, True, True]
+
+
+def test_timestamp_falls_through_to_the_day(spark):
+    df = spark.createDataFrame(
+        [("2021-05-01 10:00:00.1", "2021-05-02 11:00:00.1"), ("x", "2021-05-02 11:00:00.1"),
+         (None, None)],
+        "a string, b string",
+    ).withColumn("date", F.lit(dt.date(2021, 5, 3)))
+    found = df.select(
+        F.date_format(first_timestamp([F.col("a"), F.col("b")], F.col("date")), "dd HH:mm")
+    )
+    assert [r[0] for r in found.collect()] == ["01 10:00", "02 11:00", "03 00:00"]
+
+
+def test_weeks_start_on_sunday(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, d),) for d in (6, 7, 8, 13)], "d date")
+    assert [r[0].day for r in df.select(week_start(F.col("d"))).collect()] == [31, 7, 7, 7]
+    assert {r[0] for r in df.select(month_start(F.col("d"))).collect()} == {dt.date(2024, 1, 1)}
+
+
+def test_local_time_follows_daylight_saving(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01 00:00:00", "Australia/Sydney"), ("2024-06-01 00:00:00", "Australia/Sydney"),
+         ("2024-06-01 00:00:00", "Australia/Brisbane"), ("2024-06-01 00:00:00", "Australia/Darwin")],
+        "t string, z string",
+    )
+    found = df.select(F.date_format(local_time(F.col("t").cast("timestamp"), F.col("z")), "HH:mm"))
+    assert [r[0] for r in found.collect()] == ["11:00", "10:00", "10:00", "09:30"]
+
+
+def test_actor_per_event_type(spark, log):
+    events = log(
+        {"type": "message", "user": 1}, {"type": "reaction", "user": 2},
+        {"type": "subscription", "user": 3}, {"type": "login", "user": 4},
+    )
+    assert rows(events.select("event_type", event_actor().alias("u"))) == [
+        ("login", 4), ("message", 1), ("reaction", 2), ("subscription", 3)
+    ]
+
+
+@pytest.mark.parametrize("metric,km", [("planar", 1.0), ("haversine", 1.0), ("haversine", 700.0)])
+def test_points_within_reach_share_a_neighbourhood(spark, metric, km):
+    """Random points anywhere on Earth, poles and date line included, and a second one near."""
+    grid, distance = Grid(km, metric), metric_function(metric)
+    degrees = km / 100
+    some = spark.range(40_000).select(
+        F.when(F.col("id") % 5 == 0, F.lit(89.999)).otherwise(F.rand(1) * 180 - 90).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(179.999)).otherwise(F.rand(2) * 360 - 180).alias("b"),
+        ((F.rand(3) - 0.5) * 2 * degrees).alias("up"),
+        ((F.rand(4) - 0.5) * 2 * degrees).alias("along"),
+    )
+    stretch = F.lit(1.0) if metric == "planar" else F.greatest(F.cos(F.radians("a")), F.lit(1e-4))
+    turned = F.col("b") + F.col("along") / stretch
+    if metric != "planar":
+        turned = F.pmod(turned + 180.0, F.lit(360.0)) - 180.0
+    pairs = some.select(
+        "a", "b",
+        F.greatest(F.lit(-90.0), F.least(F.lit(90.0), F.col("a") + F.col("up"))).alias("c"),
+        turned.alias("d"),
+    )
+    near = pairs.where(distance(*map(F.col, "abcd")) <= km)
+    a, b, c, d = map(F.col, "abcd")
+    assert near.count() > 5_000
+    around = F.array_contains(grid.cells_around(a, b), grid.cell(c, d))
+    assert near.where(~around).count() == 0
+    ahead = F.array_contains(grid.cells_around(a, b, forward=True), grid.cell(c, d))
+    behind = F.array_contains(grid.cells_around(c, d, forward=True), grid.cell(a, b))
+    assert near.where(~ahead & ~behind).count() == 0
