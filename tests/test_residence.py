@@ -1,0 +1,124 @@
+import datetime as dt
+
+import pytest
+from conftest import days, final_plan, rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from waymark.operators.residence import current_city, home_city, travel_history
+from waymark.operators.streaks import daily_presence, day_streaks
+from waymark.plans.user_geo import user_geo_mart
+
+JAN = dt.date(2024, 1, 1)
+
+
+def streaks_of(frame, **options):
+    return day_streaks(daily_presence(frame), **options)
+
+
+def stay(user, city, first, count):
+    return [(user, city, day) for day in days(first, count)]
+
+
+def test_presence_keeps_the_last_time_of_each_day(stays):
+    frame = stays((1, "A", JAN, dt.time(9)), (1, "A", JAN, dt.time(17)), (1, "B", JAN, dt.time(20)))
+    found = daily_presence(frame).select("city", F.hour("datetime").alias("h"))
+    assert rows(found) == [("A", 17), ("B", 20)]
+
+
+def test_a_day_missed_ends_a_streak(stays):
+    frame = stays(*stay(1, "A", JAN, 3), *stay(1, "A", JAN + dt.timedelta(4), 2))
+    found = streaks_of(frame)
+    assert rows(found, "first_date", "last_date", "days") == [
+        (JAN, dt.date(2024, 1, 3), 3), (dt.date(2024, 1, 5), dt.date(2024, 1, 6), 2)
+    ]
+    assert rows(streaks_of(frame, max_gap_days=2), "days") == [(5,)]
+
+
+def test_home_needs_27_days_in_a_row(stays):
+    long, short = stay(1, "A", JAN, 27), stay(1, "B", JAN + dt.timedelta(40), 26)
+    other = stay(2, "A", JAN, 26) + stay(2, "B", JAN + dt.timedelta(30), 13) + stay(
+        2, "B", JAN + dt.timedelta(50), 14)
+    assert rows(home_city(streaks_of(stays(*long, *short, *other)))) == [(1, "A"), (2, "B")]
+
+
+def test_latest_long_stay_wins_and_users_stay_single(stays, cities):
+    frame = stays(*stay(1, "Perth", JAN, 30), *stay(1, "Hobart", JAN + dt.timedelta(40), 27))
+    assert rows(home_city(streaks_of(frame))) == [(1, "Hobart")]
+    assert user_geo_mart(frame, cities).count() == 1
+
+
+def test_only_city_is_home(stays):
+    assert rows(home_city(streaks_of(stays((1, "A", JAN))))) == [(1, "A")]
+
+
+def test_ties_go_to_the_later_action_then_the_later_name(stays):
+    late = stays((1, "B", JAN, dt.time(9)), (1, "A", JAN, dt.time(10)))
+    same = stays((1, "B", JAN, dt.time(9)), (1, "A", JAN, dt.time(9)))
+    for frame, city in ((late, "A"), (same, "B")):
+        assert rows(home_city(streaks_of(frame))) == [(1, city)]
+        assert rows(current_city(streaks_of(frame)), "user_id", "act_city") == [(1, city)]
+
+
+def test_current_city_and_activity(stays):
+    frame = stays(*stay(1, "A", JAN, 5), (1, "B", JAN + dt.timedelta(1)), (1, "B", dt.date(2024, 2, 1)))
+    day = lambda how: rows(
+        current_city(streaks_of(frame), how).select("act_city", F.to_date("last_action_time"))
+    )
+    assert day("latest") == [("B", dt.date(2024, 2, 1))]
+    assert day("earliest") == [("B", dt.date(2024, 1, 2))]
+    with pytest.raises(ValueError):
+        current_city(streaks_of(frame), "median")
+
+
+def test_travel_collapses_neighbours_and_gaps(stays):
+    there_and_back = stay(1, "A", JAN, 2) + stay(1, "B", JAN + dt.timedelta(2), 2) + stay(
+        1, "A", JAN + dt.timedelta(4), 1)
+    gap = stay(2, "A", JAN, 2) + stay(2, "A", JAN + dt.timedelta(9), 1)
+    inside = stay(3, "A", JAN, 9) + stay(3, "B", JAN + dt.timedelta(3), 1)
+    found = travel_history(streaks_of(stays(*there_and_back, *gap, *inside)))
+    assert [(u, n, list(c)) for u, n, c in rows(found)] == [
+        (1, 3, ["A", "B", "A"]), (2, 1, ["A"]), (3, 2, ["B", "A"])
+    ]
+
+
+def test_mart_joins_zone_and_local_time(stays, cities):
+    frame = stays((1, "Perth", JAN, dt.time(0, 30)), (2, "Atlantis", JAN))
+    found = user_geo_mart(frame, cities).withColumn("local_time", F.col("local_time").cast("string"))
+    assert [tuple(r) for r in found.collect()] == [
+        (1, "Perth", 1, ["Perth"], "2024-01-01 08:30:00", "Perth")
+    ]
+
+
+def test_mart_needs_two_exchanges(stays, cities):
+    plan = final_plan(user_geo_mart(stays(*stay(1, "Perth", JAN, 3)), cities))
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "hashpartitioning(user_id" in plan and "Cartesian" not in plan
+
+
+visits = st.lists(
+    st.tuples(st.integers(1, 3), st.sampled_from("ABC"), st.integers(0, 20), st.integers(0, 3)),
+    min_size=1, max_size=40,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(visits)
+def test_streaks_and_travel_keep_their_promises(stays, given_visits):
+    frame = stays(*[
+        (u, c, JAN + dt.timedelta(d), dt.time(h)) for u, c, d, h in given_visits
+    ]).cache()
+    presence = daily_presence(frame)
+    found = streaks_of(frame)
+    per_city = {(u, c): n for u, c, n in rows(found.groupBy("user_id", "city").agg(F.sum("days")))}
+    distinct = {}
+    for u, c, d in {v[:3] for v in given_visits}:
+        distinct[u, c] = distinct.get((u, c), 0) + 1
+    assert per_city == distinct
+    assert presence.count() == sum(distinct.values())
+    assert found.where(F.datediff("last_date", "first_date") + 1 != F.col("days")).count() == 0
+    for _, count, cities_seen in rows(travel_history(found)):
+        assert count == len(cities_seen)
+        assert all(a != b for a, b in zip(cities_seen, cities_seen[1:]))
+    frame.unpersist()

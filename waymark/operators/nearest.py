@@ -51,11 +51,7 @@ def _spread(here: Sequence[Column], there: Sequence) -> Column:
 
 def _with_literal_places(points: DataFrame, places: list, metric: str) -> DataFrame:
     """One generated expression per row: no join, no shuffle, no row explosion."""
-    located = sorted(
-        (p["city"], p["lat"], p["lon"])
-        for p in places
-        if p["lat"] is not None and p["lon"] is not None
-    )
+    located = sorted((p["city"], p["lat"], p["lon"]) for p in places)
     axes = _axes(F.col("lat"), F.col("lon"), metric)
     points = points.withColumns(dict(zip(_AXES, axes)))
     # In order of name, so that the lower position wins a tie as the lower name would. The
@@ -89,9 +85,8 @@ def _with_cell_candidates(points: DataFrame, places: DataFrame, metric: str) ->
     point, no place beyond ``nearest + 2 * reach`` can be nearest to any point of the cell.
     Points then meet only their own cell's short list.
     """
-    located = places.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     # Of places at one spot only the first by name can win.
-    located = located.groupBy("lat", "lon").agg(F.min("city").alias("city"))
+    located = places.groupBy("lat", "lon").agg(F.min("city").alias("city"))
     axis_count = len(_literal_axes(0.0, 0.0, metric))
     names = _AXES[:axis_count]
     packed = located.select(
@@ -123,19 +118,17 @@ def _with_cell_candidates(points: DataFrame, places: DataFrame, metric: str) ->
     cells = cells.withColumns(dict(zip(names, middle)))
     here = [F.col(n) for n in names]
     spread_to = lambda place: _spread(here, [place[n] for n in names])
-    cells = cells.withColumns({f"_places_{i}": a for i, a in enumerate(arrays)})
-    held = [F.col(f"_places_{i}") for i in range(array_count)]
-    nearest = [F.array_min(F.transform(a, spread_to)) for a in held]
-    cells = cells.withColumn(
-        "_limit",
-        square(F.sqrt(F.least(*nearest) if len(nearest) > 1 else nearest[0]) + 2 * reach),
-    )
-    cells = cells.select(
-        "_cell_y",
-        "_cell_x",
-        F.concat(
-            *[F.filter(a, lambda place: spread_to(place) <= F.col("_limit")) for a in held]
-        ).alias("_near"),
+    held = [f"_places_{i}" for i in range(array_count)]
+    with_places = lambda df: df.withColumns(dict(zip(held, arrays)))
+    nearest = [F.array_min(F.transform(places, spread_to)) for places in held]
+    nearest = F.least(*nearest) if len(nearest) > 1 else nearest[0]
+    cells = with_places(cells).withColumn("_limit", square(F.sqrt(nearest) + 2 * reach))
+    # The exchange (of one short row per cell) keeps the limit from being worked out again
+    # for every place it is compared with.
+    cells = cells.drop(*held).repartition("_cell_y", "_cell_x")
+    is_near = lambda place: spread_to(place) <= F.col("_limit")
+    cells = with_places(cells).select(
+        "_cell_y", "_cell_x", F.concat(*[F.filter(places, is_near) for places in held]).alias("_near")
     )
     points = points.join(cells, ["_cell_y", "_cell_x"])
     own = _axes(F.col("lat"), F.col("lon"), metric)
@@ -172,14 +165,16 @@ def assign_nearest(
     ``key=None`` when keys are known to be unique and the points are never shuffled.
     """
     kilometres = metric_function(metric)
-    located = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    listed = places.select("city", "lat", "lon").limit(LITERAL_PLACES + 1).collect()
+    on_map = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    located = points.where(on_map)
+    places = places.where(on_map).select("city", "lat", "lon")
+    listed = places.limit(LITERAL_PLACES + 1).collect()
     if not listed:
         raise ValueError("no places to assign to")
     if len(listed) <= LITERAL_PLACES:
         matched = _with_literal_places(located, listed, metric)
     else:
-        matched = _with_cell_candidates(located, places.select("city", "lat", "lon"), metric)
+        matched = _with_cell_candidates(located, places, metric)
 
     place = F.col("_best")
     found = {"city": place["city"]}
