@@ -1,0 +1,73 @@
+"""The six jobs one after another over files, against the same stages in memory."""
+
+import datetime as dt
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from waymark import schemas
+from waymark.jobs import cities, events, friends, instant, message_city, user_geo, zones
+from waymark.operators.nearest import message_city as match_cities
+from waymark.plans.friends import friends_mart
+from waymark.plans.user_geo import user_geo_mart
+from waymark.plans.zone import zone_mart
+from waymark.sources.cities import CITIES, known_cities
+from waymark.sources.tables import read_table
+from waymark.sources.testdata import geo_log
+
+
+def test_jobs_end_to_end(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    comma = lambda number: str(number).replace(".", ",")
+    lines = [f"{i};{city};{comma(lat)};{comma(lon)}" for i, city, lat, lon in CITIES]
+    (tmp_path / "cities.csv").write_text("\r".join(["id;city;lat;lng", *lines]) + "\r")
+    log = geo_log(spark, "/root/testdata/sf0.01")
+    log.write.parquet(at("raw"))
+
+    cities.main([at("cities.csv"), at("cities")])
+    events.main([at("raw"), at("events")])
+    message_city.main([at("cities"), at("events"), at("messages")])
+    user_geo.main([at("messages"), at("cities"), at("users"), "--home-days", "4"])
+    zones.main([at("users"), at("events"), at("messages"), at("zones")])
+    friends.main([
+        at("users"), at("events"), at("messages"), at("cities"), at("friends"),
+        "--as-of", "2024-02-01T23:00:00+11:00",
+    ])
+    read = lambda name, schema: read_table(spark, at(name), schema, name)
+
+    dim = known_cities(spark)
+    assert rows(read("cities", schemas.CITY_DIM)) == rows(dim)
+    messages = match_cities(log, dim)
+    assert rows(read("messages", schemas.MESSAGE_CITY)) == rows(messages)
+    users = user_geo_mart(messages, dim, 4)
+    assert rows(read("users", schemas.USER_GEO_MART)) == rows(users)
+    stored = read("messages", schemas.MESSAGE_CITY), read("users", schemas.USER_GEO_MART)
+    as_text = lambda df: rows(df.select([F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]))
+    assert as_text(read("zones", schemas.ZONE_MART)) == as_text(zone_mart(log, *stored))
+    mart = friends_mart(stored[1], log, stored[0], dim, dt.datetime(2024, 2, 1, 12))
+    found = rows(read("friends", schemas.FRIENDS_MART))
+    assert found == rows(mart) and len(found) > 100
+
+    # No mart row is a known contact.
+    from waymark.operators.pairs import contact_edges
+
+    wrote = set(rows(contact_edges(log)))
+    assert not {(left, right) for left, right, *_ in found} & wrote
+
+    zones.main([
+        at("users"), at("events"), at("messages"), at("sampled"), "--sample", "0.3", "--fill-zero"
+    ])
+    some = read("sampled", schemas.ZONE_MART)
+    total = lambda df: df.agg(F.sum("week_message")).first()[0]
+    assert 0 < total(some) < total(read("zones", schemas.ZONE_MART))
+    assert some.where("week_message IS NULL OR month_user IS NULL").count() == 0
+
+    message_city.main([
+        at("cities"), at("events"), at("window"), "--end", "2024-01-10", "--depth", "2"
+    ])
+    days = {r.date for r in read("window", schemas.MESSAGE_CITY).select("date").collect()}
+    assert days == {dt.date(2024, 1, 9), dt.date(2024, 1, 10)}
+
+
+def test_instants_are_utc():
+    assert instant("2024-01-01T10:00:00+10:00") == instant("2024-01-01T00:00:00")
