@@ -23,7 +23,6 @@ from waymark.functions.calendar import (  # noqa: E402
     first_timestamp,
     month_start,
     parse_timestamp,
-    use_utc,
     week_start,
 )
 from waymark.functions.distance import haversine_km, planar_km  # noqa: E402
@@ -34,6 +33,7 @@ from waymark.plans.friends import friends_mart  # noqa: E402
 from waymark.plans.user_geo import user_geo_mart  # noqa: E402
 from waymark.plans.zone import zone_mart  # noqa: E402
 from waymark.schemas import MESSAGE_CITY, USER_GEO_MART  # noqa: E402
+from waymark.session import prepare_session  # noqa: E402
 from waymark.sources.cities import known_cities, load_cities, with_timezone  # noqa: E402
 from waymark.sources.events import events_window, ingest_events, read_events  # noqa: E402
 from waymark.sources.tables import read_table, scratch_path, write_table  # noqa: E402
@@ -57,7 +57,7 @@ class _Inputs:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = use_utc(spark)
+        self.spark = prepare_session(spark)
         self.events = geo_log(spark, sf_dir)
         self.cities = known_cities(spark)
 
@@ -129,7 +129,7 @@ def _city_timezone(spark, sf_dir):
 
 def _parse_city_csv(spark, sf_dir):
     """Writes a city list line per event, as semicolon text with decimal commas, and loads it."""
-    use_utc(spark)
+    prepare_session(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     event_id = F.col("event_id")
     decimals = lambda factor: F.lpad((event_id * factor % 10000).cast("string"), 4, "0")
@@ -146,7 +146,7 @@ def _parse_city_csv(spark, sf_dir):
 
 
 def _parse_timestamps(spark, sf_dir):
-    use_utc(spark)
+    prepare_session(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     event_id = F.col("event_id")
     text = (

@@ -42,7 +42,7 @@ def assigned(spark, points, places, **options):
 
 
 @pytest.mark.parametrize("metric", ["haversine", "planar"])
-@pytest.mark.parametrize("count", [1, 24, 64, 65, 400])
+@pytest.mark.parametrize("count", [1, 24, 48, 49, 400])
 def test_equals_brute_force_for_short_and_long_lists(spark, metric, count):
     places = [(f"place {n}", *p) for n, p in enumerate(some_points(count, seed=count))]
     points = some_points(300)

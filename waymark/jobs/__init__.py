@@ -14,11 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from waymark.functions.calendar import use_utc
+from waymark.session import prepare_session
 
 
 def open_session(name: str) -> SparkSession:
-    return use_utc(SparkSession.builder.appName(f"waymark-{name}").getOrCreate())
+    return prepare_session(SparkSession.builder.appName(f"waymark-{name}").getOrCreate())
 
 
 def parser(description: str, *paths: str) -> argparse.ArgumentParser:

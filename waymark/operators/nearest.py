@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from waymark.functions.distance import metric_function, square
 from waymark.operators.messages import normalize_messages
 
-# Places up to this number are written into the generated code as literals.
-LITERAL_PLACES = 64
+# Places up to this number are written into the generated code as literals; at some 70 bytes
+# each they leave the method within what the JVM compiles.
+LITERAL_PLACES = 48
 # Larger lists are handed to tasks in arrays of about this many places each.
 PLACES_PER_ARRAY = 20_000
 # Side in degrees of the cells that a larger list is narrowed down by.
@@ -53,7 +54,10 @@ def _with_literal_places(points: DataFrame, places: list, metric: str) -> DataFr
     """One generated expression per row: no join, no shuffle, no row explosion."""
     located = sorted((p["city"], p["lat"], p["lon"]) for p in places)
     axes = _axes(F.col("lat"), F.col("lon"), metric)
-    points = points.withColumns(dict(zip(_AXES, axes)))
+    # Points without coordinates are gone by now; saying so spares a null test per operation,
+    # and the code generated for a few dozen places stays small enough to be compiled.
+    present = [F.coalesce(axis, F.lit(0.0)) for axis in axes]
+    points = points.withColumns(dict(zip(_AXES, present)))
     # In order of name, so that the lower position wins a tie as the lower name would. The
     # expression is given as one text: it is long, and quicker to parse than to assemble.
     options = []
