@@ -123,3 +123,11 @@ def test_scratch_tables_go_to_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_path(spark, "t"), scratch_path(spark, "t")
     assert one.startswith(shared) and two.startswith(shared) and one != two
+
+
+def test_directories_are_rebalanced_before_writing(spark):
+    from pyspark.sql import functions as F
+
+    frame = spark.range(10).withColumn("date", F.lit("x"))
+    plan = planned(frame.hint("rebalance", F.col("date")))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan

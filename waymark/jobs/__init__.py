@@ -1,6 +1,6 @@
 """One spark-submit entry point per stage; each hands its table on through Parquet.
 
-    spark-submit -m waymark.jobs.<stage> …   (or python -m with a configured cluster)
+    spark-submit --py-files waymark.zip waymark/jobs/<stage>.py …
 
 The order is cities and events, then message_city, then user_geo, then zones and friends.
 Master, resources and shuffle settings come from the submit command.
