@@ -291,6 +291,16 @@ def _sample_users(spark, sf_dir):
     return sample_users(at.user_geo, 0.4).select("user_id", "home_city", "act_city")
 
 
+try:
+    import corpus_pipeline
+    from waymark.llm import registry as llm_registry
+except ImportError:  # the library stands without its training-data operators
+    _LLM_QUERIES, _LLM_ORACLES = {}, {}
+else:
+    _LLM_QUERIES = {**llm_registry.QUERIES, "pipeline": corpus_pipeline.run}
+    _LLM_ORACLES = llm_registry.ORACLES
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The user mart over the smallest tables."""
     return _user_geo_mart(spark, "/root/testdata/sf0.001")
@@ -328,10 +338,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "near_pairs": _near_pairs,
         "friends_mart": _friends_mart,
         "sample_users": _sample_users,
+        **_LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLES
 
-    return ORACLES
+    return {**ORACLES, **_LLM_ORACLES}

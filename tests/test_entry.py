@@ -18,8 +18,13 @@ def duck():
     return con
 
 
+def own_queries():
+    """Those of the marts; the training-data operators have tests of their own."""
+    return sorted(set(entry_module.queries()) - set(entry_module._LLM_QUERIES))
+
+
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(own_queries()) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_entry_gives_rows(spark):
@@ -28,7 +33,7 @@ def test_entry_gives_rows(spark):
     assert found.columns == entry_module.entry(spark).columns
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", own_queries())
 def test_query_equals_sql(spark, duck, name):
     found = entry_module.queries()[name](spark, TABLES)
     names = sorted(found.columns)
