@@ -2,8 +2,8 @@
 
 A file set is a folder with two Parquet tables, written and committed by Spark. ``dictionary``
 holds the zstandard dictionary, trained on serialized id arrays, and its hash. ``blocks`` holds
-runs of documents in ascending id order: the compressed documents end to end, and an index of
-where each begins, which is a column of its own and so is read without the data. Every block
+runs of documents in ascending id order: the compressed documents end to end, the number of
+ids before them in their part of the table, and an index of where each document begins, which is a column of its own and so is read without the data. Every block
 names its dictionary's hash, and a document is decompressed by itself.
 """
 
@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waymark.llm.shared import small, stored
+
 END_ID = 0
 LEVEL = 3
 DICTIONARY_BYTES = 65_536
@@ -29,11 +31,11 @@ SAMPLE_DOCUMENTS = 1_000
 SAMPLE_CHARS = 8_000
 BLOCK_BYTES = 1_000_000
 BLOCK_DOCUMENTS = 4_096
-# Pieces of text whose ids a worker remembers.
-REMEMBERED = 400_000
+# Pieces of text a worker remembers as recent, and as many from before.
+REMEMBERED = 500_000
 
 _BLOCKS = (
-    "part int, block int, dictionary_hash string, frames binary, "
+    "part int, block int, before long, dictionary_hash string, frames binary, "
     "documents array<struct<doc_id: bigint, offset: bigint, length: bigint, n_tokens: bigint>>"
 )
 
@@ -43,7 +45,9 @@ class Encoder:
 
     The tokenizer splits a text before it applies its merges, and always splits ahead of a
     space between two other characters. So the pieces between such spaces are encoded on their
-    own, once each, with the same ids as in the whole text.
+    own, once each, with the same ids as in the whole text. New pieces are encoded together,
+    and told apart by the tokens that begin with a space. Pieces not met for a while are
+    forgotten: when the recent ones are many, those before them go.
     """
 
     def __init__(self, path: str):
@@ -53,47 +57,61 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self._tokenizer.get_vocab_size() <= 65_536 else "<u4")
-        self._known: dict[str, bytes] = {"": b""}
-
-    def _pieces(self, text: str) -> list[str]:
-        if _WIDE.search(text):
-            # Spaces next to white space belong together with what follows.
-            return _CUT.split(text)
-        return text.split(" ")
+        size = self._tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 65_536 else "<u4")
+        self._begins = np.zeros(size, bool)
+        space = self._tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        for token, number in self._tokenizer.get_vocab().items():
+            self._begins[number] = token.startswith(space)
+        # A text's first piece has no space ahead and is not remembered; None stands for it.
+        self._fixed = {None: b""}
+        self._recent: dict[str | None, bytes] = dict(self._fixed)
+        self._before: dict[str | None, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialized ids of each text."""
-        # A first piece has no space ahead, so it is known under a name of its own.
-        cut = [self._pieces(text) for text in texts]
-        known = self._known
-        missing = {p for pieces in cut for p in pieces[1:] if p not in known}
-        if len(known) + len(missing) > REMEMBERED:
-            known = self._known = {"": b""}
-            missing = {p for pieces in cut for p in pieces[1:]}
-        first = [pieces[0] for pieces in cut]
-        ahead = list(missing)
-        ids = self._ids([" " + p for p in ahead] + first)
-        known.update(zip(ahead, ids))
-        heads = ids[len(ahead):]
-        # A piece may be empty only at the end of a text, where it is a lone space.
-        known[""] = self._space
-        return [
-            b"".join([head, *map(known.__getitem__, pieces[1:])])
-            for head, pieces in zip(heads, cut)
-        ]
-
-    @property
-    def _space(self) -> bytes:
-        if not hasattr(self, "_lone"):
-            self._lone = self._ids([" "])[0]
-        return self._lone
+        # Spaces next to other white space belong together with what follows.
+        cut = [_CUT.split(t) if _WIDE.search(t) else t.split(" ") for t in texts]
+        heads = self._ids([pieces[0] for pieces in cut])
+        for pieces in cut:
+            pieces[0] = None
+        if len(self._recent) > REMEMBERED:
+            self._recent, self._before = dict(self._fixed), self._recent
+        recent = self._recent
+        rows = [list(map(recent.get, pieces)) for pieces in cut]
+        lacking = [n for n, row in enumerate(rows) if None in row]
+        new = {p for n in lacking for p, ids in zip(cut[n], rows[n]) if ids is None}
+        known = {p: self._before[p] for p in new if p in self._before}
+        recent.update(known)
+        self._learn([p for p in new if p not in known])
+        for n in lacking:
+            rows[n] = [
+                recent[p] if ids is None else ids for p, ids in zip(cut[n], rows[n])
+            ]
+        return [head + b"".join(row) for head, row in zip(heads, rows)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        # An empty piece is a lone space at a text's end.
+        joined = [p for p in pieces if p and " " not in p and not p[0].isspace()
+                  and not p[-1].isspace()]
+        alone = sorted(set(pieces) - set(joined))
+        for at in range(0, len(joined), 256):
+            some = joined[at : at + 256]
+            data = self._ids([" " + " ".join(some)])[0]
+            width = self.dtype.itemsize
+            starts = (np.flatnonzero(self._begins[np.frombuffer(data, self.dtype)]) * width).tolist()
+            if len(starts) == len(some):
+                ends = [*starts[1:], len(data)]
+                self._recent.update(zip(some, [data[a:b] for a, b in zip(starts, ends)]))
+            else:
+                alone += some
+        self._recent.update(zip(alone, self._ids([" " + p for p in alone])))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = []
-        for at in range(0, len(texts), 4096):
+        for at in range(0, len(texts), 1024):
             batch = self._tokenizer.encode_batch_fast(
-                texts[at : at + 4096], add_special_tokens=False
+                texts[at : at + 1024], add_special_tokens=False
             )
             found += [np.array(e.ids, self.dtype).tobytes() for e in batch]
         return found
@@ -183,12 +201,12 @@ def write_token_files(
         width = encoder(tokenizer).dtype.itemsize
         frames: list[bytes] = []
         index: list[dict] = []
-        size = block = 0
+        size = block = before = 0
 
         def made() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist(
                 [{
-                    "part": part, "block": block, "dictionary_hash": digest,
+                    "part": part, "block": block, "before": before, "dictionary_hash": digest,
                     "frames": b"".join(frames), "documents": index,
                 }],
                 schema=_BLOCK_SCHEMA,
@@ -209,6 +227,7 @@ def write_token_files(
                     size += len(frame)
                     if size >= BLOCK_BYTES or len(index) >= BLOCK_DOCUMENTS:
                         yield made()
+                        before += sum(d["n_tokens"] for d in index)
                         frames, index, size, block = [], [], 0, block + 1
         if index:
             yield made()
@@ -218,7 +237,8 @@ def write_token_files(
 
 
 _BLOCK_SCHEMA = pa.schema([
-    ("part", pa.int32()), ("block", pa.int32()), ("dictionary_hash", pa.string()),
+    ("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()),
+    ("dictionary_hash", pa.string()),
     ("frames", pa.binary()),
     ("documents", pa.list_(pa.struct([
         ("doc_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()),
@@ -252,18 +272,12 @@ def read_token_files(spark: SparkSession, path: str, tokenizer: str) -> DataFram
     data, digest = _dictionaries(spark, path)
     blocks = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
     n = F.aggregate("documents.n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)
-    counted = blocks.select("part", "block", n.alias("n"))
-    ahead = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per written part, then the blocks of each part on their own.
-    parts = counted.groupBy("part").agg(F.sum("n").alias("n"))
-    parts = parts.select(
-        "part",
-        F.coalesce(F.sum("n").over(ahead(Window.orderBy("part"))), F.lit(0)).alias("before"),
-    )
-    in_part = ahead(Window.partitionBy("part").orderBy("block"))
-    starts = counted.join(parts, "part").select(
-        "part", "block",
-        (F.col("before") + F.coalesce(F.sum("n").over(in_part), F.lit(0))).alias("start"),
+    # Blocks know the ids before them in their part; what is left to add up is a row per part,
+    # of which there are as many as tasks that wrote.
+    parts = blocks.groupBy("part").agg(F.sum(n).alias("n"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = stored(
+        parts.select("part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start")), "parts"
     )
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,8 +302,9 @@ def read_token_files(spark: SparkSession, path: str, tokenizer: str) -> DataFram
                     ["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    found = blocks.join(starts, ["part", "block"])
-    return found.select("start", "dictionary_hash", "frames", "documents").mapInArrow(
+    found = blocks.join(small(parts, parts.count()), "part")
+    start = (F.col("start") + F.col("before")).alias("start")
+    return found.select(start, "dictionary_hash", "frames", "documents").mapInArrow(
         unpack, "doc_id long, start long, n_tokens long, ids binary"
     )
 
