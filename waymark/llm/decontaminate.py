@@ -63,16 +63,23 @@ def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return cut.select("window", "length", "k", "at", kind.alias("hash"))
 
 
-def _document_shingles(documents: DataFrame, sizes: list[int]) -> DataFrame:
-    """``k1, k2, words, n_words, pos, hash``: every shingle of the given sizes."""
+def _document_shingles(documents: DataFrame, size: int, window: int) -> DataFrame:
+    """``k1, k2, n_words, pos, hash, around, first``: every shingle of ``size`` words, with the
+    words that a window over it can reach, of which the first is word ``first``.
+
+    No row carries the whole text, so a text of any length stays within memory.
+    """
     texts = with_words(documents, ascii_lower(F.col("text")), ITEM_SEPARATORS)
     placed = texts.select(*_ROW, "words", "n_words", F.posexplode("words").alias("pos", "_word"))
-    parts = [
-        placed.where(F.col("pos") + k <= F.col("n_words")).select(
-            *_ROW, "words", "n_words", "pos", _shingle("words", F.col("pos"), k).alias("hash")
-        )
-        for k in sizes
-    ]
+    first = F.greatest(F.col("pos") - (window - 1), F.lit(0))
+    return placed.where(F.col("pos") + size <= F.col("n_words")).select(
+        *_ROW, "n_words", "pos", _shingle("words", F.col("pos"), size).alias("hash"),
+        F.slice("words", first + 1, F.lit(2 * window - 1)).alias("around"),
+        first.alias("first"),
+    )
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
@@ -89,20 +96,21 @@ def window_matches(
     """``k1, k2, start, length, window``: every occurrence of a benchmark window.
 
     None if the benchmark has no window at all. The benchmark's shingles are broadcast where
-    their counted number allows; with more the same joins are left to Spark.
+    their counted number allows, and words are compared where they meet. With more of them the
+    positions alone are shuffled, and what meets goes back to its document for the words.
     """
     shingles = stored(_window_shingles(item_windows(benchmark, window), shingle), "shingles")
     count, sizes = shingles.agg(F.count(F.lit(1)), F.collect_set("k")).first()
     if not count:
         return None
-    grams = _document_shingles(documents, sorted(sizes))
+    grams = [_document_shingles(documents, size, window) for size in sorted(sizes)]
 
     # How often each of the benchmark's shingles occurs in the corpus; one that never does
     # rules its windows out.
     wanted = small(shingles.select("hash").distinct(), count, broadcast_rows)
-    occurring = grams.select("hash").join(wanted, "hash").groupBy("hash").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    # One branch per size, joined on its own: there is hardly ever more than one.
+    occurring = _union([g.select("hash").join(wanted, "hash") for g in grams])
+    occurring = occurring.groupBy("hash").agg(F.count(F.lit(1)).alias("rows"))
     rarity = shingles.join(stored(occurring, "rarity"), "hash", "left")
     rarity = rarity.withColumn("rows", F.coalesce("rows", F.lit(0)))
     prefix = rarity.groupBy("window", "length").agg(
@@ -112,11 +120,23 @@ def window_matches(
 
     start = F.col("pos") - F.col("at")
     fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
-    there = F.array_join(F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("length")), " ")
-    met = grams.join(small(prefix, count, broadcast_rows), "hash")
-    return met.where(fits).where(there == F.col("window")).select(
-        *_ROW, start.alias("start"), "length", "window"
-    )
+    if count <= broadcast_rows:
+        there = F.slice("around", start - F.col("first") + 1, F.col("length"))
+        return _union([
+            g.join(F.broadcast(prefix), "hash").where(fits)
+            .where(F.array_join(there, " ") == F.col("window"))
+            .select(*_ROW, start.alias("start"), "length", "window")
+            for g in grams
+        ])
+    met = _union([g.drop("around", "first").join(prefix, "hash").where(fits) for g in grams])
+    met = met.select(*_ROW, start.alias("start"), "length", "window").distinct()
+    texts = documents.select(*row_keys(), "text").dropDuplicates(list(_ROW))
+    words = F.explode(F.array(words_of(ascii_lower(F.col("text")), ITEM_SEPARATORS)))
+    texts = texts.select(*_ROW, words.alias("words"))
+    there = F.slice("words", F.col("start") + 1, F.col("length"))
+    return met.join(texts, list(_ROW)).where(
+        F.array_join(there, " ") == F.col("window")
+    ).select(*met.columns)
 
 
 def contamination(
