@@ -257,16 +257,8 @@ def near_duplicates(
     roots = components(links).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = stored(rooted, "rooted")
-    # Only components of several fingerprints need another look at their ids.
-    several = rooted.where("fp <> root").select("root").distinct()
-    least = (
-        rooted.join(several, "root", "left_semi").groupBy("root")
-        .agg(F.min("least").alias("joint"))
-    )
-    named = rooted.join(least, "root", "left").select(
-        "fp", "root", F.when(F.col("joint").isNull(), F.col("least")).otherwise(F.col("joint"))
-        .alias("component_id")
-    )
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.select("fp", "root").join(least, "root")
     return hashed.join(named, "fp").select("doc_id", "k1", "k2", "fp", "root", "component_id")
 
 
