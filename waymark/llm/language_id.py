@@ -99,7 +99,7 @@ class CrossParser:
             tables.append(table.reshape(-1))
             self.roots.append(base)
             base += states * width
-        self.table = np.concatenate(tables).astype(np.int32 if base < 2**28 else np.int64)
+        self.table = np.concatenate([*tables, np.zeros(0, np.int64)]).astype(np.int32 if base < 2**28 else np.int64)
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text against each language (texts × languages)."""

@@ -78,6 +78,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Four multiples of the golden ratio's fraction, one for each round.
+_TURNS = [np.uint64(turn * 0x9E3779B97F4A7C15 % 2**64) for turn in range(4)]
+
+
 def permuted(index: np.ndarray, count: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Where a keyed permutation of ``0 … count-1`` takes ``index`` (arrays of one length).
 
@@ -92,8 +96,8 @@ def permuted(index: np.ndarray, count: np.ndarray, key: np.ndarray) -> np.ndarra
     while len(todo):
         h, m = half[todo], mask[todo]
         left, right = x[todo] >> h, x[todo] & m
-        for turn in range(4):
-            f = _mixed(right + key[todo] + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15))
+        for turn in _TURNS:
+            f = _mixed(right + key[todo] + turn)
             left, right = right, left ^ (f & m)
         x[todo] = (left << h) | right
         todo = todo[x[todo] >= n[todo]]
@@ -211,7 +215,7 @@ def mix_sources(
     @F.pandas_udf("long")
     def block_at(rank: pd.Series, turn: pd.Series, index: pd.Series, count: pd.Series) -> pd.Series:
         given = (rank.to_numpy(np.uint64) << np.uint64(32)) + turn.to_numpy(np.uint64)
-        key = _mixed(given + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
+        key = _mixed(given + np.uint64(seed * 0x9E3779B97F4A7C15 % 2**64))
         return pd.Series(permuted(index.to_numpy(), count.to_numpy(), key))
 
     slots = slots.select(

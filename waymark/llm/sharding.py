@@ -135,7 +135,7 @@ def pack_shards(
         taken[row["shard"]] = [row[c] for c in _SIZES]
     left_over = share[None, :] - taken
 
-    def pack_small(key, found: pd.DataFrame) -> pd.DataFrame:
+    def pack_small(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
         own = found[list(_SIZES)].sum().to_numpy(float)
         left = left_over * (own / small_totals)
         shard = _pack(found, totals, left, weighed, key[0] % shards)
