@@ -32,7 +32,7 @@ SAMPLE_CHARS = 8_000
 BLOCK_BYTES = 1_000_000
 BLOCK_DOCUMENTS = 4_096
 # Pieces of text a worker remembers as recent, and as many from before.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _BLOCKS = (
     "part int, block int, before long, dictionary_hash string, frames binary, "
