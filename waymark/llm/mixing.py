@@ -221,7 +221,8 @@ def mix_sources(
     slots = slots.select(
         "shard", "slot", "rank", "turn", block_at("rank", "turn", "index", "blocks").alias("block")
     )
-    return Mix(placed, slots.join(runs, ["rank", "block"]))
+    # Slots are expanded from a few rows, which makes them look small enough to broadcast.
+    return Mix(placed, slots.hint("merge").join(runs, ["rank", "block"]))
 
 
 def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
