@@ -42,20 +42,20 @@ def assigned(spark, points, places, **options):
 
 
 @pytest.mark.parametrize("metric", ["haversine", "planar"])
-@pytest.mark.parametrize("count", [1, 24, 48, 49, 400])
+@pytest.mark.parametrize("count", [1, 24, 48, 49, 5000])
 def test_equals_brute_force_for_short_and_long_lists(spark, metric, count):
     places = [(f"place {n}", *p) for n, p in enumerate(some_points(count, seed=count))]
     points = some_points(300)
+    expected = brute_force(points, places, metric)
     for key in (None, nearest.MESSAGE_KEY):
-        found = assigned(spark, points, places, metric=metric, key=key)
-        assert found == brute_force(points, places, metric)
+        assert assigned(spark, points, places, metric=metric, key=key) == expected
+    assert assigned(spark, points, places, metric=metric, list_places=3) == expected
 
 
 @pytest.mark.parametrize("metric", ["haversine", "planar"])
-def test_long_list_crowded_into_one_cell(spark, metric, monkeypatch):
-    """Places handed over in several arrays, most of them in a single cell."""
-    monkeypatch.setattr(nearest, "PLACES_PER_ARRAY", 50)
-    crowd = some_points(250, seed=1, box=((10.01, 10.49), (20.01, 20.49)))
+def test_long_list_crowded_into_one_cell(spark, metric):
+    """Most places in a single cell of half a degree, which is cut into smaller ones."""
+    crowd = some_points(2000, seed=1, box=((10.01, 10.49), (20.01, 20.49)))
     places = [(f"place {n}", *p) for n, p in enumerate(crowd + some_points(20, seed=2))]
     points = some_points(200, seed=3, box=((9, 12), (19, 22))) + some_points(50, seed=4)
     assert assigned(spark, points, places, metric=metric) == brute_force(points, places, metric)
@@ -86,12 +86,15 @@ def test_distance_of_the_chosen_place(spark, filler):
     assert (found.city, found.lat, found.lon) == ("here", 0.0, 90.0 / 8)
 
 
-def test_places_without_coordinates_or_none_at_all(spark):
-    assert assigned(spark, [(1.0, 1.0)], [("lost", None, 2.0), ("found", 50.0, 50.0)]) == ["found"]
-    with pytest.raises(ValueError):
-        assigned(spark, [(1.0, 1.0)], [])
-    with pytest.raises(ValueError):
-        assigned(spark, [(1.0, 1.0)], [("lost", None, None)])
+@pytest.mark.parametrize("filler", [0, 70])
+def test_places_and_points_without_coordinates_or_name(spark, filler):
+    nan = float("nan")
+    places = [("lost", None, 2.0), ("found", 50.0, 50.0), (None, 1.0, 1.0), ("odd", nan, 1.0)]
+    places += [(f"far {n}", 70.0 + n / 10, 90.0) for n in range(filler)]
+    points = [(1.0, 1.0), (nan, 1.0), (None, 1.0)]
+    assert assigned(spark, points, places) == ["found"]
+    assert assigned(spark, points, [("lost", None, None)]) == []
+    assert assigned(spark, points, []) == []
 
 
 def test_repeated_keys_keep_the_row_nearest_to_any_city(spark, log, cities):
@@ -126,20 +129,23 @@ def test_message_fields(spark, log):
     assert at(normalize_messages(events, lenient=False))[2] == "01 00:00:00"
 
 
-def test_unique_keys_need_no_shuffle_of_points(spark, log, cities):
-    messages = normalize_messages(log({"user": 1, "lat": 1.0, "lon": 2.0}))
-    plan = final_plan(assign_nearest(messages, cities, key=None))
-    assert "Exchange" not in plan and "Join" not in plan
-    assert final_plan(assign_nearest(messages, cities)).count("Exchange hashpartitioning") == 1
-
-
-def test_points_of_a_long_list_meet_only_their_cell(spark):
+@pytest.mark.parametrize("count", [24, 200])
+def test_plan_has_no_nested_loop_and_sorts_the_points_once(spark, count):
     places = spark.createDataFrame(
-        [(f"place {n}", *p) for n, p in enumerate(some_points(200))], PLACES
+        [(f"place {n}", *p) for n, p in enumerate(some_points(count))], PLACES
     )
     points = spark.range(1000).select(
-        F.col("id").alias("message_id"), (F.rand(1) * 100 - 50).alias("lat"),
-        (F.rand(2) * 100).alias("lon"),
+        F.col("id").alias("message_id"), F.lit(1).alias("user_id"), F.lit(NOON).alias("datetime"),
+        (F.rand(1) * 100 - 50).alias("lat"), (F.rand(2) * 100).alias("lon"),
     )
-    plan = planned(assign_nearest(points, places, key=None))
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    unkeyed = final_plan(assign_nearest(points, places, key=None))
+    keyed = planned(assign_nearest(points, places))
+    for plan in (unkeyed, keyed):
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+        assert "SinglePartition" not in plan
+    # From the top: the window, its one sort, and the exchange on the key with none below it
+    # up to the join with the lists.
+    upper = keyed[keyed.index("Window") : keyed.index("Join")]
+    assert upper.count("Exchange hashpartitioning(message_id") == 1
+    below = upper[upper.index("Exchange hashpartitioning(message_id"):]
+    assert "Sort [message_id" not in below and "SortAggregate" not in below

@@ -3,6 +3,13 @@
 Which place is nearest is decided on a quantity that orders places exactly as the distance
 does but needs no trigonometry per pair: the squared straight-line chord between points on
 the unit sphere for the great-circle metric, the squared offset in degrees for the planar.
+
+Places are narrowed down per cell of a grid. With ``nearest`` the distance from a cell's
+centre to its nearest place and ``reach`` that to its farthest point, no place beyond
+``nearest + 2 * reach`` can be nearest to any point of the cell. Cells that are left with
+more than a short list are cut into smaller ones, where points are, and narrow their own
+lists down from their parent's; so the work follows the places and the cells in use, and not
+their product. Points then meet only the list of their own cell.
 """
 
 from __future__ import annotations
@@ -10,19 +17,18 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.distance import metric_function, square
 from waymark.operators.messages import normalize_messages
 
-# Places up to this number are written into the generated code as literals; at some 70 bytes
-# each they leave the method within what the JVM compiles.
-LITERAL_PLACES = 48
-# Larger lists are handed to tasks in arrays of about this many places each.
-PLACES_PER_ARRAY = 20_000
-# Side in degrees of the cells that a larger list is narrowed down by.
-CELL_DEGREES = 0.5
+# Sides in degrees of the cells, from an eighth of the circle down to some twenty kilometres.
+CELL_DEGREES = (45.0, 2.8125, 0.17578125)
+# A longer list of places is narrowed down in smaller cells.
+LIST_PLACES = 64
+# Parts the places are dealt into when they meet the largest cells.
+SALTS = 64
 
 _AXES = ("_x", "_y", "_z")
 MESSAGE_KEY = ("message_id", "user_id", "datetime")
@@ -36,119 +42,127 @@ def _axes(lat: Column, lon: Column, metric: str) -> list[Column]:
     return [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
 
 
-def _literal_axes(lat: float, lon: float, metric: str) -> list[float]:
-    if metric == "planar":
-        return [lat, lon]
-    lat, lon = math.radians(lat), math.radians(lon)
-    return [math.cos(lat) * math.cos(lon), math.cos(lat) * math.sin(lon), math.sin(lat)]
-
-
-def _spread(here: Sequence[Column], there: Sequence) -> Column:
+def _spread(here: Sequence[Column], there: Sequence[Column]) -> Column:
     total = square(here[0] - there[0])
     for a, b in zip(here[1:], there[1:]):
         total = total + square(a - b)
     return total
 
 
-def _with_literal_places(points: DataFrame, places: list, metric: str) -> DataFrame:
-    """One generated expression per row: no join, no shuffle, no row explosion."""
-    located = sorted((p["city"], p["lat"], p["lon"]) for p in places)
-    axes = _axes(F.col("lat"), F.col("lon"), metric)
-    # Points without coordinates are gone by now; saying so spares a null test per operation,
-    # and the code generated for a few dozen places stays small enough to be compiled.
-    present = [F.coalesce(axis, F.lit(0.0)) for axis in axes]
-    points = points.withColumns(dict(zip(_AXES, present)))
-    # In order of name, so that the lower position wins a tie as the lower name would. The
-    # expression is given as one text: it is long, and quicker to parse than to assemble.
-    options = []
-    for at, (_, lat, lon) in enumerate(located):
-        offsets = [
-            f"({name} - ({value!r}D))" for name, value in zip(_AXES, _literal_axes(lat, lon, metric))
-        ]
-        spread = " + ".join(f"{offset} * {offset}" for offset in offsets)
-        options.append(f"named_struct('spread', {spread}, 'at', {at})")
-    best = options[0] if len(options) == 1 else f"least({', '.join(options)})"
-    points = points.withColumn("_least", F.expr(best))
-    at = F.col("_least.at")
-    names, lats, lons = (F.lit(list(values)) for values in zip(*located))
-    place = F.struct(
-        F.col("_least.spread").alias("spread"),
-        names[at].alias("city"),
-        lats[at].alias("lat"),
-        lons[at].alias("lon"),
-    )
-    return points.withColumn("_best", place).drop("_least", *_AXES)
+def _on_map() -> Column:
+    finite = [
+        F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
+        for c in ("lat", "lon")
+    ]
+    return finite[0] & finite[1]
+
 
+def _cell(level: int, lat: Column, lon: Column) -> Column:
+    """Number of the cell of a level: row and column side by side."""
+    side = CELL_DEGREES[level]
+    return F.floor(lat / side) * 2**32 + F.floor(lon / side)
 
-def _with_cell_candidates(points: DataFrame, places: DataFrame, metric: str) -> DataFrame:
-    """The same result for place lists of any length.
 
-    The cells that hold points are few whatever the number of points (at half a degree the
-    Earth has 259,200), so places are narrowed down once per cell: with ``nearest`` the
-    distance from the cell's centre to its nearest place and ``reach`` that to its farthest
-    point, no place beyond ``nearest + 2 * reach`` can be nearest to any point of the cell.
-    Points then meet only their own cell's short list.
+def _middle(level: int, lat: Column, lon: Column, metric: str) -> list[Column]:
+    """Axes of the centre of the cell that holds a point."""
+    side = CELL_DEGREES[level]
+    centre = lambda degrees: (F.floor(degrees / side) + 0.5) * side
+    return _axes(centre(lat), centre(lon), metric)
+
+
+def _reach(level: int, metric: str) -> float:
+    """At least the distance from a cell's centre to any of its points.
+
+    A chord is never longer than its arc, nor an arc than the flat diagonal; the extra
+    hundredth covers rounding.
     """
-    # Of places at one spot only the first by name can win.
-    located = places.groupBy("lat", "lon").agg(F.min("city").alias("city"))
-    axis_count = len(_literal_axes(0.0, 0.0, metric))
-    names = _AXES[:axis_count]
-    packed = located.select(
-        F.struct(
-            "city", "lat", "lon",
-            *[a.alias(n) for a, n in zip(_axes(F.col("lat"), F.col("lon"), metric), names)],
-        ).alias("place")
-    )
-    count = located.count()
-    array_count = max(1, math.ceil(count / PLACES_PER_ARRAY))
-    arrays = [
-        packed.where(F.pmod(F.xxhash64("place"), F.lit(array_count)) == i)
-        .agg(F.collect_list("place").alias("places"))
-        .scalar()
-        for i in range(array_count)
-    ]
+    half_diagonal = CELL_DEGREES[level] * math.sqrt(2) / 2
+    return 1.01 * (half_diagonal if metric == "planar" else math.radians(half_diagonal))
 
-    cell_y = F.floor(F.col("lat") / CELL_DEGREES).alias("_cell_y")
-    cell_x = F.floor(F.col("lon") / CELL_DEGREES).alias("_cell_x")
-    points = points.select("*", cell_y, cell_x)
-    cells = points.select("_cell_y", "_cell_x").distinct()
-    middle = _axes(
-        (F.col("_cell_y") + 0.5) * CELL_DEGREES, (F.col("_cell_x") + 0.5) * CELL_DEGREES, metric
+
+def _narrowed(met: DataFrame, level: int, metric: str, again: Column | None = None) -> DataFrame:
+    """Of the places listed for each cell, those that can be nearest to one of its points.
+
+    ``again`` is true where the row is new to this level; the other lists stay as they are.
+    """
+    per_cell = Window.partitionBy("level", "cell")
+    place = [F.col(f"place.{name}") for name in _AXES[: 2 if metric == "planar" else 3]]
+    spread = _spread(_middle(level, F.col("cell_lat"), F.col("cell_lon"), metric), place)
+    limit = square(F.sqrt(F.min("_spread").over(per_cell)) + 2 * _reach(level, metric))
+    listed = met.withColumn("_spread", spread).withColumn("_limit", limit)
+    near = F.col("_spread") <= F.col("_limit")
+    listed = listed.where(near if again is None else near | ~again)
+    return listed.withColumn("listed", F.count(F.lit(1)).over(per_cell)).drop("_spread", "_limit")
+
+
+def _place_lists(points: DataFrame, places: DataFrame, metric: str, list_places: int) -> DataFrame:
+    """``finest, places``: per smallest cell in use the places its points have to be held
+    against, no fewer and, but for ties and crowds in one spot, about ``list_places`` at most."""
+    names = _AXES[: 2 if metric == "planar" else 3]
+    axes = [a.alias(n) for a, n in zip(_axes(F.col("lat"), F.col("lon"), metric), names)]
+    # Of places at one spot only the first by name can win.
+    located = places.groupBy("lat", "lon").agg(F.min("city").alias("city")).select(
+        F.struct("city", "lat", "lon", *axes).alias("place")
     )
-    half_diagonal = CELL_DEGREES * math.sqrt(2) / 2
-    # A chord is never longer than its arc, nor an arc than the flat diagonal; the extra
-    # hundredth covers rounding.
-    reach = 1.01 * (half_diagonal if metric == "planar" else math.radians(half_diagonal))
-    cells = cells.withColumns(dict(zip(names, middle)))
-    here = [F.col(n) for n in names]
-    spread_to = lambda place: _spread(here, [place[n] for n in names])
-    held = [f"_places_{i}" for i in range(array_count)]
-    with_places = lambda df: df.withColumns(dict(zip(held, arrays)))
-    nearest = [F.array_min(F.transform(places, spread_to)) for places in held]
-    nearest = F.least(*nearest) if len(nearest) > 1 else nearest[0]
-    cells = with_places(cells).withColumn("_limit", square(F.sqrt(nearest) + 2 * reach))
-    # The exchange (of one short row per cell) keeps the limit from being worked out again
-    # for every place it is compared with.
-    cells = cells.drop(*held).repartition("_cell_y", "_cell_x")
-    is_near = lambda place: spread_to(place) <= F.col("_limit")
-    cells = with_places(cells).select(
-        "_cell_y", "_cell_x", F.concat(*[F.filter(places, is_near) for places in held]).alias("_near")
+    last = len(CELL_DEGREES) - 1
+    side = CELL_DEGREES[last]
+    # The smallest cells in use, each by its centre; all larger cells follow from these.
+    used = points.select(
+        F.floor(F.col("lat") / side).alias("_row"), F.floor(F.col("lon") / side).alias("_column")
+    ).distinct()
+    used = used.select(
+        ((F.col("_row") + 0.5) * side).alias("cell_lat"),
+        ((F.col("_column") + 0.5) * side).alias("cell_lon"),
     )
-    points = points.join(cells, ["_cell_y", "_cell_x"])
-    own = _axes(F.col("lat"), F.col("lon"), metric)
-    points = points.withColumns(dict(zip(names, own)))
-    best = F.array_min(
-        F.transform(
-            "_near",
-            lambda place: F.struct(
-                _spread([F.col(n) for n in names], [place[n] for n in names]).alias("spread"),
-                place["city"].alias("city"),
-                place["lat"].alias("lat"),
-                place["lon"].alias("lon"),
-            ),
+
+    def cells(level: int) -> DataFrame:
+        """The cells of a level in use, each by some point of it."""
+        return used.groupBy(
+            _cell(level, F.col("cell_lat"), F.col("cell_lon")).alias("cell")
+        ).agg(F.min(F.struct("cell_lat", "cell_lon")).alias("at")).select(
+            "cell", "at.cell_lat", "at.cell_lon"
         )
+
+    # The largest cells are few whatever the input, so each meets all places, salt by salt.
+    first = cells(0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = located.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int"))
+    lists = first.join(salted, "salt").select(
+        F.lit(0).alias("level"), "cell", "cell_lat", "cell_lon", "place"
     )
-    return points.withColumn("_best", best).drop("_cell_y", "_cell_x", "_near", *names)
+    lists = _narrowed(lists, 0, metric)
+    for level in range(1, last + 1):
+        lat, lon = F.col("child_lat"), F.col("child_lon")
+        children = cells(level).toDF("child", "child_lat", "child_lon").withColumns({
+            "parent": _cell(level - 1, lat, lon), "above": F.lit(level - 1),
+        })
+        # Short lists find no child and stay as they are.
+        split = (
+            (F.col("parent") == F.col("cell")) & (F.col("above") == F.col("level"))
+            & (F.col("listed") > list_places)
+        )
+        lists = lists.join(children, split, "left")
+        new = F.col("child").isNotNull()
+        lists = lists.select(
+            F.when(new, level).otherwise(F.col("level")).alias("level"),
+            F.coalesce("child", "cell").alias("cell"),
+            F.coalesce("child_lat", "cell_lat").alias("cell_lat"),
+            F.coalesce("child_lon", "cell_lon").alias("cell_lon"),
+            "place",
+        )
+        lists = _narrowed(lists, level, metric, again=F.col("level") == level)
+    lists = lists.groupBy("level", "cell").agg(F.collect_list("place").alias("places"))
+    # Each smallest cell lies in exactly one cell of each level, and one of these has a list.
+    own = F.explode(F.array(*[
+        F.struct(
+            F.lit(level).alias("level"),
+            _cell(level, F.col("cell_lat"), F.col("cell_lon")).alias("cell"),
+        )
+        for level in range(last + 1)
+    ])).alias("own")
+    finest = _cell(last, F.col("cell_lat"), F.col("cell_lon")).alias("finest")
+    return used.select(finest, own).select("finest", "own.*").join(
+        lists, ["level", "cell"]
+    ).select("finest", "places")
 
 
 def assign_nearest(
@@ -157,43 +171,51 @@ def assign_nearest(
     key: Sequence[str] | None = MESSAGE_KEY,
     metric: str = "haversine",
     distance: str | None = None,
+    list_places: int = LIST_PLACES,
 ) -> DataFrame:
     """Add to every point the ``city`` of the place nearest to it.
 
-    ``points`` and ``places`` both have ``lat`` and ``lon`` in degrees; points without
-    coordinates are dropped. Of equally near places the first by name wins. ``distance``
-    names an optional column with the distance in km.
+    ``points`` and ``places`` both have ``lat`` and ``lon`` in degrees; points without finite
+    coordinates are dropped, as are places without them or without a name, and with no place
+    left there are no rows. Of equally near places the first by name wins. ``distance`` names
+    an optional column with the distance in km. Any number of places goes the same way.
 
     With a ``key``, points that share it collapse to the one nearest to any place (then the
     first by city, latitude and longitude), which costs one shuffle on the key; pass
-    ``key=None`` when keys are known to be unique and the points are never shuffled.
+    ``key=None`` when keys are known to be unique.
     """
     kilometres = metric_function(metric)
-    on_map = F.col("lat").isNotNull() & F.col("lon").isNotNull()
-    located = points.where(on_map)
-    places = places.where(on_map).select("city", "lat", "lon")
-    listed = places.limit(LITERAL_PLACES + 1).collect()
-    if not listed:
-        raise ValueError("no places to assign to")
-    if len(listed) <= LITERAL_PLACES:
-        matched = _with_literal_places(located, listed, metric)
-    else:
-        matched = _with_cell_candidates(located, places, metric)
-
+    located = points.where(_on_map())
+    named = places.where(_on_map() & F.col("city").isNotNull()).select("city", "lat", "lon")
+    lists = _place_lists(located, named, metric, list_places)
+    names = _AXES[: 2 if metric == "planar" else 3]
+    here = [F.col(n) for n in names]
+    last = len(CELL_DEGREES) - 1
+    matched = located.withColumn("finest", _cell(last, F.col("lat"), F.col("lon"))).join(
+        lists, "finest"
+    ).withColumns(dict(zip(names, _axes(F.col("lat"), F.col("lon"), metric))))
+    nearest = F.array_min(F.transform(
+        "places",
+        lambda place: F.struct(
+            _spread(here, [place[n] for n in names]).alias("spread"),
+            place["city"].alias("city"), place["lat"].alias("lat"), place["lon"].alias("lon"),
+        ),
+    ))
+    matched = matched.withColumn("_best", nearest)
     place = F.col("_best")
     found = {"city": place["city"]}
     if distance:
         found[distance] = kilometres(F.col("lat"), F.col("lon"), place["lat"], place["lon"])
     found["_spread"] = place["spread"]
-    matched = matched.withColumns(found).drop("_best")
+    matched = matched.withColumns(found).drop("_best", "finest", "places", *names)
     if not key:
         return matched.drop("_spread")
-
-    ranks = ["_spread", "city", "lat", "lon"]
-    rest = [c for c in matched.columns if c not in (*key, *ranks)]
-    chosen = matched.groupBy(*key).agg(F.min(F.struct(*ranks, *rest)).alias("_row"))
-    return chosen.select(*key, "_row.*").select(
-        *[c for c in matched.columns if c != "_spread"]
+    # The first of each key after one exchange and one sort; asking for what lies before it,
+    # and not for a rank, keeps the rows from being sorted ahead of the exchange as well.
+    in_order = Window.partitionBy(*key).orderBy("_spread", "city", "lat", "lon")
+    before = F.lag(F.lit(1)).over(in_order)
+    return matched.withColumn("_before", before).where(F.col("_before").isNull()).drop(
+        "_before", "_spread"
     )
 
 
