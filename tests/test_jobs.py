@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -22,7 +23,11 @@ def test_jobs_end_to_end(spark, tmp_path):
     lines = [f"{i};{city};{comma(lat)};{comma(lon)}" for i, city, lat, lon in CITIES]
     (tmp_path / "cities.csv").write_text("\r".join(["id;city;lat;lng", *lines]) + "\r")
     log = geo_log(spark, "/root/testdata/sf0.01")
-    log.write.parquet(at("raw"))
+    # A log as it comes: other fields among its own, in another order, and another column.
+    fields = ["datetime", "reaction_from", "user", "message_id", "message_from", "message_to",
+              "message_ts", "subscription_channel"]
+    wider = F.struct(F.lit(7).alias("message_channel_to"), *[F.col(f"event.{f}") for f in fields])
+    log.withColumn("event", wider).withColumn("source", F.lit("x")).write.parquet(at("raw"))
 
     cities.main([at("cities.csv"), at("cities")])
     events.main([at("raw"), at("events")])
@@ -62,11 +67,19 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert 0 < total(some) < total(read("zones", schemas.ZONE_MART))
     assert some.where("week_message IS NULL OR month_user IS NULL").count() == 0
 
+    # A window over the whole table replaces its days and keeps all others.
+    message_city.main([
+        at("cities"), at("events"), at("messages"), "--end", "2024-01-10", "--depth", "2"
+    ])
+    assert rows(read("messages", schemas.MESSAGE_CITY)) == rows(messages)
     message_city.main([
         at("cities"), at("events"), at("window"), "--end", "2024-01-10", "--depth", "2"
     ])
     days = {r.date for r in read("window", schemas.MESSAGE_CITY).select("date").collect()}
     assert days == {dt.date(2024, 1, 9), dt.date(2024, 1, 10)}
+    for window in ({"end": "2024-01-10", "depth": 0}, {"end": "2024-01-10"}, {"depth": 2}):
+        with pytest.raises(ValueError):
+            message_city.run(spark, at("cities"), at("events"), at("none"), **window)
 
 
 def test_instants_are_utc():

@@ -122,3 +122,10 @@ def test_streaks_and_travel_keep_their_promises(stays, given_visits):
         assert count == len(cities_seen)
         assert all(a != b for a, b in zip(cities_seen, cities_seen[1:]))
     frame.unpersist()
+
+
+def test_messages_of_no_user_are_left_out_of_the_mart(stays, cities):
+    found = user_geo_mart(stays(
+        (1, "Perth", dt.date(2024, 1, 1)), (None, "Perth", dt.date(2024, 1, 1))
+    ), cities)
+    assert rows(found, "user_id") == [(1,)]

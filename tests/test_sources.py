@@ -7,7 +7,7 @@ from waymark import schemas
 from waymark.operators.messages import normalize_messages
 from waymark.sources.cities import AREA_ZONES, CITIES, load_cities, with_timezone
 from waymark.sources.events import events_window, ingest_events, read_events
-from waymark.sources.tables import read_table, scratch_path, write_table
+from waymark.sources.tables import read_table, write_table
 
 
 def test_city_csv_with_bare_carriage_returns(spark, tmp_path):
@@ -76,7 +76,27 @@ def test_ingest_lays_out_by_date_and_type_and_prunes(spark, log, tmp_path):
     scan = planned(window)
     filters = scan[scan.index("PartitionFilters"):].split("]")[0]
     assert "date" in filters and ">=" in filters and "<=" in filters
-    assert "InMemoryFileIndex(9 paths)" in scan or "paths" in scan
+
+
+def test_wider_logs_are_read_by_name_and_still_pruned(spark, log, tmp_path):
+    from pyspark.sql import functions as F
+
+    events = log({"user": 1, "to": 2}, {"type": "reaction", "user": 3})
+    names = [f.name for f in events.schema["event"].dataType]
+    wider = F.struct(F.lit("x").alias("extra"), *[F.col(f"event.{n}") for n in reversed(names)])
+    path = str(tmp_path / "events")
+    ingest_events(events.withColumn("event", wider).withColumn("more", F.lit(1)), path)
+    back = read_events(spark, path)
+    assert rows(normalize_messages(back)) == rows(normalize_messages(events))
+    plan = planned(normalize_messages(back))
+    read = plan[plan.index("ReadSchema"):]
+    assert "message_from" in read and "extra" not in read and "reaction_from" not in read
+    assert "event_type" in plan[plan.index("PartitionFilters"):].split("]")[0]
+
+    narrow = str(tmp_path / "narrow")
+    ingest_events(events.withColumn("event", F.col("event").dropFields("user")), narrow)
+    with pytest.raises(ValueError, match="event.user: missing"):
+        read_events(spark, narrow)
 
 
 def test_contact_filter_reaches_the_scan(spark, log, tmp_path):
@@ -119,15 +139,33 @@ def test_numeric_city_directories_stay_text(spark, tmp_path):
     assert read_table(spark, path, schemas.USER_GEO_MART, "users").first().act_city == "1770"
 
 
-def test_scratch_tables_go_to_the_shared_folder(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    one, two = scratch_path(spark, "t"), scratch_path(spark, "t")
-    assert one.startswith(shared) and two.startswith(shared) and one != two
+def test_directories_are_rebalanced_before_writing(spark, tmp_path):
+    """One file per small directory, though every task has rows of each."""
+    from pyspark.sql import functions as F
 
+    frame = spark.range(0, 400, 1, 8).withColumn("date", F.col("id") % 4)
+    files = lambda path: len(list(path.glob("date=*/*.parquet")))
+    write_table(frame, str(tmp_path / "one"), ["date"])
+    write_table(frame, str(tmp_path / "many"), ["date"], rebalance=False)
+    assert files(tmp_path / "one") == 4 and files(tmp_path / "many") == 32
 
-def test_directories_are_rebalanced_before_writing(spark):
+
+def test_only_partitions_keeps_the_others(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    frame = spark.range(10).withColumn("date", F.lit("x"))
-    plan = planned(frame.hint("rebalance", F.col("date")))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    path = str(tmp_path / "t")
+    days = lambda *ids: spark.createDataFrame([(n, n % 3) for n in ids], "id long, date long")
+    write_table(days(0, 1, 2, 3), path, ["date"])
+    write_table(days(31), path, ["date"], only_partitions=True)
+    assert rows(spark.read.parquet(path), "id") == [(0,), (2,), (3,), (31,)]
+
+
+def test_city_list_goes_by_its_header(spark, tmp_path):
+    path = tmp_path / "cities.csv"
+    path.write_text("id;city;note;lng;lat\n12;Hobart;x;147,325;-42,8806\n")
+    assert rows(load_cities(spark, str(path))) == [
+        (12, "Hobart", -42.8806, 147.325, "Australia/Hobart")
+    ]
+    path.write_text("id;city;lat\n1;Hobart;2\n")
+    with pytest.raises(ValueError, match="lng"):
+        load_cities(spark, str(path))

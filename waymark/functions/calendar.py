@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,6 +39,11 @@ def first_timestamp(texts: list[Column], date: Column, lenient: bool = True) ->
     return F.coalesce(*parsed, date.cast("timestamp"))
 
 
+def utc_literal(at: dt.datetime) -> Column:
+    """A moment as a timestamp, taken as UTC unless it names an offset, on a host of any zone."""
+    return F.lit(at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)).cast("timestamp")
+
+
 def local_time(utc: Column, zone: Column) -> Column:
     """Wall-clock time in ``zone``, daylight saving included; wants a UTC session."""
     return F.from_utc_timestamp(utc, zone)

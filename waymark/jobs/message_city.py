@@ -20,11 +20,17 @@ def run(
     end: str | None = None,
     depth: int | None = None,
 ) -> None:
+    """The whole log, or the ``depth`` days that end at ``end``: of an earlier table the days
+    with messages in the window are then written anew and all others stay."""
     log = read_events(spark, events)
-    if end and depth:
+    if (end is None) != (depth is None):
+        raise ValueError("end and depth of a window go together")
+    windowed = end is not None
+    if windowed:
         log = events_window(log, end, depth)
     places = read_table(spark, cities, CITY_DIM, "city_dim")
-    write_table(message_city(log, places, lenient), out, ["date"])
+    matched = message_city(log, places, lenient)
+    write_table(matched, out, ["date"], only_partitions=windowed)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.calendar import local_time
+from waymark.functions.calendar import local_time, utc_literal
 from waymark.operators.blocks import BLOCK_ROWS
 from waymark.operators.pairs import channel_members, contact_edges, exclude_contacts
 from waymark.operators.proximity import near_pairs
@@ -35,7 +35,7 @@ def friends_mart(
         message_city, members, ["city", "channel"], km, metric, ["city"], block_rows
     )
     friends = exclude_contacts(near, contact_edges(events))
-    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    now = utc_literal(as_of) if as_of else F.current_timestamp()
     zones = cities.select("city", F.col("id").alias("zone_id"), "timezone")
     return (
         friends.join(zones, "city")

@@ -27,9 +27,10 @@ def user_geo_mart(
 
     Two exchanges in all: one for the daily presence, spread over user, city and day, and one
     that brings a user's days together. ``local_time`` is the last action in the zone of the
-    current city; see ``current_city`` for ``activity``.
+    current city; see ``current_city`` for ``activity``. Messages of no user are left out.
     """
-    streaks = day_streaks(daily_presence(message_city))
+    known = message_city.where(F.col("user_id").isNotNull())
+    streaks = day_streaks(daily_presence(known))
     users = (
         with_travel_inputs(with_home_inputs(streaks))
         .groupBy("user_id")

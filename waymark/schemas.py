@@ -78,21 +78,31 @@ FRIENDS_MART = T.StructType([
 ])
 
 
+def _faults(found: T.StructType, wanted: T.StructType, path: str = "") -> list[str]:
+    """Fields of ``wanted`` that ``found`` lacks or has with another type, at any depth."""
+    there = {f.name: f.dataType for f in found}
+    faults = []
+    for field in wanted:
+        at, kind = path + field.name, there.get(field.name)
+        if kind is None:
+            faults.append(f"{at}: missing")
+        elif isinstance(field.dataType, T.StructType) and isinstance(kind, T.StructType):
+            faults += _faults(kind, field.dataType, f"{at}.")
+        elif kind.simpleString() != field.dataType.simpleString():
+            faults.append(
+                f"{at}: {kind.simpleString()}, expected {field.dataType.simpleString()}"
+            )
+    return faults
+
+
 def check_schema(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
-    """Return ``df`` cut to the contract's columns, or raise naming every column at fault.
+    """Return ``df`` cut to the contract's columns, or raise naming every field at fault.
 
+    Columns and fields of structs are found by name, in any order. Columns beyond the contract
+    are cut off; fields beyond it stay in their struct, where scans leave out what is not used.
     Nullability is not compared: every Parquet column is read back as nullable.
     """
-    found = {f.name: f.dataType for f in df.schema}
-    faults = []
-    for field in schema:
-        if field.name not in found:
-            faults.append(f"{field.name}: missing")
-        elif found[field.name].simpleString() != field.dataType.simpleString():
-            faults.append(
-                f"{field.name}: {found[field.name].simpleString()}, "
-                f"expected {field.dataType.simpleString()}"
-            )
+    faults = _faults(df.schema, schema)
     if faults:
         raise ValueError(f"{name} breaks its contract: " + "; ".join(faults))
     return df.select(*schema.names)

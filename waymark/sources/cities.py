@@ -93,8 +93,13 @@ def load_cities(
     default: str = DEFAULT_ZONE,
     overrides: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read the city list: ``;`` between fields, a header, decimal commas, any line end."""
-    raw = spark.read.schema(CITY_CSV).csv(path, sep=";", header=True)
+    """Read the city list: ``;`` between fields, decimal commas, any line end. The header
+    names the columns, which may come in any order and among others."""
+    named = spark.read.csv(path, sep=";", header=True)
+    missing = [f.name for f in CITY_CSV if f.name not in named.columns]
+    if missing:
+        raise ValueError(f"city list lacks columns {', '.join(missing)}")
+    raw = named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CITY_CSV])
     return clean_cities(raw, default, overrides)
 
 

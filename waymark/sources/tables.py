@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +31,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, name: str)
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = True,
+    only_partitions: bool = False,
 ) -> None:
     """Overwrite a Parquet table, optionally in Hive-style directories.
 
@@ -41,18 +43,13 @@ def write_table(
     instead of one per task, and adaptive execution cuts a directory holding a large part
     of the table into files of the advisory size, so no single task has to write it.
     ``rebalance=False`` spares the shuffle when ``df`` already arrives in that order.
+    ``only_partitions`` overwrites the directories ``df`` has rows for and leaves the others.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if only_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder in the cluster's shared checkpoint folder, or a local one if none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    return f"{tempfile.mkdtemp(prefix='waymark-')}/{label}"
