@@ -81,6 +81,21 @@ def test_block_join_meets_every_pair_once(spark, block_rows):
     assert rows(blocked, "l_id", "r_id") == rows(plain, "l_id", "r_id")
 
 
+@pytest.mark.parametrize("block_rows", [1, 7, 1000])
+def test_ordered_blocks_meet_every_pair_once(spark, block_rows):
+    """Blocks by value, of which only the upper triangle meets; more than a hundred of them."""
+    side = lambda prefix: spark.range(300).select(
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 7).alias("k"),
+        F.floor(F.col("id") / 2).alias(f"{prefix}id"),
+    )
+    left, right = side("l_"), side("r_")
+    plain = left.join(right, "k").where("l_id > r_id")
+    blocked = block_join(
+        left, right, ["k"], ["id"], F.expr("l_id > r_id"), block_rows, ordered=True
+    )
+    assert rows(blocked, "l_id", "r_id") == rows(plain, "l_id", "r_id")
+
+
 @pytest.mark.parametrize("block_rows", [2, 4096])
 def test_hot_channel_in_blocks_gives_the_same_pairs(homes, log, block_rows):
     users = homes(*[(n, "A") for n in range(1, 31)])
@@ -211,6 +226,21 @@ def test_friends_mart_equals_its_steps(spark, homes, log, cities):
         assert rows(mart, "user_left", "user_right") == rows(steps, "user_left", "user_right")
 
 
+def test_as_of_is_utc_on_a_host_of_another_zone(spark, homes, log, cities, monkeypatch):
+    import time
+
+    users, events, messages = friends_inputs(spark, homes, log)
+    monkeypatch.setenv("TZ", "Australia/Sydney")
+    time.tzset()
+    try:
+        mart = friends_mart(users, events, messages, cities, AS_OF)
+        found = mart.select(F.col("local_time").cast("string").alias("t"), "processed_dttm").first()
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert found.t == "2024-01-02 04:00:00" and found.processed_dttm == dt.date(2024, 1, 1)
+
+
 def test_friends_mart_dates_itself_without_as_of(spark, homes, log, cities):
     users, events, messages = friends_inputs(spark, homes, log)
     found = friends_mart(users, events, messages, cities).first()

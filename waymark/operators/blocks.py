@@ -18,6 +18,7 @@ def block_join(
     spread: Sequence[str],
     condition: Column,
     block_rows: int = BLOCK_ROWS,
+    ordered: bool = False,
 ) -> DataFrame:
     """``left`` inner join ``right`` on ``keys`` and ``condition``, hot keys cut into blocks.
 
@@ -26,6 +27,10 @@ def block_join(
     under a key of its own. Every pair of rows still meets exactly once, while no task is
     left with more than a block by a block. Keys below the limit are joined as they are.
 
+    ``ordered`` says that both sides hold the same rows and that the condition wants the first
+    spread column greater on the left. Blocks are then ranges of that column, and a block only
+    meets itself and those below it: half of the meetings of a hot key.
+
     ``left`` and ``right`` must be disjoint in column names but for ``keys``; the spread
     columns are named with the prefix of their side, ``l_`` and ``r_``.
     """
@@ -38,6 +43,8 @@ def block_join(
         .groupBy(*keys)
         .agg(F.sum("_n_left").alias("_n_left"), F.sum("_n_right").alias("_n_right"))
     )
+    if ordered:
+        return _ordered_blocks(left, right, keys, spread[0], condition, counted, block_rows)
     blocks = lambda name: F.ceil(F.col(name) / block_rows).cast("int")
     # Keys over the limit on a side; at most one for every block_rows rows of input.
     hot = counted.where(
@@ -57,3 +64,59 @@ def block_join(
     lefts = dealt(left, "l", "r", "l_")
     rights = dealt(right, "r", "l", "r_")
     return lefts.join(rights, [*keys, "_l", "_r"]).where(condition).drop("_l", "_r")
+
+
+# Ranges a hot key is cut into at most; what is then still over the limit is cut by hash too.
+_RANGES = 100
+
+
+def _ordered_blocks(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    by: str,
+    condition: Column,
+    counted: DataFrame,
+    block_rows: int,
+) -> DataFrame:
+    blocks = F.ceil(F.col("_n_left") / block_rows)
+    hot = counted.where(F.col("_n_left") > block_rows).select(
+        *keys, blocks.cast("int").alias("_blocks")
+    )
+    # The ranges are cut at quantiles, which need only be rough: whatever the edges, each pair
+    # of rows has exactly one meeting.
+    steps = [n / _RANGES for n in range(1, _RANGES)]
+    quantiles = (
+        left.join(hot, list(keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(f"l_{by}", steps, 1000).alias("_quantiles"))
+    )
+    ranges = F.least("_blocks", F.lit(_RANGES))
+    edge = lambda b: F.element_at("_quantiles", F.floor(b * _RANGES / ranges).cast("int"))
+    cuts = hot.join(quantiles, list(keys)).select(
+        *keys,
+        F.array_distinct(F.transform(F.sequence(F.lit(1), ranges - 1), edge)).alias("_edges"),
+        F.ceil(F.col("_blocks") / _RANGES).cast("int").alias("_parts"),
+    )
+
+    def dealt(side: DataFrame, prefix: str, own: str, other: str) -> DataFrame:
+        placed = side.join(cuts, list(keys), "left").withColumn(
+            "_parts", F.coalesce("_parts", F.lit(1))
+        )
+        value = F.col(f"{prefix}{by}")
+        below = F.size(F.filter("_edges", lambda e: e < value))
+        at = F.when(F.col("_edges").isNull(), 0).otherwise(below)
+        last = F.when(F.col("_edges").isNull(), 0).otherwise(F.size("_edges"))
+        # Greater values are on the left, so a left range meets those up to its own.
+        met = F.sequence(F.lit(0), at) if prefix == "l_" else F.sequence(at, last)
+        return (
+            placed.withColumn(own, at)
+            .withColumn(f"{own}_part", F.pmod(F.xxhash64(value), "_parts").cast("int"))
+            .withColumn(other, F.explode(met))
+            .withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+            .drop("_edges", "_parts")
+        )
+
+    cells = ["_l", "_r", "_l_part", "_r_part"]
+    lefts, rights = dealt(left, "l_", "_l", "_r"), dealt(right, "r_", "_r", "_l")
+    return lefts.join(rights, [*keys, *cells]).where(condition).drop(*cells)

@@ -46,6 +46,7 @@ def shared_channel_pairs(
         spread=["user_id"],
         condition=F.col("l_user_id") > F.col("r_user_id"),
         block_rows=block_rows,
+        ordered=True,
     )
     return pairs.select(
         F.col("l_user_id").alias("user_left"), F.col("r_user_id").alias("user_right"), "city"
