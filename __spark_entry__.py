@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -32,11 +33,10 @@ from waymark.operators.sampling import sample_users  # noqa: E402
 from waymark.plans.friends import friends_mart  # noqa: E402
 from waymark.plans.user_geo import user_geo_mart  # noqa: E402
 from waymark.plans.zone import zone_mart  # noqa: E402
-from waymark.schemas import MESSAGE_CITY, USER_GEO_MART  # noqa: E402
+from waymark.schemas import CITY_CSV  # noqa: E402
 from waymark.session import prepare_session  # noqa: E402
-from waymark.sources.cities import known_cities, load_cities, with_timezone  # noqa: E402
+from waymark.sources.cities import clean_cities, known_cities, with_timezone  # noqa: E402
 from waymark.sources.events import events_window, ingest_events, read_events  # noqa: E402
-from waymark.sources.tables import read_table, scratch_path, write_table  # noqa: E402
 from waymark.sources.testdata import geo_log  # noqa: E402
 
 HOME_DAYS = 4
@@ -51,20 +51,23 @@ def _ntz(df: DataFrame, *columns: str) -> DataFrame:
 class _Inputs:
     """The stages of the data flow, derived from one directory of tables.
 
-    ``message_city`` and ``user_geo`` are lazy. Queries that use one of them more than once
-    take the ``stored_`` form, handed on through Parquet as between the jobs, so that the
-    log is matched with the cities once.
+    All stages are lazy. Queries that use one of them more than once take the ``kept_`` form,
+    which Spark persists when it is first computed, so that the log is matched with the cities
+    once; the stages kept for the query before are let go.
     """
 
+    _kept: list[DataFrame] = []
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare_session(spark)
         self.events = geo_log(spark, sf_dir)
         self.cities = known_cities(spark)
+        while self._kept:
+            self._kept.pop().unpersist()
 
-    def _stored(self, df: DataFrame, name: str, schema) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        write_table(df, path)
-        return read_table(self.spark, path, schema, name)
+    def _keep(self, df: DataFrame) -> DataFrame:
+        self._kept.append(df.persist())
+        return df
 
     @cached_property
     def messages(self) -> DataFrame:
@@ -75,8 +78,8 @@ class _Inputs:
         return nearest.message_city(self.events, self.cities)
 
     @cached_property
-    def stored_message_city(self) -> DataFrame:
-        return self._stored(self.message_city, "message_city", MESSAGE_CITY)
+    def kept_message_city(self) -> DataFrame:
+        return self._keep(self.message_city)
 
     @cached_property
     def streaks(self) -> DataFrame:
@@ -87,13 +90,15 @@ class _Inputs:
         return user_geo_mart(self.message_city, self.cities, HOME_DAYS)
 
     @cached_property
-    def stored_user_geo(self) -> DataFrame:
-        users = user_geo_mart(self.stored_message_city, self.cities, HOME_DAYS)
-        return self._stored(users, "user_geo", USER_GEO_MART)
+    def kept_user_geo(self) -> DataFrame:
+        return self._keep(user_geo_mart(self.kept_message_city, self.cities, HOME_DAYS))
 
     @cached_property
-    def pairs(self) -> DataFrame:
-        return pairs.shared_channel_pairs(self.stored_user_geo, self.events)
+    def near_pairs(self) -> DataFrame:
+        members = pairs.channel_members(self.kept_user_geo, self.events)
+        return proximity.near_pairs(
+            self.kept_message_city, members, ["city", "channel"], keep=["city"]
+        )
 
 
 def _haversine_to_city(spark, sf_dir):
@@ -116,6 +121,19 @@ def _nearest_city(spark, sf_dir):
     )
 
 
+def _nearest_place_many(spark, sf_dir):
+    """Nearest of many places, one derived from each customer, to each message."""
+    at = _Inputs(spark, sf_dir)
+    key = F.col("c_custkey")
+    places = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.concat(F.lit("place "), key).alias("city"),
+        (-44 + key * 7919 % 34000 / 1000).alias("lat"),
+        (113 + key * 104729 % 41000 / 1000).alias("lon"),
+    )
+    found = nearest.assign_nearest(at.messages, places)
+    return found.select("message_id", "user_id", "city")
+
+
 def _messages_per_city_day(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
     return at.message_city.groupBy("city", "date").agg(F.count(F.lit(1)).alias("messages"))
@@ -128,21 +146,21 @@ def _city_timezone(spark, sf_dir):
 
 
 def _parse_city_csv(spark, sf_dir):
-    """Writes a city list line per event, as semicolon text with decimal commas, and loads it."""
+    """Parses a city list line per event: semicolon text with decimal commas."""
     prepare_session(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     event_id = F.col("event_id")
     decimals = lambda factor: F.lpad((event_id * factor % 10000).cast("string"), 4, "0")
-    lines = events.select(
-        event_id.cast("int").alias("id"),
+    line = F.concat_ws(
+        ";",
+        event_id,
         F.when(event_id % 3 == 0, "Hobart").when(event_id % 3 == 1, "Gold Coast")
-        .otherwise("Perth").alias("city"),
-        F.concat(F.lit("-"), 10 + event_id % 34, F.lit(","), decimals(7919)).alias("lat"),
-        F.concat(113 + event_id % 40, F.lit(","), decimals(104729)).alias("lng"),
+        .otherwise("Perth"),
+        F.concat(F.lit("-"), 10 + event_id % 34, F.lit(","), decimals(7919)),
+        F.concat(113 + event_id % 40, F.lit(","), decimals(104729)),
     )
-    path = scratch_path(spark, "city-csv")
-    lines.write.csv(path, sep=";", header=True)
-    return load_cities(spark, path)
+    parsed = F.from_csv(line, CITY_CSV.simpleString()[7:-1].replace(":", " "), {"sep": ";"})
+    return clean_cities(events.select(parsed.alias("line")).select("line.*"))
 
 
 def _parse_timestamps(spark, sf_dir):
@@ -166,10 +184,14 @@ def _parse_timestamps(spark, sf_dir):
 
 
 def _events_by_date_type(spark, sf_dir):
-    """Ingests the log into date/type directories and counts what is read back."""
+    """Ingests the log, with a field beyond its contract, into date/type directories of the
+    warehouse and counts what is read back. The folder goes with the session."""
     at = _Inputs(spark, sf_dir)
-    path = scratch_path(spark, "geo-events")
-    ingest_events(at.events, path)
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/geo_events_{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    wider = F.col("event").withField("message_channel_to", F.lit(None).cast("long"))
+    ingest_events(at.events.withColumn("event", wider), path)
     return read_events(spark, path).groupBy("date", "event_type").agg(
         F.count(F.lit(1)).alias("events")
     )
@@ -228,7 +250,7 @@ def _calendar_buckets(spark, sf_dir):
 
 def _registrations(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    return activity.registrations(at.stored_message_city, at.stored_user_geo)
+    return activity.registrations(at.kept_message_city, at.kept_user_geo)
 
 
 def _activity_week(spark, sf_dir):
@@ -238,17 +260,17 @@ def _activity_week(spark, sf_dir):
 
 def _activity_month(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    located = activity.events_with_city(at.events, at.user_geo)
-    return activity.activity_pivot(located, ["city", "month"], prefix="month_")
+    return activity.city_activity(at.events, at.user_geo, ("city", "month"), prefix="month_")
 
 
 def _zone_mart(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    return zone_mart(at.events, at.stored_message_city, at.stored_user_geo)
+    return zone_mart(at.events, at.kept_message_city, at.kept_user_geo)
 
 
 def _shared_channel_pairs(spark, sf_dir):
-    return _Inputs(spark, sf_dir).pairs
+    at = _Inputs(spark, sf_dir)
+    return pairs.shared_channel_pairs(at.kept_user_geo, at.events)
 
 
 def _contact_edges(spark, sf_dir):
@@ -257,31 +279,29 @@ def _contact_edges(spark, sf_dir):
 
 def _exclude_contacts(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
-    return pairs.exclude_contacts(at.pairs, pairs.contact_edges(at.events))
+    return pairs.exclude_contacts(at.near_pairs, pairs.contact_edges(at.events))
 
 
 def _within_km(spark, sf_dir):
     """People who wrote to each other and came within 3 km."""
     at = _Inputs(spark, sf_dir)
-    return proximity.within_km(pairs.direct_contacts(at.events), at.stored_message_city, 3.0)
+    return proximity.within_km(pairs.direct_contacts(at.events), at.kept_message_city, 3.0)
 
 
 def _within_km_haversine(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
     contacts = pairs.direct_contacts(at.events)
-    return proximity.within_km(contacts, at.stored_message_city, 3.0, metric="haversine")
+    return proximity.within_km(contacts, at.kept_message_city, 3.0, metric="haversine")
 
 
 def _near_pairs(spark, sf_dir):
-    at = _Inputs(spark, sf_dir)
-    members = pairs.channel_members(at.stored_user_geo, at.events)
-    return proximity.near_pairs(at.stored_message_city, members, ["city", "channel"], keep=["city"])
+    return _Inputs(spark, sf_dir).near_pairs
 
 
 def _friends_mart(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
     found = friends_mart(
-        at.stored_user_geo, at.events, at.stored_message_city, at.cities, AS_OF
+        at.kept_user_geo, at.events, at.kept_message_city, at.cities, AS_OF
     )
     return _ntz(found, "local_time")
 
@@ -311,6 +331,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "haversine_to_city": _haversine_to_city,
         "planar_distance": _planar_distance,
         "nearest_city": _nearest_city,
+        "nearest_place_many": _nearest_place_many,
         "messages_per_city_day": _messages_per_city_day,
         "city_timezone": _city_timezone,
         "parse_city_csv": _parse_city_csv,

@@ -315,6 +315,22 @@ ORACLES: dict[str, str] = {
                coalesce(parsed, CAST(day AS TIMESTAMP)) AS parsed_or_date
         FROM read
     """,
+    "nearest_place_many": _with(
+        f"""SELECT message_id, user_id, city FROM (
+              SELECT *, row_number() OVER (
+                PARTITION BY message_id, user_id, datetime ORDER BY km, city, lat, lon) AS place
+              FROM (
+                SELECT g.event_id AS message_id, g.user_id, g.ts AS datetime, c.city, g.lat,
+                       g.lon, {_haversine('g.lat', 'g.lon', 'c.lat', 'c.lon')} AS km
+                FROM geo g, (
+                  SELECT 'place ' || c_custkey AS city,
+                         -44 + c_custkey * 7919 % 34000 / 1000 AS lat,
+                         113 + c_custkey * 104729 % 41000 / 1000 AS lon
+                  FROM customer) c
+                WHERE g.event_type = 'message'))
+            WHERE place = 1""",
+        "geo",
+    ),
     "events_by_date_type": _with(
         "SELECT date, event_type, count(*) AS events FROM geo GROUP BY date, event_type", "geo"
     ),
@@ -360,7 +376,7 @@ ORACLES: dict[str, str] = {
     ),
     "shared_channel_pairs": _with("SELECT * FROM pairs", "pairs"),
     "contact_edges": _with("SELECT * FROM edges", "edges"),
-    "exclude_contacts": _with("SELECT * FROM strangers", "strangers"),
+    "exclude_contacts": _with("SELECT * FROM near_strangers", "near_strangers"),
     "within_km": _with(_near("wrote_pairs", "3.0"), "wrote_pairs", "spots"),
     "within_km_haversine": _with(
         _near("wrote_pairs", "3.0", _haversine), "wrote_pairs", "spots"
