@@ -91,6 +91,16 @@ def test_learning_is_bounded_and_repeats(spark):
     assert learn_references(plain.documents(spark).where("doc_id < 5")) == {}
 
 
+def test_copies_do_not_crowd_out_other_texts(spark):
+    texts = [f"the {word} of the day" for word in ("cat", "dog", "mat", "sun", "sea", "sky")]
+    rows = [(n, t, "en", None, None) for n, t in enumerate(texts)]
+    docs = plain.documents(spark, rows)
+    copies = [(100 + n, texts[0], "en", None, None) for n in range(50)]
+    found = learn_references(plain.documents(spark, rows + copies), sample_documents=6)
+    assert found == learn_references(docs, sample_documents=6)
+    assert all(letters_only(t) in found["en"] for t in texts)
+
+
 def test_held_out_accuracy(spark):
     found = op10_language_id(spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()

@@ -13,9 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.shared import text_sample
+
 UNDETERMINED = "und"
 # The sample a language is learnt from: so many bytes of reference, out of so many documents
 # at most, none longer than this.
@@ -166,26 +168,21 @@ def learn_references(
 ) -> dict[str, bytes]:
     """A reference text per language of ``labelled`` (``text, lang``), out of a bounded sample.
 
-    Of a language's documents of at most ``sample_chars`` characters, those first by hash of
-    their text give whole texts until the reference is full. Rows without a label or a letter
-    teach nothing. A language with less text has a shorter reference.
+    Of a language's distinct texts of at most ``sample_chars`` characters, those first by hash
+    are joined until the reference is full. Rows without a label or a letter teach nothing. A language with less text has a shorter reference.
     """
-    usable = labelled.where(
-        F.col("lang").isNotNull() & F.length("text").between(1, sample_chars)
-    ).select("lang", "text", F.xxhash64("text").alias("mark"))
-    # Cut to the limit on each side of the shuffle, so no language is gathered in one task.
-    first = Window.partitionBy("lang").orderBy("mark", "text")
-    sample = usable.withColumn("nth", F.row_number().over(first)).where(
-        F.col("nth") <= sample_documents
+    usable = F.col("lang").isNotNull() & F.length("text").between(1, sample_chars)
+    sample = text_sample(labelled, usable, sample_documents, ["lang"])
+    # Bounded: so many distinct texts of a language, none long.
+    languages = sample.groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("mark", "text"))).alias("texts")
     )
-    languages = sample.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("nth", "text")))
-                                           .alias("texts"))
     rows = languages.limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     found = {}
     for row in rows:
-        texts = list(dict.fromkeys(t["text"] for t in row["texts"]))
+        texts = [t["text"] for t in row["texts"]]
         plain = b" ".join(letters_only(t) for t in texts if any(map(str.isalpha, t)))
         if plain:
             found[row["lang"]] = plain[:reference_bytes]

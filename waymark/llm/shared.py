@@ -83,6 +83,28 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def text_sample(
+    documents: DataFrame, usable: Column, limit: int, keys: Sequence[str] = ()
+) -> DataFrame:
+    """``keys, text, mark``: per ``keys`` the ``usable`` texts whose hash ``mark`` is among the
+    ``limit`` least.
+
+    Hashes are made distinct before they are ranked, so a text counts once however many copies
+    it has. Texts themselves are not moved before it is known which few are wanted.
+    """
+    keys = list(keys)
+    marked = documents.select(*keys, "text", F.xxhash64("text").alias("mark"), usable.alias("_use"))
+    marks = marked.where("_use").select(*keys, "mark").distinct()
+    if keys:
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy("mark"))
+        marks = marks.withColumn("_nth", nth).where(F.col("_nth") <= limit).drop("_nth")
+    else:
+        marks = marks.orderBy("mark").limit(limit)
+    marks = stored(marks, "marks")
+    found = marked.join(small(marks, marks.count()), [*keys, "mark"])
+    return found.select(*keys, "text", "mark").distinct()
+
+
 def running_start(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], amount: str, name: str
 ) -> DataFrame:
