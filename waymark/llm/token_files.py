@@ -213,11 +213,10 @@ def write_token_files(
             )
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(ids), 256):
-                for doc_id, data in zip(
-                    ids[at : at + 256], _serialized(texts[at : at + 256], tokenizer, end_id)
-                ):
+            # A few texts at a time, so that not all of a batch are held twice.
+            for at in range(0, batch.num_rows, 256):
+                ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
+                for doc_id, data in zip(ids, _serialized(texts, tokenizer, end_id)):
                     frame = press.compress(data)
                     index.append({
                         "doc_id": doc_id, "offset": size, "length": len(frame),
@@ -287,20 +286,23 @@ def read_token_files(spark: SparkSession, path: str, tokenizer: str) -> DataFram
                 start, named = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
                 frames, index = batch.column(2)[row].as_buffer(), batch.column(3)[row].as_py()
                 view = memoryview(frames)
-                whole = [
-                    ids(view[d["offset"] : d["offset"] + d["length"]], named).astype("<u4")
-                    for d in index
-                ]
-                counts = np.array([len(w) for w in whole], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([d["doc_id"] for d in index], pa.int64()),
-                        pa.array(start + np.cumsum(counts) - counts, pa.int64()),
-                        pa.array(counts, pa.int64()),
-                        pa.array([w.tobytes() for w in whole], pa.binary()),
-                    ],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
+                for at in range(0, len(index), 256):
+                    some = index[at : at + 256]
+                    whole = [
+                        ids(view[d["offset"] : d["offset"] + d["length"]], named).astype("<u4")
+                        for d in some
+                    ]
+                    counts = np.array([len(w) for w in whole], np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([d["doc_id"] for d in some], pa.int64()),
+                            pa.array(start + np.cumsum(counts) - counts, pa.int64()),
+                            pa.array(counts, pa.int64()),
+                            pa.array([w.tobytes() for w in whole], pa.binary()),
+                        ],
+                        ["doc_id", "start", "n_tokens", "ids"],
+                    )
+                    start += int(counts.sum())
 
     found = blocks.join(small(parts, parts.count()), "part")
     start = (F.col("start") + F.col("before")).alias("start")
