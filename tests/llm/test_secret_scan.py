@@ -4,7 +4,13 @@ import re
 import plain
 
 from waymark.llm.registry import op8_secret_scan
-from waymark.llm.secret_scan import scan_secrets, train_models
+from waymark.llm.secret_scan import (
+    TOKEN,
+    base_spans,
+    model_spans,
+    scan_secrets,
+    train_models,
+)
 
 KEYWORD = "|".join(
     "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -54,10 +60,30 @@ def test_models_tell_random_strings_from_words(spark):
     given = [(1, f"see {secret} and {ordinary} here", None, None, None), *plain.ODD]
     found = scan_secrets(plain.documents(spark, given), models).collect()
     assert [(s.kind, s.start, s.end) for r in found for s in r.spans] == [("random", 4, 36)]
-    again = train_models(docs.repartition(5))
+    again = train_models(docs.repartition(5).union(docs.limit(1)))
     assert (models.ratio == again.ratio).all()
 
 
+def test_model_spans_keep_off_base_spans():
+    class Always:
+        def score(self, token):
+            return 1.0
+
+    dice = random.Random(3)
+    for _ in range(300):
+        text = "".join(
+            dice.choice(["secret=", "AKIA", "0123456789abcdef", "Zz9_", " ", "=", "x" * 20, "token:"])
+            for _ in range(30)
+        )
+        spans = base_spans(text)
+        expected = [
+            (m.start(), 3, m.end()) for m in TOKEN.finditer(text)
+            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
+            and not any(s < m.end() and m.start() < e for s, _, e in spans)
+        ]
+        assert model_spans(text, spans, Always(), 0.5) == expected
+
+
 def test_without_labelled_samples_only_the_patterns_count(spark):
     assert train_models(plain.documents(spark)) is None
     assert train_models(plain.empty(spark)) is None

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.llm.shared import text_sample
+
 # Kinds in order, their patterns and least lengths.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -89,17 +91,13 @@ def train_models(
     """Models trained on a bounded sample of labelled tokens, or None if none is labelled.
 
     The patterns label: values they find are secrets, identifiers they leave are ordinary. Of
-    the documents of at most ``sample_chars`` characters that may hold a labelled value, the
-    first ``sample_documents`` by hash of their text are taken. Counts of character pairs are
+    the distinct texts of at most ``sample_chars`` characters that may hold a labelled value,
+    the first ``sample_documents`` by hash are taken. Counts of character pairs are
     summed by Spark; the driver gets the two tables.
     """
     hints = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}"
-    sample = (
-        documents.select("text")
-        .where((F.length("text") <= sample_chars) & F.col("text").rlike(hints))
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(sample_documents)
-    )
+    usable = (F.length("text") <= sample_chars) & F.col("text").rlike(hints)
+    sample = text_sample(documents, usable, sample_documents).select("text")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, _SYMBOLS, _SYMBOLS), np.int64)
@@ -144,9 +142,14 @@ def model_spans(
     """Spans the models add: tokens apart from the base ones, with a digit and a letter, whose
     ratio reaches the threshold."""
     found = []
+    # Both go by start; ``reached`` is how far the base spans that begin before a token go.
+    at = reached = 0
     for m in TOKEN.finditer(text):
         start, end = m.span()
-        if any(s < end and start < e for s, _, e in base):
+        while at < len(base) and base[at][0] < end:
+            reached = max(reached, base[at][2])
+            at += 1
+        if start < reached:
             continue
         token = m[0]
         if re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token):
