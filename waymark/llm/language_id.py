@@ -28,8 +28,6 @@ SAMPLE_CHARS = 4_000
 MAX_LANGUAGES = 32
 # With fewer texts than this left, each is parsed on its own.
 LANES = 24
-# Rows a worker parses together.
-STEP_ROWS = 1_024
 
 
 def letters_only(text: str) -> bytes:
@@ -216,18 +214,15 @@ def identify_languages(documents: DataFrame, references: dict[str, bytes]) -> Da
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(references)
         for batch in batches:
-            # A few rows at a time, so that few texts are held in more than one form.
-            for begin in range(0, batch.num_rows, STEP_ROWS):
-                rows = batch.slice(begin, STEP_ROWS)
-                found = parser.predict(rows.column(at).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *rows.columns,
-                        pa.array([f[0] for f in found], pa.string()),
-                        pa.array([f[1] for f in found], pa.float64()),
-                    ],
-                    [*columns, "lang_pred", "score"],
-                )
+            found = parser.predict(batch.column(at).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.columns,
+                    pa.array([f[0] for f in found], pa.string()),
+                    pa.array([f[1] for f in found], pa.float64()),
+                ],
+                [*columns, "lang_pred", "score"],
+            )
 
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
     return documents.select(*columns).mapInArrow(parse, f"{schema}, lang_pred string, score double")
