@@ -101,6 +101,21 @@ def test_copies_do_not_crowd_out_other_texts(spark):
     assert all(letters_only(t) in found["en"] for t in texts)
 
 
+def test_long_texts_teach_their_language(spark):
+    book = "der hund lief auf der matte und die katze saß " * 500
+    rows = [(1, "12345 " * 1_000 + book, "de", None, None), (2, "the cat sat", "en", None, None)]
+    found = learn_references(plain.documents(spark, rows))
+    assert set(found) == {"de", "en"}
+    assert found["de"] == letters_only(book[:4_000])
+
+
+def test_letterless_texts_take_no_place_in_the_sample(spark):
+    rows = [(n, f"{n} -- {n * n} !!", "en", None, None) for n in range(60)]
+    rows.append((100, "the cat sat", "en", None, None))
+    found = learn_references(plain.documents(spark, rows), sample_documents=3)
+    assert found == {"en": letters_only("the cat sat")}
+
+
 def test_held_out_accuracy(spark):
     found = op10_language_id(spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from waymark.llm.shared import text_sample
 
 UNDETERMINED = "und"
-# The sample a language is learnt from: so many bytes of reference, out of so many documents
-# at most, none longer than this.
+# The sample a language is learnt from: so many bytes of reference, out of pieces of so many
+# documents at most, no piece longer than this.
 REFERENCE_BYTES = 24_000
 SAMPLE_DOCUMENTS = 96
 SAMPLE_CHARS = 4_000
@@ -168,12 +168,16 @@ def learn_references(
 ) -> dict[str, bytes]:
     """A reference text per language of ``labelled`` (``text, lang``), out of a bounded sample.
 
-    Of a language's distinct texts of at most ``sample_chars`` characters, those first by hash
-    are joined until the reference is full. Rows without a label or a letter teach nothing. A language with less text has a shorter reference.
+    Every labelled text gives a piece, from its first letter on and of at most ``sample_chars``
+    characters. Of a language's distinct pieces, those first by hash are joined until the
+    reference is full. Rows without a label or a letter teach nothing. A language with less
+    text has a shorter reference.
     """
-    usable = F.col("lang").isNotNull() & F.length("text").between(1, sample_chars)
-    sample = text_sample(labelled, usable, sample_documents, ["lang"])
-    # Bounded: so many distinct texts of a language, none long.
+    piece = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{sample_chars - 1}}}", 0)
+    pieces = labelled.select("lang", piece.alias("text"))
+    usable = F.col("lang").isNotNull() & (F.length("text") > 0)
+    sample = text_sample(pieces, usable, sample_documents, ["lang"])
+    # Bounded: so many distinct pieces of a language, none long.
     languages = sample.groupBy("lang").agg(
         F.sort_array(F.collect_list(F.struct("mark", "text"))).alias("texts")
     )
@@ -182,10 +186,8 @@ def learn_references(
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
     found = {}
     for row in rows:
-        texts = [t["text"] for t in row["texts"]]
-        plain = b" ".join(letters_only(t) for t in texts if any(map(str.isalpha, t)))
-        if plain:
-            found[row["lang"]] = plain[:reference_bytes]
+        plain = b" ".join(letters_only(t["text"]) for t in row["texts"])
+        found[row["lang"]] = plain[:reference_bytes]
     return found
 
 
