@@ -11,7 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.decontaminate import contamination, is_contaminated
-from waymark.llm.language_id import UNDETERMINED, fold, identify_languages, learn_references
+from waymark.llm.language_id import (
+    UNDETERMINED,
+    fold,
+    holds_letter,
+    identify_languages,
+    learn_references,
+)
 from waymark.llm.mixing import mixed_documents
 from waymark.llm.registry import token_digest
 from waymark.llm.shared import row_keys, stored
@@ -21,6 +27,9 @@ from waymark.llm.simhash import one_of_each
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no language, for want of text or letters, go."""
     references = learn_references(docs.where(fold(F.col("doc_id")) != 0))
+    if not references:
+        # With no language learnt nothing is told apart but what has letters.
+        return docs.where(holds_letter("text"))
     found = identify_languages(docs, references)
     return found.where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
 

@@ -2,6 +2,7 @@ from collections import Counter
 
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from waymark.llm.decontaminate import contamination, is_contaminated
@@ -45,6 +46,17 @@ def test_only_documents_without_letters_have_no_language(stages):
     )
 
 
+def test_clean_documents_stay_where_no_language_is_known(spark):
+    rows = [*plain.ODD, (90, "the cat sat on the mat", None, None, None), (91, "12 !", None, None, None)]
+    docs = plain.documents(spark, rows).withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.language_id(spark, docs, SF)
+    assert left.dtypes == docs.dtypes
+    assert Counter(texts(left)) == Counter(
+        (r[0], r[1]) for r in rows if any(map(str.isalpha, r[1] or ""))
+    )
+    assert (90, "the cat sat on the mat") in texts(left)
+
+
 def test_one_of_each_group_stays(stages):
     before, after = texts(stages["language_id"]), texts(stages["near_dedup"])
     marks = [plain.fingerprint(t) for _, t in before]

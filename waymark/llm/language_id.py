@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from waymark.llm.shared import text_sample
 
@@ -30,6 +32,16 @@ MAX_LANGUAGES = 32
 LANES = 24
 
 
+def has_letter(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
+@F.pandas_udf(BooleanType())
+def holds_letter(text: pd.Series) -> pd.Series:
+    """Whether a text holds a letter, as the parser sees it; false for null."""
+    return text.map(has_letter).astype(bool)
+
+
 def letters_only(text: str) -> bytes:
     """UTF-8 of the text in lower case, all ASCII but its letters as spaces."""
     return text.lower().encode().translate(_PLAIN)
@@ -140,8 +152,7 @@ class CrossParser:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """The language of each text and how far the runner-up is behind, from 0 to 1."""
         plain = [letters_only(t or "") for t in texts]
-        has_letters = [any(map(str.isalpha, t or "")) for t in texts]
-        wanted = [n for n, yes in enumerate(has_letters) if yes and self.languages]
+        wanted = [n for n, t in enumerate(texts) if has_letter(t) and self.languages]
         found: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
         if not wanted:
             return found
