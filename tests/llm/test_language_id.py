@@ -116,6 +116,28 @@ def test_letterless_texts_take_no_place_in_the_sample(spark):
     assert found == {"en": letters_only("the cat sat")}
 
 
+def test_more_languages_than_a_block_holds(spark, monkeypatch):
+    docs = plain.corpus(spark)
+    odd = plain.documents(spark, [*plain.ODD, (7, "equally unlike all: q", None, None, None)])
+    references = learn_references(docs, reference_bytes=500)
+    references |= {f"{l}-{n}": t for l, t in references.items() for n in range(9)}
+    given = odd.select("doc_id", "text").union(docs.select("doc_id", "text").limit(60))
+    found = lambda: sorted(map(str, identify_languages(given, references).collect()))
+    assert len(references) == 40
+    blocks = found()
+    monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", 7)
+    assert found() == blocks
+    monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", 100)
+    assert found() == blocks
+
+
+def test_many_languages_are_all_learnt(spark):
+    rows = [(n, f"word {chr(0x4E00 + n) * 3}", f"l{n:02}", None, None) for n in range(70)]
+    docs = plain.documents(spark, rows)
+    found = identify_languages(docs, learn_references(docs)).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {r[0]: r[2] for r in rows}
+
+
 def test_held_out_accuracy(spark):
     found = op10_language_id(spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()

@@ -9,6 +9,7 @@ of the document relative to the language; the least wins.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,8 @@ UNDETERMINED = "und"
 REFERENCE_BYTES = 24_000
 SAMPLE_DOCUMENTS = 96
 SAMPLE_CHARS = 4_000
-# Every language has a table in memory; more than this is an error.
-MAX_LANGUAGES = 32
+# Every language has a table in memory; of more than this, one block is held after another.
+BLOCK_LANGUAGES = 32
 # With fewer texts than this left, each is parsed on its own.
 LANES = 24
 
@@ -149,22 +150,53 @@ class CrossParser:
         counts[order] = count.T
         return counts
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """The language of each text and how far the runner-up is behind, from 0 to 1."""
-        plain = [letters_only(t or "") for t in texts]
+    def leaders(self, texts: list[str | None]) -> Leaders:
+        """The cheapest language of each text with a letter, and the two least costs."""
+        found: Leaders = [None] * len(texts)
         wanted = [n for n, t in enumerate(texts) if has_letter(t) and self.languages]
-        found: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
         if not wanted:
             return found
-        cost = self.phrases([plain[n] for n in wanted]) * np.array(self.bits)
+        cost = self.phrases([letters_only(texts[n]) for n in wanted]) * np.array(self.bits)
         best = cost.argmin(axis=1)
         ranked = np.sort(cost, axis=1)
-        second = ranked[:, 1] if cost.shape[1] > 1 else 2 * ranked[:, 0]
-        lead = 1 - ranked[:, 0] / np.maximum(second, 1e-9)
-        for n, language, score in zip(wanted, best.tolist(), lead.tolist()):
-            found[n] = (self.languages[language], min(1.0, max(0.0, score)))
+        second = ranked[:, 1] if cost.shape[1] > 1 else np.full(len(wanted), np.inf)
+        for n, language, *costs in zip(wanted, best.tolist(), ranked[:, 0].tolist(), second.tolist()):
+            found[n] = (self.languages[language], *costs)
         return found
 
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The language of each text and how far the runner-up is behind, from 0 to 1."""
+        return scored(self.leaders(texts))
+
+
+# Per text the cheapest language, its cost and the runner-up's; none without a letter.
+Leaders = list[tuple[str, float, float] | None]
+
+
+def merged(before: Leaders, after: Leaders) -> Leaders:
+    """The leaders among the languages of both; equal costs go to ``before``."""
+    found: Leaders = []
+    for a, b in zip(before, after):
+        if a is None or b is None:
+            found.append(a or b)
+        else:
+            first, other = (b, a) if b[1] < a[1] else (a, b)
+            found.append((first[0], first[1], min(first[2], other[1])))
+    return found
+
+
+def scored(leaders: Leaders) -> list[tuple[str, float]]:
+    """Languages and scores; a sole language counts as if the next one cost twice as much."""
+    found = []
+    for leader in leaders:
+        if leader is None:
+            found.append((UNDETERMINED, 0.0))
+            continue
+        language, least, second = leader
+        lead = 1 - least / max(2 * least if second == np.inf else second, 1e-9)
+        found.append((language, min(1.0, max(0.0, lead))))
+    return found
+
 
 def fold(doc_id: Column) -> Column:
     """The fold of a document; those of fold 0 are held out, a null id is in none."""
@@ -189,17 +221,10 @@ def learn_references(
     usable = F.col("lang").isNotNull() & (F.length("text") > 0)
     sample = text_sample(pieces, usable, sample_documents, ["lang"])
     # Bounded: so many distinct pieces of a language, none long.
-    languages = sample.groupBy("lang").agg(
-        F.sort_array(F.collect_list(F.struct("mark", "text"))).alias("texts")
-    )
-    rows = languages.limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    found = {}
-    for row in rows:
-        plain = b" ".join(letters_only(t["text"]) for t in row["texts"])
-        found[row["lang"]] = plain[:reference_bytes]
-    return found
+    joined = F.array_join(F.sort_array(F.collect_list(F.struct("mark", "text")))["text"], " ")
+    # A character has a byte at least, so the reference lies within so many of them.
+    languages = sample.groupBy("lang").agg(F.substring(joined, 1, reference_bytes).alias("text"))
+    return {r["lang"]: letters_only(r["text"])[:reference_bytes] for r in languages.collect()}
 
 
 _PARSERS: dict[int, CrossParser] = {}
@@ -217,25 +242,60 @@ def _parser(references: dict[str, bytes]) -> CrossParser:
 def identify_languages(documents: DataFrame, references: dict[str, bytes]) -> DataFrame:
     """All columns of ``documents`` with ``lang_pred`` and ``score`` added, from its text alone.
 
-    Every whole text is parsed. Null texts and those without a letter are ``und`` with score
+    Every whole text is parsed against every language. With more than ``BLOCK_LANGUAGES`` a
+    task keeps its rows in a temporary file and goes through them once per block of languages,
+    with the tables of one block in memory. Null texts and those without a letter are ``und`` with score
     0, as is everything if no language was learnt; equal costs go to the first language by
     code point. Columns named like the two are replaced.
     """
     columns = [c for c in documents.columns if c not in ("lang_pred", "score")]
     at = columns.index("text")
+    languages = sorted(references)
+    blocks = [
+        {l: references[l] for l in languages[n : n + BLOCK_LANGUAGES]}
+        for n in range(0, len(languages), BLOCK_LANGUAGES)
+    ]
+
+    def with_found(batch: pa.RecordBatch, leaders: Leaders) -> pa.RecordBatch:
+        found = scored(leaders)
+        return pa.RecordBatch.from_arrays(
+            [
+                *batch.columns,
+                pa.array([f[0] for f in found], pa.string()),
+                pa.array([f[1] for f in found], pa.float64()),
+            ],
+            [*columns, "lang_pred", "score"],
+        )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(references)
+        parser = _parser(blocks[0] if blocks else {})
         for batch in batches:
-            found = parser.predict(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                [*columns, "lang_pred", "score"],
-            )
+            yield with_found(batch, parser.leaders(batch.column(at).to_pylist()))
+
+    def parse_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaders: list[Leaders] = []
+        with tempfile.TemporaryFile() as file:
+            writer = None
+            parser = _parser(blocks[0])
+            for batch in batches:
+                writer = writer or pa.ipc.new_stream(file, batch.schema)
+                writer.write_batch(batch)
+                leaders.append(parser.leaders(batch.column(at).to_pylist()))
+            if writer is None:
+                return
+            writer.close()
+            for block in blocks[1:]:
+                del parser
+                parser = _parser(block)
+                file.seek(0)
+                for n, batch in enumerate(pa.ipc.open_stream(file)):
+                    texts = batch.column(at).to_pylist()
+                    leaders[n] = merged(leaders[n], parser.leaders(texts))
+            file.seek(0)
+            for batch, found in zip(pa.ipc.open_stream(file), leaders):
+                yield with_found(batch, found)
 
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return documents.select(*columns).mapInArrow(parse, f"{schema}, lang_pred string, score double")
+    return documents.select(*columns).mapInArrow(
+        parse if len(blocks) < 2 else parse_blocks, f"{schema}, lang_pred string, score double"
+    )
