@@ -2,6 +2,7 @@ import random
 import re
 
 import plain
+from pyspark.sql import functions as F
 
 from waymark.llm.registry import op8_secret_scan
 from waymark.llm.secret_scan import (
@@ -10,6 +11,7 @@ from waymark.llm.secret_scan import (
     model_spans,
     scan_secrets,
     train_models,
+    training_text,
 )
 
 KEYWORD = "|".join(
@@ -89,6 +91,32 @@ def test_without_labelled_samples_only_the_patterns_count(spark):
     assert train_models(plain.empty(spark)) is None
 
 
+def test_training_texts_are_the_labelled_ones(spark):
+    rows = plain.ODD + [(n + 100, t, None, None, None) for n, t in enumerate(TEXTS)]
+    rows += [(n + 200, t, None, None, None) for n, t in enumerate([
+        "é" * 90 + "😀 secret=" + "Q1w2e3r4t5y6" + " é" * 90, "y " * 90 + "deadbeefdeadbeef",
+        "token=secret: abcdefghijklmnop " + "z " * 90 + "passwd=abcdefghijkl", "secret " * 90,
+    ])]
+    docs = plain.documents(spark, rows)
+    for chars in (64, 50_000):
+        piece = training_text(F.col("text"), chars).alias("piece")
+        for r in docs.select("text", piece).collect():
+            assert (r.piece is not None) == bool(base_spans(r.text or "")), r
+            if r.piece is not None:
+                assert r.piece in r.text and len(r.piece) == min(chars, len(r.text))
+                assert base_spans(r.piece)
+
+
+def test_hints_without_values_take_no_place_in_the_sample(spark):
+    dice = random.Random(2)
+    key = "".join(dice.choice("ABCDEFGHJKabcdefghjk0123456789") for _ in range(24))
+    hints = [(n, f"the secret of token number {n}", None, None, None) for n in range(60)]
+    labelled = (100, f"some_identifier token={key}", None, None, None)
+    long = (101, "a_long_identifier " * 2_000 + f"token={key}", None, None, None)
+    for row in (labelled, long):
+        assert train_models(plain.documents(spark, [*hints, row]), sample_documents=3)
+
+
 def test_query_keeps_base_spans(spark):
     found = op8_secret_scan(spark, "/root/testdata/sf0.001").collect()
     text = {r.doc_id: r.text for r in plain.corpus(spark).collect()}

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.shared import text_sample
@@ -33,8 +33,8 @@ KINDS = ("assign", "access", "hex", "random")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
 
-# The sample the models are trained on: so many documents that hold a labelled secret, none
-# longer than this.
+# The sample the models are trained on: so many documents that hold a labelled secret, of
+# longer ones a window of this many characters round it.
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_CHARS = 20_000
 # Least likelihood ratio, in nats per character.
@@ -62,6 +62,38 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def labelled_value(text: Column) -> Column:
+    """The first place of ``text`` that the patterns label, as a string; null without one.
+
+    The same patterns as in ``base_spans``, one kind after the other; what must stand in a text
+    for any of them is looked for first.
+    """
+    assign = F.lit(f"(?i){ASSIGN.pattern}")
+    places = F.arrays_zip(
+        F.regexp_extract_all(text, assign, F.lit(0)).alias("place"),
+        F.regexp_extract_all(text, assign, F.lit(2)).alias("value"),
+    )
+    long = F.filter(places, lambda p: F.length(p["value"]) >= ASSIGN_CHARS)
+    access = rf"AKIA[A-Z0-9]{{{ACCESS_CHARS - 4},}}"
+    hints = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}"
+    return F.when(text.rlike(hints), F.coalesce(
+        F.get(long, F.lit(0))["place"],
+        *[F.nullif(F.regexp_extract(text, p, 0), F.lit("")) for p in (access, HEX.pattern)],
+    ))
+
+
+def training_text(text: Column, chars: int) -> Column:
+    """A text with a labelled value, of a longer one than ``chars`` the window round the first;
+    null without one."""
+    value = labelled_value(text)
+    # The window ends with the text where that comes first.
+    begin = F.greatest(
+        F.least(F.instr(text, value) - chars // 2, F.length(text) - chars + 1), F.lit(1)
+    )
+    window = F.substring(text, begin, F.lit(chars))
+    return F.when(value.isNotNull(), F.when(F.length(text) <= chars, text).otherwise(window))
+
+
 def _codes(token: str) -> list[int]:
     return [_START, *(_CODES.get(c, _OTHER) for c in token)]
 
@@ -91,13 +123,14 @@ def train_models(
     """Models trained on a bounded sample of labelled tokens, or None if none is labelled.
 
     The patterns label: values they find are secrets, identifiers they leave are ordinary. Of
-    the distinct texts of at most ``sample_chars`` characters that may hold a labelled value,
-    the first ``sample_documents`` by hash are taken. Counts of character pairs are
-    summed by Spark; the driver gets the two tables.
+    the distinct texts that hold a labelled value, each cut to a window of ``sample_chars``
+    characters round it, the first ``sample_documents`` by hash are taken. Counts of character
+    pairs are summed by Spark; the driver gets the two tables.
     """
-    hints = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{16}"
-    usable = (F.length("text") <= sample_chars) & F.col("text").rlike(hints)
-    sample = text_sample(documents, usable, sample_documents).select("text")
+    # Through a generator of one row, so that the patterns are not applied in each use.
+    one = F.explode(F.array(training_text(F.col("text"), sample_chars))).alias("text")
+    texts = documents.select(one)
+    sample = text_sample(texts, F.col("text").isNotNull(), sample_documents).select("text")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, _SYMBOLS, _SYMBOLS), np.int64)
