@@ -14,6 +14,7 @@ from waymark.llm.secret_scan import scan_secrets, train_models
 from waymark.llm.shared import new_folder
 from waymark.llm.sharding import pack_shards
 from waymark.llm.simhash import near_duplicates
+from waymark.llm.whitening import whiten
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -113,12 +114,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_sharding, op3_token_files, op4_mixing, op5_simhash,
         op6_line_dedup, op7_license_scan, op8_secret_scan, op9_nearest_vectors,
-        op10_language_id,
+        op10_language_id, op11_whitening,
     )
 }
 
