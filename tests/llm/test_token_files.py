@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -26,6 +28,45 @@ def test_pieces_give_the_ids_of_the_whole_text():
     assert [np.frombuffer(b, own.dtype).tolist() + [0] for b in own.encode(HARD)] == encoded(HARD)
 
 
+def test_any_mixture_of_characters():
+    dice = random.Random(5)
+    some = [*"ab zZé1²½'\".,\n\t  <|>!?-_ ×÷ſƀжü\x1c\x85\u3000漢🙂\r'", "<|endoftext|>", "'s",
+            "'ll", "\n\n", "  ", "word", "12", " the", "\u00a0", "\u2019", "\u0300"]
+    texts = ["".join(dice.choices(some, k=dice.randrange(40))) for _ in range(4000)]
+    texts += ["".join(dice.choices("ab .,\n\tÉ1", k=dice.randrange(60))) for _ in range(4000)]
+    own = token_files.Encoder(TOKENIZER)
+    for at in range(0, len(texts), 500):
+        few = texts[at : at + 500]
+        assert [np.frombuffer(b, own.dtype).tolist() + [0] for b in own.encode(few)] == encoded(few)
+
+
+def test_long_texts_in_parts(monkeypatch):
+    monkeypatch.setattr(token_files, "PART_CHARS", 10)
+    text = "some words  and\nmore, of don't and 🙂 words " * 50
+    own = token_files.Encoder(TOKENIZER)
+    got = [np.frombuffer(b, own.dtype).tolist() + [0] for b in own.encode([text, "", text[5:]])]
+    assert got == encoded([text, "", text[5:]])
+
+
+def test_slices_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    monkeypatch.setattr(token_files, "SLICE_ROWS", 3)
+    texts = ["x" * n for n in (30, 0, 1, 2, 3, 4, 5, 6, 50)] + [None, "a"]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    cut = list(token_files.slices(batch))
+    assert [t for s in cut for t in s.column(1).to_pylist()] == texts
+    assert all(s.num_rows == 1 or sum(len(t or "") for t in s.column(1).to_pylist()) <= 10
+               for s in cut)
+    assert max(s.num_rows for s in cut) <= 3
+
+
+def test_dictionary_of_long_texts_only(spark):
+    rows = [(n, " ".join(f"word{(n * 7 + k) % 500}" for k in range(2_000)), None, None, None)
+            for n in range(40)]
+    made = token_files.train_dictionary(plain.documents(spark, rows), TOKENIZER)
+    assert len(made) > 1_000
+
+
 def test_pieces_are_forgotten_when_there_are_too_many(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 5)
     own = token_files.Encoder(TOKENIZER)

@@ -90,16 +90,29 @@ def text_sample(
     ``limit`` least.
 
     Hashes are made distinct before they are ranked, so a text counts once however many copies
-    it has. Texts themselves are not moved before it is known which few are wanted.
+    it has. How many there are gives a threshold, and only hashes below it, some times the limit
+    whatever the input, are ranked; a key that has fewer than the limit below it takes all its
+    hashes. Texts themselves are not moved before it is known which few are wanted.
     """
     keys = list(keys)
     marked = documents.select(*keys, "text", F.xxhash64("text").alias("mark"), usable.alias("_use"))
-    marks = marked.where("_use").select(*keys, "mark").distinct()
+    marks = stored(marked.where("_use").select(*keys, "mark").distinct(), "hashes")
+    counts = stored(marks.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "counts")
+    share = (F.col("mark") / 2.0**64 + 0.5) * F.col("_n")
+    # Of hashes spread evenly about twice the limit lie below, and hardly ever less than it.
+    below = F.col("_n").isNull() | (F.col("_n") <= 8 * limit) | (share < 2 * limit + 16)
     if keys:
+        same = F.lit(True)
+        for key in keys:
+            same = same & F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
+        few = marks.alias("a").join(small(counts, counts.count()).alias("b"), same).where(below)
+        few = few.select("a.*")
         nth = F.row_number().over(Window.partitionBy(*keys).orderBy("mark"))
-        marks = marks.withColumn("_nth", nth).where(F.col("_nth") <= limit).drop("_nth")
+        marks = few.withColumn("_nth", nth).where(F.col("_nth") <= limit).drop("_nth")
     else:
-        marks = marks.orderBy("mark").limit(limit)
+        total = counts.first()["_n"]
+        few = marks.withColumn("_n", F.lit(total)).where(below).drop("_n")
+        marks = few.orderBy("mark").limit(limit)
     marks = stored(marks, "marks")
     found = marked.join(small(marks, marks.count()), [*keys, "mark"])
     return found.select(*keys, "text", "mark").distinct()

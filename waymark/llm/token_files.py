@@ -10,18 +10,20 @@ names its dictionary's hash, and a document is decompressed by itself.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import small, stored
+from waymark.llm.shared import small, stored, text_sample
 
 END_ID = 0
 LEVEL = 3
@@ -31,8 +33,14 @@ SAMPLE_DOCUMENTS = 1_000
 SAMPLE_CHARS = 8_000
 BLOCK_BYTES = 1_000_000
 BLOCK_DOCUMENTS = 4_096
-# Pieces of text a worker remembers as recent, and as many from before.
-REMEMBERED = 200_000
+# Runs of text a worker remembers as recent, and their characters, and as many from before.
+REMEMBERED = 400_000
+REMEMBERED_CHARS = 8_000_000
+# Texts are cut into runs so many characters at a time.
+PART_CHARS = 4_000_000
+# Texts that a task hands to the encoder together.
+SLICE_ROWS = 4_096
+SLICE_BYTES = 8_000_000
 
 _BLOCKS = (
     "part int, block int, before long, dictionary_hash string, frames binary, "
@@ -43,11 +51,14 @@ _BLOCKS = (
 class Encoder:
     """Encodes texts with a tokenizer file, remembering what it has met.
 
-    The tokenizer splits a text before it applies its merges, and always splits ahead of a
-    space between two other characters. So the pieces between such spaces are encoded on their
-    own, once each, with the same ids as in the whole text. New pieces are encoded together,
-    and told apart by the tokens that begin with a space. Pieces not met for a while are
-    forgotten: when the recent ones are many, those before them go.
+    A byte-level tokenizer first splits a text into runs of letters, digits and marks, each
+    with a space ahead if there is one, and applies its merges within a run. So runs are
+    encoded on their own, once each, with the same ids as in the whole text. Plain characters
+    are split here, whole batches of texts at once; a piece between spaces that holds others is
+    left whole to the tokenizer, and so is all text if the file names another splitting. New
+    runs are encoded many at a time, and told apart by the tokens that begin with a space or
+    are a line break. Runs not met for a while are forgotten: when the recent ones are many or
+    large, those before them go.
     """
 
     def __init__(self, path: str):
@@ -63,49 +74,114 @@ class Encoder:
         space = self._tokenizer.encode(" ", add_special_tokens=False).tokens[0]
         for token, number in self._tokenizer.get_vocab().items():
             self._begins[number] = token.startswith(space)
-        # A text's first piece has no space ahead and is not remembered; None stands for it.
-        self._fixed = {None: b""}
-        self._recent: dict[str | None, bytes] = dict(self._fixed)
-        self._before: dict[str | None, bytes] = {}
+        self._line = self._tokenizer.encode("\n", add_special_tokens=False).ids
+        known = json.loads(self._tokenizer.to_str())
+        split = known.get("pre_tokenizer") or {}
+        self._added = [t["content"] for t in known.get("added_tokens", [])]
+        self._splits = (
+            split.get("type") == "ByteLevel" and split.get("use_regex") is True
+            and not split.get("add_prefix_space") and known.get("normalizer") is None
+            and len(self._line) == 1 and not any(re.search(r"\s", t) for t in self._added)
+        )
+        self._recent: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
+        self._size = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialized ids of each text."""
-        # Spaces next to other white space belong together with what follows.
-        cut = [_CUT.split(t) if _WIDE.search(t) else t.split(" ") for t in texts]
-        heads = self._ids([pieces[0] for pieces in cut])
-        for pieces in cut:
-            pieces[0] = None
-        if len(self._recent) > REMEMBERED:
-            self._recent, self._before = dict(self._fixed), self._recent
-        recent = self._recent
-        rows = [list(map(recent.get, pieces)) for pieces in cut]
-        lacking = [n for n, row in enumerate(rows) if None in row]
-        new = {p for n in lacking for p, ids in zip(cut[n], rows[n]) if ids is None}
-        known = {p: self._before[p] for p in new if p in self._before}
-        recent.update(known)
-        self._learn([p for p in new if p not in known])
-        for n in lacking:
-            rows[n] = [
-                recent[p] if ids is None else ids for p, ids in zip(cut[n], rows[n])
-            ]
-        return [head + b"".join(row) for head, row in zip(heads, rows)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        # An empty piece is a lone space at a text's end.
-        joined = [p for p in pieces if p and " " not in p and not p[0].isspace()
-                  and not p[-1].isspace()]
-        alone = sorted(set(pieces) - set(joined))
-        for at in range(0, len(joined), 256):
-            some = joined[at : at + 256]
-            data = self._ids([" " + " ".join(some)])[0]
-            width = self.dtype.itemsize
-            starts = (np.flatnonzero(self._begins[np.frombuffer(data, self.dtype)]) * width).tolist()
-            if len(starts) == len(some):
-                ends = [*starts[1:], len(data)]
-                self._recent.update(zip(some, [data[a:b] for a, b in zip(starts, ends)]))
+        if not self._splits:
+            return self._ids(texts)
+        found: list[list[bytes]] = [[] for _ in texts]
+        some: list[tuple[int, str]] = []
+        size = 0
+        for n, text in enumerate(texts):
+            for part in _parts(text):
+                some.append((n, part))
+                size += len(part)
+                if size >= PART_CHARS:
+                    self._encode_parts(some, found)
+                    some, size = [], 0
+        self._encode_parts(some, found)
+        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in found]
+
+    def _encode_parts(self, parts: list[tuple[int, str]], found: list[list[bytes]]) -> None:
+        plain, other = [], []
+        for n, text in parts:
+            held = _PLAIN.fullmatch(text) and not any(t in text for t in self._added)
+            (plain if held else other).append((n, text))
+        for some, cut in ((plain, _plain_runs), (other, self._other_runs)):
+            if some:
+                for (n, _), ids in zip(some, self._joined(*cut([t for _, t in some]))):
+                    found[n].append(ids)
+
+    def _other_runs(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The runs of texts with any characters, and where those of each text begin."""
+        runs, edges = [], [0]
+        for text in texts:
+            for n, piece in enumerate(_CUT.split(text)):
+                own = " " + piece if n else piece
+                if _SPLIT.fullmatch(piece) and not any(t in piece for t in self._added):
+                    runs += _RUNS.findall(own)
+                elif own:
+                    runs.append(own)
+            edges.append(len(runs))
+        return pa.array(runs, pa.large_string()), np.array(edges)
+
+    def _joined(self, runs: pa.Array, edges: np.ndarray) -> Iterator[bytes]:
+        """Serialized ids of texts given as runs."""
+        coded = runs.dictionary_encode()
+        own = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self._recent) > REMEMBERED or self._size > REMEMBERED_CHARS:
+            self._recent, self._before, self._size = {}, self._recent, 0
+        self._learn(set(own).difference(self._recent))
+        known = list(map(self._recent.__getitem__, own))
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // self.dtype.itemsize
+        starts = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(known), self.dtype)
+        codes = coded.indices.to_numpy()
+        n_ids = lengths[codes]
+        ends = np.concatenate([[0], np.cumsum(n_ids)])
+        # Where each id of the texts stands among those of the different runs.
+        at = np.repeat(starts[codes] - ends[:-1], n_ids)
+        at += np.arange(len(at))
+        ids = flat[at]
+        bounds = ends[edges].tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            yield ids[a:b].tobytes()
+
+    def _learn(self, runs: set[str]) -> None:
+        recent, before = self._recent, self._before
+        known = runs & before.keys()
+        recent.update((r, before[r]) for r in known)
+        spaced, inside, alone = [], [], []
+        for r in runs - known:
+            # White space at an end would join what is put beside it.
+            if r[-1].isspace():
+                alone.append(r)
+            elif r[0] == " ":
+                spaced.append(r)
             else:
-                alone += some
-        self._recent.update(zip(alone, self._ids([" " + p for p in alone])))
+                (alone if r[0].isspace() else inside).append(r)
+        for at in range(0, len(spaced), 512):
+            self._remember(spaced[at : at + 512], "", self._begins)
+        for at in range(0, len(inside), 512):
+            self._remember(inside[at : at + 512], "\n", None)
+        recent.update(zip(alone, self._ids(alone)))
+        self._size += sum(map(len, runs))
+
+    def _remember(self, runs: list[str], ahead: str, begins: np.ndarray | None) -> None:
+        """Runs that have a space ahead, or else are given a line break ahead to part them."""
+        data = self._ids([ahead + ahead.join(runs)])[0]
+        ids = np.frombuffer(data, self.dtype)
+        first = np.flatnonzero(ids == self._line[0] if begins is None else begins[ids])
+        if len(first) == len(runs):
+            width = self.dtype.itemsize
+            starts = ((first + (begins is None)) * width).tolist()
+            ends = [*(first[1:] * width).tolist(), len(data)]
+            made = [data[a:b] for a, b in zip(starts, ends)]
+        else:
+            made = self._ids(runs)
+        self._recent.update(zip(runs, made))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = []
@@ -117,9 +193,63 @@ class Encoder:
         return found
 
 
-# Two characters of white space in a row, and a space with none on either side.
-_WIDE = re.compile(r"\s\s")
+def _parts(text: str) -> Iterator[str]:
+    """The text in parts of some ``PART_CHARS``, cut ahead of a space between two others."""
+    begin = 0
+    while len(text) - begin > PART_CHARS:
+        cut = _CUT.search(text, begin + PART_CHARS)
+        if not cut:
+            break
+        yield text[begin : cut.start()]
+        begin = cut.start()
+    yield text[begin:] if begin else text
+
+
+def _plain_runs(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The runs of texts of plain characters, and where those of each text begin.
+
+    Runs change with the kind of character. Of white space ahead of other characters the last
+    one is a run of its own, which a space leaves to the run that follows.
+    """
+    data = [t.encode() for t in texts]
+    joined = b"".join(data)
+    text = np.frombuffer(joined, np.uint8)
+    edges = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+    kind = _KINDS[text]
+    begins = np.zeros(len(text) + 1, bool)
+    np.not_equal(kind[1:], kind[:-1], out=begins[1:-1])
+    begins[edges] = True
+    last = np.zeros(len(text) + 1, bool)
+    last[edges] = True
+    white = np.flatnonzero((kind == _WHITE_KIND) & begins[1:] & ~last[1:])
+    begins[white] = True
+    begins[white[text[white] == ord(" ")] + 1] = False
+    starts = np.flatnonzero(begins)
+    offsets = pa.array(starts, pa.int64()).buffers()[1]
+    runs = pa.LargeStringArray.from_buffers(len(starts) - 1, offsets, pa.py_buffer(joined))
+    return runs, np.searchsorted(starts, edges)
+
+
+# A space with no white space on either side.
 _CUT = re.compile(r"(?<!\s) (?!\s)")
+# Characters (Latin, Cyrillic and ideographic letters, digits, marks, white space)
+# whose kind is known, and how byte-level tokenizers split text of these. Plain ones are told
+# apart by their bytes; the apostrophe, which also opens endings, is not among them.
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F\u0400-\u0481\u4E00-\u9FA5"
+_DIGITS = "0-9"
+_MARKS = r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
+_MORE_MARKS = r"'\u2010-\u2027\u2030-\u205E"
+_WHITE = r" \t\n\r\x0B\x0C"
+_PLAIN = re.compile(f"[{_LETTERS}{_DIGITS}{_MARKS}{_WHITE}]*")
+_SPLIT = re.compile(f"[{_LETTERS}{_DIGITS}{_MARKS}{_MORE_MARKS}{_WHITE}]*")
+_RUNS = re.compile(
+    rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[{_DIGITS}]+| ?[{_MARKS}{_MORE_MARKS}]+"
+    rf"|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
+)
+_WHITE_KIND = 3
+_KINDS = np.zeros(256, np.uint8)
+for _kind, _of in enumerate((_DIGITS, _MARKS, _WHITE), 1):
+    _KINDS[[n for n in range(128) if re.fullmatch(f"[{_of}]", chr(n))]] = _kind
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -144,15 +274,15 @@ def train_dictionary(
     sample_chars: int = SAMPLE_CHARS,
     dictionary_bytes: int = DICTIONARY_BYTES,
 ) -> bytes:
-    """A dictionary trained on the serialized ids of a bounded sample: of the documents of at
-    most ``sample_chars`` characters, the ``sample_documents`` first by hash of their text.
-    Too few to train on are joined to a dictionary of plain content; none give an empty one."""
-    sample = (
-        documents.where(F.length("text").between(1, sample_chars))
-        .select("text")
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(sample_documents)
-    )
+    """A dictionary trained on the serialized ids of a bounded sample: of the texts that are
+    not empty, the ``sample_documents`` first by hash, each once however many copies it has, and
+    of those over ``sample_chars`` characters a window of that length at a place their hash
+    gives. Too few to train on are joined to a dictionary of plain content; none give an empty
+    one."""
+    chosen = text_sample(documents, F.length("text") > 0, sample_documents)
+    spare = F.greatest(F.length("text") - sample_chars, F.lit(0))
+    begin = (F.pmod(F.col("mark"), spare + 1) + 1).cast("int")
+    sample = chosen.select(F.substring("text", begin, F.lit(sample_chars)).alias("text"))
 
     def train(found: pd.DataFrame) -> pd.DataFrame:
         samples = _serialized(found["text"].tolist(), tokenizer, end_id)
@@ -166,6 +296,20 @@ def train_dictionary(
     return bytes(made["dictionary"]) if made else b""
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``SLICE_ROWS`` rows and, but for a single text that has
+    more, ``SLICE_BYTES`` bytes of ``text``, its second column."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    whole = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = whole[at - 1] if at else 0
+        end = int(np.searchsorted(whole, before + SLICE_BYTES, "right"))
+        end = min(max(end, at + 1), at + SLICE_ROWS, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _dictionary(data: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(data)} if len(data) >= 8 else {}
 
@@ -213,9 +357,9 @@ def write_token_files(
             )
 
         for batch in batches:
-            # A few texts at a time, so that not all of a batch are held twice.
-            for at in range(0, batch.num_rows, 256):
-                ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
+            # Some texts at a time, so that not all of a batch are held twice.
+            for some in slices(batch):
+                ids, texts = (c.to_pylist() for c in some.columns)
                 for doc_id, data in zip(ids, _serialized(texts, tokenizer, end_id)):
                     frame = press.compress(data)
                     index.append({
@@ -231,7 +375,10 @@ def write_token_files(
         if index:
             yield made()
 
-    ordered = documents.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges are of ids and how texts begin, so that rows of one id, or of none, need not meet
+    # in one task and the sample that sets the ranges holds no whole texts.
+    ranged = documents.repartitionByRange("doc_id", F.substring("text", 1, 12))
+    ordered = ranged.sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(pack, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
