@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = list(entry_module.queries())
-    for n in range(1, 12):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(registry.ORACLES) <= set(entry_module.oracle_sql())
 

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm import line_dedup, mixing, token_files, vptree
+from waymark.llm.collocations import collocations
 from waymark.llm.decontaminate import contamination, is_contaminated
 from waymark.llm.language_id import fold, identify_languages, learn_references
 from waymark.llm.license_scan import scan_licenses
+from waymark.llm.packing import pack_documents
 from waymark.llm.secret_scan import scan_secrets, train_models
 from waymark.llm.shared import new_folder
 from waymark.llm.sharding import pack_shards
@@ -118,12 +120,20 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), TOKENIZER)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_sharding, op3_token_files, op4_mixing, op5_simhash,
         op6_line_dedup, op7_license_scan, op8_secret_scan, op9_nearest_vectors,
-        op10_language_id, op11_whitening,
+        op10_language_id, op11_whitening, op12_packing, op13_collocations,
     )
 }
 
