@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 import random
+from pathlib import Path
 
 import pytest
 from conftest import final_plan, planned, rows
@@ -10,6 +11,7 @@ from waymark.functions.calendar import TIMESTAMP_FORMAT
 from waymark.operators import nearest
 from waymark.operators.messages import normalize_messages
 from waymark.operators.nearest import assign_nearest, message_city
+from waymark.operators.place_tree import FAN, build_tree
 
 PLACES = "city string, lat double, lon double"
 POINTS = "message_id long, user_id long, datetime timestamp, lat double, lon double"
@@ -61,6 +63,48 @@ def test_long_list_crowded_into_one_cell(spark, metric):
     assert assigned(spark, points, places, metric=metric) == brute_force(points, places, metric)
 
 
+@pytest.mark.parametrize("metric", ["haversine", "planar"])
+def test_tree_of_many_levels(spark, metric):
+    """Two places to a list, crowds on one meridian and parallel, and points inside and out."""
+    spots = some_points(150, seed=11, box=((-35, -33), (150, 152)))
+    spots += [(-34.0, 151 + n / 1000) for n in range(60)]
+    spots += [(-34 + n / 1000, 151.0) for n in range(60)]
+    spots += [(-34.0 + n / 1e9, 151.0 + n / 1e9) for n in range(60)] + some_points(20, seed=12)
+    places = [(f"place {n}", *p) for n, p in enumerate(spots)]
+    points = some_points(200, seed=13, box=((-36, -32), (149, 153))) + some_points(50, seed=14)
+    points += spots[::9]
+    for key in (None, nearest.MESSAGE_KEY):
+        found = assigned(spark, points, places, metric=metric, key=key, list_places=2)
+        assert found == brute_force(points, places, metric)
+
+
+def test_lists_of_a_crowd_are_short(spark):
+    """40,000 places within a tenth of a degree, and points in the crowd and far from it."""
+    dice = random.Random(21)
+    spots = [(dice.uniform(10, 10.1), dice.uniform(20, 20.1)) for _ in range(40_000)]
+    places = spark.createDataFrame([(f"place {n}", *p) for n, p in enumerate(spots)], PLACES)
+    axes = dict(zip(nearest._AXES, nearest._axes(F.col("lat"), F.col("lon"), "haversine")))
+    tree = build_tree(places.withColumns(axes), nearest._AXES, nearest.LIST_PLACES)
+    sizes = [r.n for r in tree.leaves.select(F.size("places").alias("n")).collect()]
+    assert sum(sizes) == 40_000 and max(sizes) <= nearest.LIST_PLACES and len(tree.root) <= FAN
+    assert max(r.n for r in tree.inner.select(F.size("children").alias("n")).collect()) <= FAN
+    points = some_points(3_900, seed=22, box=((9.9, 10.2), (19.9, 20.2))) + some_points(100)
+    frame = spark.createDataFrame([(n, 1, NOON, *p) for n, p in enumerate(points)], POINTS)
+    found = dict(rows(assign_nearest(frame, places, key=None), "message_id", "city"))
+    assert len(found) == 4_000
+    for n in dice.sample(range(3_900), 40) + list(range(3_900, 4_000, 5)):
+        assert found[n] == brute_force([points[n]], [
+            (f"place {m}", *p) for m, p in enumerate(spots)], "haversine")[0]
+
+
+def test_plans_gather_no_group(spark):
+    """Neither a window nor a list over all places of some area."""
+    text = (Path(nearest.__file__).parent / "place_tree.py").read_text()
+    assert "Window" not in text
+    places = [(f"place {n}", 5.0, 5.0 + n / 1e7) for n in range(300)]
+    assert assigned(spark, [(5.0, 5.0)], places, list_places=10) == ["place 0"]
+
+
 def test_long_list_over_the_date_line_and_poles(spark):
     places = [(f"place {n}", *p) for n, p in enumerate(
         some_points(80, seed=5, box=((-90, 90), (170, 180)))
@@ -135,7 +179,7 @@ def test_plan_has_no_nested_loop_and_sorts_the_points_once(spark, count):
         [(f"place {n}", *p) for n, p in enumerate(some_points(count))], PLACES
     )
     points = spark.range(1000).select(
-        F.col("id").alias("message_id"), F.lit(1).alias("user_id"), F.lit(NOON).alias("datetime"),
+        (F.col("id") * 7 % 1000).alias("message_id"), F.lit(1).alias("user_id"), F.lit(NOON).alias("datetime"),
         (F.rand(1) * 100 - 50).alias("lat"), (F.rand(2) * 100).alias("lon"),
     )
     unkeyed = final_plan(assign_nearest(points, places, key=None))
@@ -144,8 +188,10 @@ def test_plan_has_no_nested_loop_and_sorts_the_points_once(spark, count):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
         assert "SinglePartition" not in plan
     # From the top: the window, its one sort, and the exchange on the key with none below it
-    # up to the join with the lists.
-    upper = keyed[keyed.index("Window") : keyed.index("Join")]
+    # up to the join with the leaves, if there are any.
+    assert ("Join" in keyed) == (count > nearest.LIST_PLACES)
+    assert count > nearest.LIST_PLACES or "Exchange" not in unkeyed
+    upper = keyed[keyed.index("Window") : keyed.index("Join") if "Join" in keyed else None]
     assert upper.count("Exchange hashpartitioning(message_id") == 1
     below = upper[upper.index("Exchange hashpartitioning(message_id"):]
     assert "Sort [message_id" not in below and "SortAggregate" not in below

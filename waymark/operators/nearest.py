@@ -4,31 +4,26 @@ Which place is nearest is decided on a quantity that orders places exactly as th
 does but needs no trigonometry per pair: the squared straight-line chord between points on
 the unit sphere for the great-circle metric, the squared offset in degrees for the planar.
 
-Places are narrowed down per cell of a grid. With ``nearest`` the distance from a cell's
-centre to its nearest place and ``reach`` that to its farthest point, no place beyond
-``nearest + 2 * reach`` can be nearest to any point of the cell. Cells that are left with
-more than a short list are cut into smaller ones, where points are, and narrow their own
-lists down from their parent's; so the work follows the places and the cells in use, and not
-their product. Points then meet only the list of their own cell.
+Few places are one list, which every point is held against. More of them form a tree whose
+leaves are short lists (``waymark.operators.place_tree``), and each point looks twice. It first
+goes down to the nearest box at every level and finds the nearest place of that leaf, whose
+distance bounds the result. It then visits all leaves whose box is no farther than that. The
+work follows points and the few leaves around each, wherever places crowd.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.distance import metric_function, square
 from waymark.operators.messages import normalize_messages
+from waymark.operators.place_tree import PlaceTree, box_distance, build_tree
 
-# Sides in degrees of the cells, from an eighth of the circle down to some twenty kilometres.
-CELL_DEGREES = (45.0, 2.8125, 0.17578125)
-# A longer list of places is narrowed down in smaller cells.
+# Places in a list at most; with more there is a tree.
 LIST_PLACES = 64
-# Parts the places are dealt into when they meet the largest cells.
-SALTS = 64
 
 _AXES = ("_x", "_y", "_z")
 MESSAGE_KEY = ("message_id", "user_id", "datetime")
@@ -51,118 +46,80 @@ def _spread(here: Sequence[Column], there: Sequence[Column]) -> Column:
 
 def _on_map() -> Column:
     finite = [
-        F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(F.col(c)) < float("inf"))
+        F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
         for c in ("lat", "lon")
     ]
     return finite[0] & finite[1]
 
 
-def _cell(level: int, lat: Column, lon: Column) -> Column:
-    """Number of the cell of a level: row and column side by side."""
-    side = CELL_DEGREES[level]
-    return F.floor(lat / side) * 2**32 + F.floor(lon / side)
+def _literal(rows: Sequence[Row], kinds: dict[str, str]) -> Column:
+    """A bounded list of rows as an array of structs."""
+    return F.array(*[
+        F.struct(*[F.lit(r[name]).cast(kind).alias(name) for name, kind in kinds.items()])
+        for r in rows
+    ])
 
 
-def _middle(level: int, lat: Column, lon: Column, metric: str) -> list[Column]:
-    """Axes of the centre of the cell that holds a point."""
-    side = CELL_DEGREES[level]
-    centre = lambda degrees: (F.floor(degrees / side) + 0.5) * side
-    return _axes(centre(lat), centre(lon), metric)
-
-
-def _reach(level: int, metric: str) -> float:
-    """At least the distance from a cell's centre to any of its points.
-
-    A chord is never longer than its arc, nor an arc than the flat diagonal; the extra
-    hundredth covers rounding.
-    """
-    half_diagonal = CELL_DEGREES[level] * math.sqrt(2) / 2
-    return 1.01 * (half_diagonal if metric == "planar" else math.radians(half_diagonal))
-
+def _nearest_of(places: str | Column, names: Sequence[str]) -> Column:
+    """Of a list of places the nearest to the point, with its ``spread``; then the first by
+    name and coordinates."""
+    here = [F.col(n) for n in names]
+    return F.array_min(F.transform(
+        places,
+        lambda place: F.struct(
+            _spread(here, [place[n] for n in names]).alias("spread"),
+            place["city"].alias("city"), place["lat"].alias("lat"), place["lon"].alias("lon"),
+        ),
+    ))
 
-def _narrowed(met: DataFrame, level: int, metric: str, again: Column | None = None) -> DataFrame:
-    """Of the places listed for each cell, those that can be nearest to one of its points.
 
-    ``again`` is true where the row is new to this level; the other lists stay as they are.
-    """
-    per_cell = Window.partitionBy("level", "cell")
-    place = [F.col(f"place.{name}") for name in _AXES[: 2 if metric == "planar" else 3]]
-    spread = _spread(_middle(level, F.col("cell_lat"), F.col("cell_lon"), metric), place)
-    limit = square(F.sqrt(F.min("_spread").over(per_cell)) + 2 * _reach(level, metric))
-    listed = met.withColumn("_spread", spread).withColumn("_limit", limit)
-    near = F.col("_spread") <= F.col("_limit")
-    listed = listed.where(near if again is None else near | ~again)
-    return listed.withColumn("listed", F.count(F.lit(1)).over(per_cell)).drop("_spread", "_limit")
-
-
-def _place_lists(points: DataFrame, places: DataFrame, metric: str, list_places: int) -> DataFrame:
-    """``finest, places``: per smallest cell in use the places its points have to be held
-    against, no fewer and, but for ties and crowds in one spot, about ``list_places`` at most."""
-    names = _AXES[: 2 if metric == "planar" else 3]
-    axes = [a.alias(n) for a, n in zip(_axes(F.col("lat"), F.col("lon"), metric), names)]
-    # Of places at one spot only the first by name can win.
-    located = places.groupBy("lat", "lon").agg(F.min("city").alias("city")).select(
-        F.struct("city", "lat", "lon", *axes).alias("place")
-    )
-    last = len(CELL_DEGREES) - 1
-    side = CELL_DEGREES[last]
-    # The smallest cells in use, each by its centre; all larger cells follow from these.
-    used = points.select(
-        F.floor(F.col("lat") / side).alias("_row"), F.floor(F.col("lon") / side).alias("_column")
-    ).distinct()
-    used = used.select(
-        ((F.col("_row") + 0.5) * side).alias("cell_lat"),
-        ((F.col("_column") + 0.5) * side).alias("cell_lon"),
-    )
-
-    def cells(level: int) -> DataFrame:
-        """The cells of a level in use, each by some point of it."""
-        return used.groupBy(
-            _cell(level, F.col("cell_lat"), F.col("cell_lon")).alias("cell")
-        ).agg(F.min(F.struct("cell_lat", "cell_lon")).alias("at")).select(
-            "cell", "at.cell_lat", "at.cell_lon"
+def _by_list(points: DataFrame, places: Sequence[Row], names: Sequence[str]) -> DataFrame:
+    kinds = {"city": "string", "lat": "double", "lon": "double", **dict.fromkeys(names, "double")}
+    if not places:
+        return points.where(F.lit(False)).withColumn(
+            "_best", F.lit(None).cast("struct<spread:double,city:string,lat:double,lon:double>")
         )
-
-    # The largest cells are few whatever the input, so each meets all places, salt by salt.
-    first = cells(0).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = located.withColumn("salt", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int"))
-    lists = first.join(salted, "salt").select(
-        F.lit(0).alias("level"), "cell", "cell_lat", "cell_lon", "place"
+    return points.withColumn("_best", _nearest_of(_literal(places, kinds), names))
+
+
+def _by_tree(points: DataFrame, tree: PlaceTree, names: Sequence[str]) -> DataFrame:
+    """Points with the nearest place of every leaf that can hold the nearest of all."""
+    here = {n: F.col(n) for n in names}
+    ends = [f"{n}_{end}" for n in names for end in ("lo", "hi")]
+    root = _literal(tree.root, {"node": "long", **dict.fromkeys(ends, "double")})
+    nearest_box = lambda children: F.array_min(F.transform(
+        children,
+        lambda c: F.struct(box_distance(c, here).alias("far"), c["node"].alias("node")),
+    ))["node"]
+    # What is computed per point goes through a generator, so that filters which the optimiser
+    # infers for the joins do not compute it once more.
+    once = lambda value: F.explode(F.array(value))
+    found = points.withColumn("node", once(nearest_box(root)))
+    for _ in range(1, tree.levels):
+        deeper = F.coalesce(nearest_box(F.col("children")), F.col("node"))
+        found = found.join(tree.inner, "node", "left").withColumn("node", once(deeper))
+        found = found.drop("children")
+    spread = lambda place: _spread(list(here.values()), [place[n] for n in names])
+    found = found.join(tree.leaves, "node").withColumn(
+        "_bound", F.array_min(F.transform("places", spread))
+    ).drop("node", "places")
+
+    within = lambda children: F.transform(
+        F.filter(children, lambda c: box_distance(c, here) <= F.col("_bound")),
+        lambda c: c["node"],
     )
-    lists = _narrowed(lists, 0, metric)
-    for level in range(1, last + 1):
-        lat, lon = F.col("child_lat"), F.col("child_lon")
-        children = cells(level).toDF("child", "child_lat", "child_lon").withColumns({
-            "parent": _cell(level - 1, lat, lon), "above": F.lit(level - 1),
-        })
-        # Short lists find no child and stay as they are.
-        split = (
-            (F.col("parent") == F.col("cell")) & (F.col("above") == F.col("level"))
-            & (F.col("listed") > list_places)
-        )
-        lists = lists.join(children, split, "left")
-        new = F.col("child").isNotNull()
-        lists = lists.select(
-            F.when(new, level).otherwise(F.col("level")).alias("level"),
-            F.coalesce("child", "cell").alias("cell"),
-            F.coalesce("child_lat", "cell_lat").alias("cell_lat"),
-            F.coalesce("child_lon", "cell_lon").alias("cell_lon"),
-            "place",
+    found = found.withColumn("node", F.explode_outer(within(root)))
+    for _ in range(1, tree.levels):
+        # A leaf has no children and stays.
+        nodes = F.when(F.col("children").isNull(), F.array("node")).otherwise(
+            within(F.col("children"))
         )
-        lists = _narrowed(lists, level, metric, again=F.col("level") == level)
-    lists = lists.groupBy("level", "cell").agg(F.collect_list("place").alias("places"))
-    # Each smallest cell lies in exactly one cell of each level, and one of these has a list.
-    own = F.explode(F.array(*[
-        F.struct(
-            F.lit(level).alias("level"),
-            _cell(level, F.col("cell_lat"), F.col("cell_lon")).alias("cell"),
-        )
-        for level in range(last + 1)
-    ])).alias("own")
-    finest = _cell(last, F.col("cell_lat"), F.col("cell_lon")).alias("finest")
-    return used.select(finest, own).select("finest", "own.*").join(
-        lists, ["level", "cell"]
-    ).select("finest", "places")
+        found = found.join(tree.inner, "node", "left").withColumn("_nodes", nodes)
+        found = found.drop("node", "children").withColumn("node", F.explode_outer("_nodes"))
+        found = found.drop("_nodes")
+    return found.join(tree.leaves, "node").withColumn(
+        "_best", _nearest_of("places", names)
+    ).drop("node", "places", "_bound")
 
 
 def assign_nearest(
@@ -178,44 +135,44 @@ def assign_nearest(
     ``points`` and ``places`` both have ``lat`` and ``lon`` in degrees; points without finite
     coordinates are dropped, as are places without them or without a name, and with no place
     left there are no rows. Of equally near places the first by name wins. ``distance`` names
-    an optional column with the distance in km. Any number of places goes the same way.
+    an optional column with the distance in km. Places may be any number, anywhere.
 
     With a ``key``, points that share it collapse to the one nearest to any place (then the
     first by city, latitude and longitude), which costs one shuffle on the key; pass
-    ``key=None`` when keys are known to be unique.
+    ``key=None`` when keys are known to be unique, which saves it with up to ``list_places``
+    places. The list, or the tree of the places, is made when this is called.
     """
     kilometres = metric_function(metric)
-    located = points.where(_on_map())
-    named = places.where(_on_map() & F.col("city").isNotNull()).select("city", "lat", "lon")
-    lists = _place_lists(located, named, metric, list_places)
     names = _AXES[: 2 if metric == "planar" else 3]
-    here = [F.col(n) for n in names]
-    last = len(CELL_DEGREES) - 1
-    matched = located.withColumn("finest", _cell(last, F.col("lat"), F.col("lon"))).join(
-        lists, "finest"
-    ).withColumns(dict(zip(names, _axes(F.col("lat"), F.col("lon"), metric))))
-    nearest = F.array_min(F.transform(
-        "places",
-        lambda place: F.struct(
-            _spread(here, [place[n] for n in names]).alias("spread"),
-            place["city"].alias("city"), place["lat"].alias("lat"), place["lon"].alias("lon"),
-        ),
-    ))
-    matched = matched.withColumn("_best", nearest)
+    at = dict(zip(names, _axes(F.col("lat"), F.col("lon"), metric)))
+    located = points.where(_on_map()).withColumns(at)
+    named = places.where(_on_map() & F.col("city").isNotNull()).select("city", "lat", "lon")
+    # Of places at one spot only the first by name can win.
+    spots = named.withColumns(at).groupBy(*names).agg(
+        F.min(F.struct("city", "lat", "lon")).alias("first")
+    ).select(*names, "first.*")
+    tree = build_tree(spots, names, list_places, along=("lat", "lon"))
+    if tree.places is not None:
+        matched = _by_list(located, tree.places, names)
+        together = key
+    else:
+        row = F.monotonically_increasing_id()
+        together = key or ["_row"]
+        matched = _by_tree(located if key else located.withColumn("_row", row), tree, names)
     place = F.col("_best")
     found = {"city": place["city"]}
     if distance:
         found[distance] = kilometres(F.col("lat"), F.col("lon"), place["lat"], place["lon"])
     found["_spread"] = place["spread"]
-    matched = matched.withColumns(found).drop("_best", "finest", "places", *names)
-    if not key:
+    matched = matched.withColumns(found).drop("_best", *names)
+    if not together:
         return matched.drop("_spread")
     # The first of each key after one exchange and one sort; asking for what lies before it,
     # and not for a rank, keeps the rows from being sorted ahead of the exchange as well.
-    in_order = Window.partitionBy(*key).orderBy("_spread", "city", "lat", "lon")
+    in_order = Window.partitionBy(*together).orderBy("_spread", "city", "lat", "lon")
     before = F.lag(F.lit(1)).over(in_order)
     return matched.withColumn("_before", before).where(F.col("_before").isNull()).drop(
-        "_before", "_spread"
+        "_before", "_spread", "_row"
     )
 
 
