@@ -2,10 +2,10 @@
 
 Words are counted first. Texts then become streams of codes of the frequent words; all else is
 a break, since no phrase around it can be frequent. Candidates of a level are the phrases that
-stand in the streams and whose parts are frequent (Apriori). They are broadcast as tries in
-double arrays, in blocks of bounded size; the states of all places of a stream advance
-together, a word a level, and the accepting states they end in are counted per task and summed
-up over tasks.
+stand in the streams often enough and whose parts are frequent (Apriori). They are broadcast as
+the next edges of a trie, in double arrays and in blocks of bounded size; the states of all
+places of a stream advance together, a word a level, and the accepting states they end in are
+counted per task and summed up over tasks.
 """
 
 from __future__ import annotations
@@ -29,10 +29,19 @@ BEST = 2_000
 NO_LANGUAGE = "und"
 # Words of one broadcast vocabulary, and phrases of one broadcast trie.
 BLOCK_WORDS = 500_000
-BLOCK_PHRASES = 500_000
+BLOCK_PHRASES = 1_000_000
+# Bytes of text a task cuts into words together, codes it looks through together, and codes of
+# a row of the stored streams; writers hold some hundred rows at a time.
+SLICE_BYTES = 4_000_000
+CHUNK_CODES = 1_000_000
+ROW_CODES = 8_192
+# Keys of a bucket, about, whose counts are summed up together.
+BUCKET_KEYS = 500_000
+# Parts of a language that are ranked by themselves first.
+PARTS = 64
 # Children of one base, and slots per child at first.
-BASE_CHILDREN = 4
-SLOTS = 3
+BASE_CHILDREN = 3
+SLOTS = 2
 
 _LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 # Kinds of bytes: 0 belongs to a word, 1 parts words, 2 ends a piece.
@@ -123,33 +132,24 @@ class Level:
 
 
 class Trie:
-    """Phrases of one length, each a row of word codes, told by their number in ``phrases``."""
-
-    def __init__(self, phrases: np.ndarray):
-        self.phrases = phrases
-        self._words, states = np.unique(phrases[:, 0], return_inverse=True)
-        n_states = len(self._words)
-        self._levels = []
-        for symbols in phrases.T[1:]:
-            edges, states = np.unique(states * 2**32 + symbols, return_inverse=True)
-            self._levels.append(Level.build(edges >> 32, edges & (2**32 - 1), n_states))
-            n_states = len(edges)
-        # Accepting states by the number of their phrase.
-        self._accepts = np.empty(n_states, np.int64)
-        self._accepts[states] = np.arange(len(phrases))
-
-    def accepted(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of a stream where a phrase begins, and which one."""
-        length = len(self._levels) + 1
-        at = np.arange(max(len(codes) - length + 1, 0))
-        states = np.minimum(np.searchsorted(self._words, codes[at]), len(self._words) - 1)
-        alive = self._words[states] == codes[at]
-        at, states = at[alive], states[alive]
-        for n, level in enumerate(self._levels, 1):
-            states = level.step(states, codes[at + n].astype(np.int64))
-            alive = states >= 0
-            at, states = at[alive], states[alive]
-        return at, self._accepts[states]
+    """One level of candidates: the states before it, numbered from 1, a word's code, and the
+    number of the phrase that both make."""
+
+    def __init__(self, states: np.ndarray, codes: np.ndarray, numbers: np.ndarray):
+        self._states, at = np.unique(states, return_inverse=True)
+        self._level = Level.build(at, codes, len(self._states))
+        self._numbers = numbers
+
+    def advance(self, states: np.ndarray, codes: np.ndarray, nth: int) -> np.ndarray:
+        """The states after the word ``nth`` places on, 0 where there is no such phrase."""
+        after = np.zeros(len(states), np.int64)
+        at = np.flatnonzero(states[: max(len(states) - nth, 0)])
+        own = np.minimum(np.searchsorted(self._states, states[at]), len(self._states) - 1)
+        known = self._states[own] == states[at]
+        at, own = at[known], own[known]
+        edge = self._level.step(own, codes[at + nth].astype(np.int64))
+        after[at[edge >= 0]] = self._numbers[edge[edge >= 0]]
+        return after
 
 
 def _words(joined: bytes) -> tuple[pa.Array, np.ndarray]:
@@ -169,7 +169,7 @@ def _words(joined: bytes) -> tuple[pa.Array, np.ndarray]:
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
     """Lowered texts of a language, slice by slice, end to end."""
     for batch in batches:
-        for some in slices(batch):
+        for some in slices(batch, SLICE_BYTES):
             languages = some.column(0).dictionary_encode()
             codes = languages.indices.to_numpy()
             texts = some.column(1).cast(pa.large_binary()).to_pylist()
@@ -213,12 +213,16 @@ def _numbered(table: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def encode_streams(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``codes``: the texts as streams of 32-bit codes, stored. A 0 stands wherever two words
-    are not in one piece, and for words that are not in ``vocabulary`` (``lang, word, code``).
+    are not in one piece, for words that are not in ``vocabulary`` (``lang, word, code``), and
+    at the end of each row.
 
     With more words than a block, the texts pass once per block, each filling in its codes.
     """
     spark = texts.sparkSession
-    rows = None
+    rows, first = texts, True
+    left = -(-(vocabulary.agg(F.max("code")).first()[0] or 0) // BLOCK_WORDS)
+    if not left:
+        return spark.createDataFrame([], "codes binary")
     for block in _blocks(vocabulary, "code", BLOCK_WORDS):
         # Bounded by the size of a block.
         table = block.select("lang", "word", "code").toArrow()
@@ -230,153 +234,253 @@ def encode_streams(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
                 mine["word"].combine_chunks().cast(pa.large_string()), mine["code"].to_numpy()
             )
         words = spark.sparkContext.broadcast(own)
-        if rows is None:
-            rows = texts.mapInArrow(_filler(words, True), _FILLED)
-        else:
-            rows = rows.mapInArrow(_filler(words, False), _FILLED)
-        rows = stored(rows, "filled")
+        left -= 1
+        out = _FILLED if left else "codes binary"
+        rows = stored(rows.mapInArrow(_filler(words, first, not left), out), "streams")
         words.unpersist()
-    if rows is None:
-        return spark.createDataFrame([], "codes binary")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for joined, codes in zip(batch.column(0), batch.column(1)):
-                pieces = _words(joined.as_py())[1]
-                own = np.frombuffer(codes.as_buffer(), "<i4")
-                broken = np.flatnonzero(np.diff(pieces)) + 1
-                own = np.append(np.insert(own, broken, 0), 0).astype("<i4")
-                # Of breaks side by side one is enough.
-                own = own[(own != 0) | (np.append(1, own[:-1]) != 0)]
-                yield pa.RecordBatch.from_arrays([pa.array([own.tobytes()])], ["codes"])
-
-    return stored(rows.select("joined", "codes").mapInArrow(finish, "codes binary"), "streams")
+        first = False
+    return rows
 
 
 _FILLED = "lang string, joined binary, codes binary"
 
 
-def _filler(words: Broadcast, first: bool) -> Callable:
+def _filler(words: Broadcast, first: bool, last: bool) -> Callable:
+    """Fills in the codes of a block of words: of ``lang, text`` if it is the first, and to
+    ``codes`` if it is the last."""
+
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (
             ((language, joined, None) for language, joined in _by_language(batches)) if first
-            else ((r["lang"], r["joined"], r["codes"]) for b in batches for r in b.to_pylist())
+            else ((r["lang"], r["joined"], r["codes"]) for b in batches
+                  for n in range(b.num_rows) for r in b.slice(n, 1).to_pylist())
         )
-        for language, joined, codes in rows:
-            found = _words(joined)[0].dictionary_encode()
+        for language, joined, before in rows:
+            own, pieces = _words(joined)
+            own = own.dictionary_encode()
             known, numbers = words.value.get(language, (pa.array([], pa.large_string()), None))
-            at = pc.index_in(found.dictionary, value_set=known)
-            own = np.zeros(len(at), "<i4")
-            met = pc.is_valid(at).to_numpy(zero_copy_only=False)
+            at = pc.index_in(own.dictionary, value_set=known)
+            code_of = np.zeros(len(at), "<i4")
             if numbers is not None:
-                own[met] = numbers[at.drop_null().to_numpy()]
-            filled = own[found.indices.to_numpy()]
-            if codes is not None:
-                filled = np.maximum(filled, np.frombuffer(codes, "<i4"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([language], pa.string()), pa.array([joined], pa.binary()),
-                 pa.array([filled.astype("<i4").tobytes()], pa.binary())],
-                ["lang", "joined", "codes"],
-            )
+                met = pc.is_valid(at).to_numpy(zero_copy_only=False)
+                code_of[met] = numbers[at.drop_null().to_numpy()]
+            codes = code_of[own.indices.to_numpy()]
+            if before is not None:
+                codes = np.maximum(codes, np.frombuffer(before, "<i4"))
+            if last:
+                yield from _rows(_stream(codes, pieces))
+            else:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([language], pa.string()), pa.array([joined], pa.binary()),
+                     pa.array([codes.tobytes()], pa.binary())],
+                    ["lang", "joined", "codes"],
+                )
 
     return fill
 
 
-def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Of each row the codes, and where its second column says that a pair begins."""
+def _stream(codes: np.ndarray, pieces: np.ndarray) -> np.ndarray:
+    """Codes of words with a 0 between pieces and at the end; of zeros side by side one stays."""
+    broken = np.flatnonzero(np.diff(pieces)) + 1
+    own = np.append(np.insert(codes, broken, 0), 0).astype("<i4")
+    return own[(own != 0) | (np.append(1, own[:-1]) != 0)]
+
+
+def _rows(codes: np.ndarray, *beside: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A stream in rows of some ``ROW_CODES`` codes, each ending in a 0, with what stands beside
+    the codes."""
+    ends = np.flatnonzero(codes == 0) + 1
+    begin = 0
+    while begin < len(codes):
+        at = np.searchsorted(ends, begin + ROW_CODES)
+        end = int(ends[at]) if at < len(ends) else len(codes)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([c[begin:end].tobytes()], pa.binary()) for c in (codes, *beside)],
+            ["codes", "states", "next"][: 1 + len(beside)],
+        )
+        begin = end
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Rows end to end, some ``CHUNK_CODES`` codes at a time: the codes, and what stands beside
+    them."""
+    held: list[list[np.ndarray]] = []
+    size = 0
     for batch in batches:
         for row in zip(*batch.columns):
-            codes = np.frombuffer(row[0].as_buffer(), "<i4")
-            yield [codes, *(np.frombuffer(c.as_buffer(), bool) for c in row[1:])]
-
-
-def _met_phrases(streams: DataFrame, length: int, least: int) -> DataFrame:
-    """``c1, …``: phrases of a length that stand ``least`` times in the streams at places where
-    all their parts are frequent: words for pairs, and pairs for what is longer."""
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, *pair in _streams(batches):
-            at = np.arange(max(len(codes) - length + 1, 0))
-            safe = np.ones(len(at), bool)
-            for n in range(length):
-                safe &= codes[at + n] != 0
-            for n in range(length - 1) if pair else ():
-                safe &= pair[0][at + n]
-            at = at[safe]
-            # Numbers of the parts so far, and what each of them is.
-            key, first = codes[at].astype(np.int64), None
-            for n in range(1, length):
-                if n > 1:
-                    key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-                key = key * 2**32 + codes[at + n]
-            _, first, count = np.unique(key, return_index=True, return_counts=True)
-            columns = [pa.array(codes[at[first] + n].astype(np.int64)) for n in range(length)]
+            held.append([np.frombuffer(row[0].as_buffer(), "<i4"),
+                         *(np.frombuffer(c.as_buffer(), "<i8") for c in row[1:])])
+            size += len(held[-1][0])
+            if size >= CHUNK_CODES:
+                yield [np.concatenate(c) for c in zip(*held)]
+                held, size = [], 0
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+@dataclass
+class Streams:
+    """Streams with the states their places are in: the codes, or ``states`` if there is such a
+    column, moved on by ``tries``, one for each level since."""
+
+    rows: DataFrame
+    level: int = 1
+    tries: tuple[Broadcast, ...] = ()
+
+    def reader(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
+        """What gives a task the codes and states of its chunks."""
+        first, tries = self.level - len(self.tries), self.tries
+
+        def states(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for codes, *beside in _chunks(batches):
+                own = beside[0] if beside else codes.astype(np.int64)
+                for n, trie in enumerate(tries):
+                    own = trie.value.advance(own, codes, first + n)
+                yield codes, own
+
+        return states
+
+
+def _summed(
+    rows: DataFrame, keyed: Callable[[Iterator[pa.RecordBatch]], Iterator], least: int, places: int
+) -> DataFrame:
+    """``key, n``: the counts of keys, summed over tasks, of at least ``least``.
+
+    Tasks give sorted keys with their counts (``keyed``). These are packed by buckets of keys,
+    as many as leave ``BUCKET_KEYS`` keys to each, and a bucket's packs are summed as they come.
+    """
+    n_buckets = places // BUCKET_KEYS + 1
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, counts in keyed(batches):
+            # Keys that follow each other belong to different buckets.
+            mixed = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            bucket = (mixed % np.uint64(n_buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            buckets, begins = np.unique(bucket[order], return_index=True)
+            ends = np.append(begins[1:], len(order))
+            packs = [
+                [c[order[a:b]].astype(np.int64).tobytes() for a, b in zip(begins, ends)]
+                for c in (keys, counts)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(count.astype(np.int64))], [*_codes(length), "n"]
+                [pa.array(buckets, pa.int32()), *[pa.array(p, pa.binary()) for p in packs]],
+                ["bucket", "keys", "counts"],
             )
 
-    names = _codes(length)
-    out = ", ".join(f"{c} long" for c in names) + ", n long"
-    met = streams.mapInArrow(meet, out).groupBy(*names).agg(F.sum("n").alias("n"))
-    return met.where(F.col("n") >= least).select(*names)
+    def merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, np.concatenate([c for _, c in held]))
+        return keys, total
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held, size = None, [], 0
 
-def _codes(length: int) -> list[str]:
-    return [f"c{n}" for n in range(1, length + 1)]
+        def done() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys, total = merge(held)
+                often = total >= least
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[often]), pa.array(total[often])], ["key", "n"]
+                )
 
+        for batch in batches:
+            for own, *packs in zip(*batch.columns):
+                if own.as_py() != bucket:
+                    yield from done()
+                    bucket, held, size = own.as_py(), [], 0
+                keys, counts = (np.frombuffer(p.as_buffer(), "<i8") for p in packs)
+                held.append((keys, counts))
+                size += len(keys)
+                if size > 4 * BUCKET_KEYS:
+                    held = [merge(held)]
+                    size = len(held[0][0])
+        yield from done()
+
+    packed = rows.mapInArrow(pack, "bucket int, keys binary, counts binary")
+    ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+    return ordered.mapInArrow(add, "key long, n long")
+
+
+def _next_phrases(streams: Streams, least: int, places: int) -> DataFrame:
+    """``state, code, number``: phrases a word longer than the streams' states, that stand
+    ``least`` times where the phrase from the next word on has a state as well; stored."""
+    level, read = streams.level, streams.reader()
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for codes, states in read(batches):
+            n = max(len(codes) - level, 0)
+            safe = np.flatnonzero((states[:n] > 0) & (states[1 : n + 1] > 0))
+            keys = states[safe] * 2**32 + codes[safe + level]
+            yield np.unique(keys, return_counts=True)
+
+    met = stored(_summed(streams.rows, keyed, least, places).select("key"), "phrases")
+    numbered = _numbered(met, ["key"], "number")
+    low = F.lit(2**32 - 1).cast("long")
+    return numbered.select(
+        F.shiftright("key", 32).alias("state"), F.col("key").bitwiseAND(low).alias("code"), "number"
+    )
 
-def _tries(phrases: DataFrame, length: int) -> Iterator[Broadcast]:
-    """Tries of numbered phrases, one at a time."""
+
+def _advanced(streams: Streams, phrases: DataFrame) -> Streams:
+    """The streams a level on. One block of phrases is kept as a trie that tasks apply as they
+    go; of more, each moves the states of its own phrases, and the states are stored."""
     spark = phrases.sparkSession
-    for block in _blocks(phrases, "phrase", BLOCK_PHRASES):
+    blocks = list(_blocks(phrases, "number", BLOCK_PHRASES))
+
+    def trie(block: DataFrame) -> Broadcast:
         # Bounded by the size of a block.
-        table = block.select(*_codes(length)).toArrow()
-        rows = np.stack([table[c].to_numpy() for c in _codes(length)], axis=1)
-        trie = spark.sparkContext.broadcast(Trie(rows))
-        yield trie
-        trie.unpersist()
-
-
-def _counted(streams: DataFrame, phrases: DataFrame, length: int) -> DataFrame:
-    """``c1, …, n``: how often each phrase stands in the streams, stored."""
-    names = _codes(length)
-    out = ", ".join(f"{c} long" for c in names) + ", n long"
-    found = []
-    for trie in _tries(phrases, length):
-
-        def count(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
-            own = trie.value
-            n = np.zeros(len(own.phrases), np.int64)
-            for codes, *_ in _streams(batches):
-                n += np.bincount(own.accepted(codes)[1], minlength=len(n))
-            met = np.flatnonzero(n)
-            columns = [pa.array(c) for c in own.phrases[met].T]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n[met])], [*names, "n"])
-
-        shards = streams.select("codes").mapInArrow(count, out)
-        found.append(stored(shards.groupBy(*names).agg(F.sum("n").alias("n")), "counts"))
-    whole = found[0] if found else streams.sparkSession.createDataFrame([], out)
-    for other in found[1:]:
-        whole = whole.unionByName(other)
-    return whole
-
-
-def _marked(streams: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``codes, pair``: with a byte per place, 1 where one of the pairs begins, stored."""
-    marked = streams.select("codes")
-    for trie in _tries(pairs, 2):
-
-        def mark(batches: Iterator[pa.RecordBatch], trie=trie) -> Iterator[pa.RecordBatch]:
-            for codes, *before in _streams(batches):
-                begins = before[0].copy() if before else np.zeros(len(codes), bool)
-                begins[trie.value.accepted(codes)[0]] = True
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([codes.tobytes()]), pa.array([begins.tobytes()])],
-                    ["codes", "pair"],
-                )
+        table = block.select("state", "code", "number").toArrow()
+        return spark.sparkContext.broadcast(
+            Trie(*(table[c].to_numpy() for c in ("state", "code", "number")))
+        )
 
-        marked = stored(marked.mapInArrow(mark, "codes binary, pair binary"), "marked")
-    return marked
+    if len(blocks) == 1:
+        return Streams(streams.rows, streams.level + 1, (*streams.tries, trie(blocks[0])))
+    rows, level, read = streams.rows, streams.level, streams.reader()
+    for n, block in enumerate(blocks):
+        one, last = trie(block), n + 1 == len(blocks)
+
+        def move(
+            batches: Iterator[pa.RecordBatch], n=n, one=one, last=last
+        ) -> Iterator[pa.RecordBatch]:
+            if n == 0:
+                chunks = ((c, s, np.zeros(len(c), np.int64)) for c, s in read(batches))
+            else:
+                chunks = _chunks(batches)
+            for codes, states, after in chunks:
+                after = np.maximum(after, one.value.advance(states, codes, level))
+                yield from _rows(codes, *((after,) if last else (states, after)))
+
+        out = "codes binary, states binary" + ("" if last else ", next binary")
+        rows = stored(rows.mapInArrow(move, out), "states")
+        one.unpersist()
+    return Streams(rows, level + 1)
+
+
+def _counted(streams: Streams, places: int) -> DataFrame:
+    """``number, n``: how often each phrase stands in the streams, stored."""
+    read = streams.reader()
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        # One count per task, of bounded size: numbers so far in it.
+        total = np.zeros(0, np.int64)
+        for _, states in read(batches):
+            accepted = np.bincount(states[states > 0])
+            if len(accepted) > len(total):
+                total = np.pad(total, (0, len(accepted) - len(total)))
+            total[: len(accepted)] += accepted
+            if len(total) > BLOCK_PHRASES:
+                # Numbers of many blocks: counted chunk by chunk.
+                met = np.flatnonzero(total)
+                yield met, total[met]
+                total = np.zeros(0, np.int64)
+        met = np.flatnonzero(total)
+        yield met, total[met]
+
+    found = _summed(streams.rows, keyed, 1, places)
+    return stored(found.select(F.col("key").alias("number"), "n"), "counts")
 
 
 def _score(a: str, parts: list[Column]) -> Column:
@@ -388,6 +492,9 @@ def _score(a: str, parts: list[Column]) -> Column:
     ), product)
 
 
+_OUT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
+
+
 def collocations(
     documents: DataFrame,
     least_count: int = LEAST_COUNT,
@@ -415,11 +522,25 @@ def collocations(
     vocabulary = _numbered(frequent, ["lang", "word"], "code")
     streams = encode_streams(texts, vocabulary)
 
-    pairs = _numbered(_met_phrases(streams, 2, least_count), ["c1", "c2"], "phrase")
-    two = _counted(streams, pairs, 2)
-    marked = _marked(streams, pairs)
-    triples = _numbered(_met_phrases(marked, 3, least_count), ["c1", "c2", "c3"], "phrase")
-    three = _counted(streams, triples, 3)
+    places = streams.agg(F.sum(F.length("codes"))).first()[0] or 0
+    places = places // 4
+    one = Streams(streams)
+    pairs = _next_phrases(one, least_count, places)
+    if pairs.isEmpty():
+        return documents.sparkSession.createDataFrame([], _OUT)
+    two_words = _advanced(one, pairs)
+    two = pairs.select(F.col("state").alias("c1"), F.col("code").alias("c2"), "number").join(
+        _counted(two_words, places), "number"
+    )
+    triples = _next_phrases(two_words, least_count, places)
+    if triples.isEmpty():
+        three = two.select("c1", "c2", F.col("c2").alias("c3"), "n").limit(0)
+    else:
+        three = triples.join(_counted(_advanced(two_words, triples), places), "number").select(
+            F.col("state").alias("number"), F.col("code").alias("c3"), "n"
+        ).join(two.select("number", "c1", "c2"), "number").select("c1", "c2", "c3", "n")
+    two = stored(two.drop("number"), "pairs")
+    three = stored(three, "triples")
 
     word = lambda c, n: vocabulary.select(F.col("code").alias(c), F.col("n").alias(n))
     pair = lambda a, b, n: two.select(F.col("c1").alias(a), F.col("c2").alias(b), F.col("n").alias(n))
@@ -451,10 +572,13 @@ def collocations(
         "lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", "cut.l", "cut.r",
         "cut.score",
     )
-    ranked = F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    )
-    first = found.withColumn("rank", ranked).where(F.col("rank") <= best)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # The best of each part of a language, and of these the best of all.
+    part_of = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    nth = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    some = found.withColumn("part", part_of).withColumn("nth", nth).where(F.col("nth") <= best)
+    ranked = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    first = some.withColumn("rank", ranked).where(F.col("rank") <= best)
     return first.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
         F.col("total").alias("n"), F.col("score").cast("long").alias("score"),

@@ -296,15 +296,16 @@ def train_dictionary(
     return bytes(made["dictionary"]) if made else b""
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, size: int | None = None) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``SLICE_ROWS`` rows and, but for a single text that has
-    more, ``SLICE_BYTES`` bytes of ``text``, its second column."""
+    more, ``size`` bytes (``SLICE_BYTES`` if not given) of ``text``, its second column."""
+    size = size or SLICE_BYTES
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
     whole = np.cumsum(sizes)
     at = 0
     while at < batch.num_rows:
         before = whole[at - 1] if at else 0
-        end = int(np.searchsorted(whole, before + SLICE_BYTES, "right"))
+        end = int(np.searchsorted(whole, before + size, "right"))
         end = min(max(end, at + 1), at + SLICE_ROWS, batch.num_rows)
         yield batch.slice(at, end - at)
         at = end
