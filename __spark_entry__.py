@@ -29,13 +29,20 @@ from waymark.functions.calendar import (  # noqa: E402
 from waymark.functions.distance import haversine_km, planar_km  # noqa: E402
 from waymark.operators import activity, nearest, pairs, proximity, residence, streaks  # noqa: E402
 from waymark.operators.messages import normalize_messages  # noqa: E402
-from waymark.operators.sampling import sample_users  # noqa: E402
+from waymark.operators.sampling import estimated_counts, sample_users  # noqa: E402
 from waymark.plans.friends import friends_mart  # noqa: E402
 from waymark.plans.user_geo import user_geo_mart  # noqa: E402
 from waymark.plans.zone import zone_mart  # noqa: E402
 from waymark.schemas import CITY_CSV  # noqa: E402
 from waymark.session import prepare_session  # noqa: E402
-from waymark.sources.cities import clean_cities, known_cities, with_timezone  # noqa: E402
+from waymark.sources.cities import (  # noqa: E402
+    BROKEN_LINE,
+    city_rejects,
+    clean_cities,
+    known_cities,
+    reject_reason,
+    with_timezone,
+)
 from waymark.sources.events import events_window, ingest_events, read_events  # noqa: E402
 from waymark.sources.testdata import geo_log  # noqa: E402
 
@@ -211,6 +218,19 @@ def _day_streaks(spark, sf_dir):
     return _ntz(_Inputs(spark, sf_dir).streaks, "last_action")
 
 
+def _streaks_advanced(spark, sf_dir):
+    """The runs of days, carried on over three stretches of the log one after another."""
+    at = _Inputs(spark, sf_dir)
+    presence = streaks.daily_presence(at.message_city)
+    part = lambda n: presence.where(
+        F.least(F.dayofmonth("date"), F.lit(29)).between(10 * n, 10 * n + 9)
+    )
+    state = streaks.day_streaks(part(0))
+    for n in (1, 2):
+        state = streaks.advance_streaks(state, part(n))
+    return _ntz(state, "last_action")
+
+
 def _home_city(spark, sf_dir):
     return residence.home_city(_Inputs(spark, sf_dir).streaks, HOME_DAYS)
 
@@ -273,6 +293,11 @@ def _shared_channel_pairs(spark, sf_dir):
     return pairs.shared_channel_pairs(at.kept_user_geo, at.events)
 
 
+def _shared_groups(spark, sf_dir):
+    at = _Inputs(spark, sf_dir)
+    return pairs.group_links(pairs.shared_groups(at.user_geo, at.events))
+
+
 def _contact_edges(spark, sf_dir):
     return pairs.contact_edges(_Inputs(spark, sf_dir).events)
 
@@ -311,6 +336,37 @@ def _sample_users(spark, sf_dir):
     return sample_users(at.user_geo, 0.4).select("user_id", "home_city", "act_city")
 
 
+def _estimated_activity(spark, sf_dir):
+    """Messages per city and day, estimated from the messages of a sample of the users."""
+    at = _Inputs(spark, sf_dir)
+    some = sample_users(at.message_city, 0.4, weight="weight")
+    return estimated_counts(some, ["city", "date"]).withColumns(
+        {c: F.round(c, 6) for c in ("estimate", "standard_error")}
+    )
+
+
+def _city_rejects(spark, sf_dir):
+    """Counts the lines of a city list that cannot be used, a line per event, by reason."""
+    prepare_session(spark)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = F.col("event_id") % 8
+    field = lambda bad, text, good: F.when(kind == bad, text).otherwise(good)
+    line = F.concat_ws(
+        ";",
+        field(0, F.concat(F.lit("no "), "event_id"), F.col("event_id").cast("string")),
+        field(1, F.lit(""), F.lit("Perth")),
+        field(2, F.lit("-31,9,5"), F.lit("-31,95")),
+        F.when(kind == 3, F.lit("115E86")).when(kind == 4, F.lit("NaN")).when(kind == 5, None)
+        .otherwise("115,86"),
+        F.when(kind == 6, F.lit("more")),
+    )
+    schema = f"id string, city string, lat string, lng string, {BROKEN_LINE} string"
+    parsed = F.from_csv(line, schema, {"sep": ";", "columnNameOfCorruptRecord": BROKEN_LINE})
+    judged = events.select(parsed.alias("line")).select("line.*")
+    rejects = city_rejects(judged.withColumn("reason", reject_reason()))
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 try:
     import corpus_pipeline
     from waymark.llm import registry as llm_registry
@@ -340,6 +396,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_window": _events_window,
         "daily_presence": _daily_presence,
         "day_streaks": _day_streaks,
+        "streaks_advanced": _streaks_advanced,
         "home_city": _home_city,
         "current_city": _current_city,
         "current_city_earliest": _current_city_earliest,
@@ -352,6 +409,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "activity_month": _activity_month,
         "zone_mart": _zone_mart,
         "shared_channel_pairs": _shared_channel_pairs,
+        "shared_groups": _shared_groups,
         "contact_edges": _contact_edges,
         "exclude_contacts": _exclude_contacts,
         "within_km": _within_km,
@@ -359,6 +417,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "near_pairs": _near_pairs,
         "friends_mart": _friends_mart,
         "sample_users": _sample_users,
+        "estimated_activity": _estimated_activity,
+        "city_rejects": _city_rejects,
         **_LLM_QUERIES,
     }
 

@@ -341,6 +341,7 @@ ORACLES: dict[str, str] = {
     ),
     "daily_presence": _with("SELECT * FROM presence", "presence"),
     "day_streaks": _with("SELECT * FROM streaks", "streaks"),
+    "streaks_advanced": _with("SELECT * FROM streaks", "streaks"),
     "home_city": _with("SELECT * FROM home", "home"),
     "current_city": _with(
         "SELECT user_id, act_city, latest AS last_action_time FROM current_place", "current_place"
@@ -375,6 +376,16 @@ ORACLES: dict[str, str] = {
         "month_counts",
     ),
     "shared_channel_pairs": _with("SELECT * FROM pairs", "pairs"),
+    "shared_groups": _with(
+        """SELECT channel, city, n AS members, n * (n - 1) // 2 AS links
+           FROM (SELECT g.channel, u.home_city AS city, count(DISTINCT u.user_id) AS n
+                 FROM users u JOIN geo g ON g.user_id = u.user_id AND g.event_type = 'subscription'
+                 WHERE g.channel IS NOT NULL AND u.home_city IS NOT NULL
+                 GROUP BY g.channel, u.home_city)
+           WHERE n > 1""",
+        "users",
+        "geo",
+    ),
     "contact_edges": _with("SELECT * FROM edges", "edges"),
     "exclude_contacts": _with("SELECT * FROM near_strangers", "near_strangers"),
     "within_km": _with(_near("wrote_pairs", "3.0"), "wrote_pairs", "spots"),
@@ -389,6 +400,24 @@ ORACLES: dict[str, str] = {
         "near_strangers",
         "city_dim",
     ),
+    "estimated_activity": _with(
+        """SELECT city, date, CAST(sum(n) AS BIGINT) AS sampled,
+                  round(sum(n * w), 6) AS estimate,
+                  round(sqrt(sum(CAST(n AS DOUBLE) * n * w * (w - 1))), 6) AS standard_error
+           FROM (SELECT city, date, user_id, count(*) AS n,
+                        4294967296 / floor(0.4 * 4294967296) AS w
+                 FROM matched
+                 WHERE CAST('0x' || substr(md5('20:' || user_id), 1, 8) AS BIGINT)
+                       < CAST(floor(0.4 * 4294967296) AS BIGINT)
+                 GROUP BY city, date, user_id)
+           GROUP BY city, date""",
+        "matched",
+    ),
+    "city_rejects": """
+        SELECT CASE event_id % 8 WHEN 0 THEN 'id' WHEN 1 THEN 'city' WHEN 2 THEN 'lat'
+                                 WHEN 4 THEN 'lon' WHEN 5 THEN 'fields' ELSE 'fields' END AS reason,
+               count(*) AS lines
+        FROM events WHERE event_id % 8 IN (0, 1, 2, 4, 5, 6) GROUP BY 1""",
     "sample_users": _with(
         """SELECT user_id, home_city, act_city FROM users
            WHERE CAST('0x' || substr(md5('20:' || user_id), 1, 8) AS BIGINT)

@@ -77,6 +77,17 @@ def test_jobs_end_to_end(spark, tmp_path):
     ])
     days = {r.date for r in read("window", schemas.MESSAGE_CITY).select("date").collect()}
     assert days == {dt.date(2024, 1, 9), dt.date(2024, 1, 10)}
+    # A day that loses all its messages is emptied, and history stays.
+    kept = "NOT (event_type = 'message' AND date = DATE '2024-01-10')"
+    read("events", schemas.GEO_EVENTS).where(kept).write.partitionBy("date", "event_type").parquet(
+        at("fewer")
+    )
+    message_city.main([
+        at("cities"), at("fewer"), at("messages"), "--end", "2024-01-10", "--depth", "2"
+    ])
+    assert rows(read("messages", schemas.MESSAGE_CITY)) == rows(
+        messages.where("date <> DATE '2024-01-10'")
+    )
     for window in ({"end": "2024-01-10", "depth": 0}, {"end": "2024-01-10"}, {"depth": 2}):
         with pytest.raises(ValueError):
             message_city.run(spark, at("cities"), at("events"), at("none"), **window)

@@ -3,19 +3,30 @@ import math
 import random
 
 import pytest
-from conftest import final_plan, rows
+from conftest import final_plan, planned, rows
 from pyspark.sql import functions as F
 
 from waymark import schemas
+from waymark.functions.distance import unit_sphere
 from waymark.operators.blocks import block_join
 from waymark.operators.pairs import (
     channel_members,
     contact_edges,
     direct_contacts,
     exclude_contacts,
+    expand_groups,
+    group_links,
     shared_channel_pairs,
+    shared_groups,
+)
+from waymark.operators.proximity import (
+    PARTS,
+    _near_by_points,
+    near_pairs,
+    point_boxes,
+    reach,
+    within_km,
 )
-from waymark.operators.proximity import near_pairs, within_km
 from waymark.plans.friends import friends_mart
 
 AS_OF = dt.datetime(2024, 1, 1, 20, 0)
@@ -52,6 +63,19 @@ def test_pairs_share_channel_and_home(homes, log):
     assert rows(shared_channel_pairs(users, events)) == [(2, 1, "A")]
 
 
+def test_groups_stand_for_all_their_pairs(homes, log):
+    users = homes(*[(n, "AB"[n % 2]) for n in range(1, 41)], (50, None), (51, "C"))
+    events = log(*[follow(n, n % 3) for n in range(1, 41)], *[follow(n, 9) for n in range(1, 41, 2)],
+                 follow(50, 9), follow(51, 9), follow(1, 9), follow(2, None))
+    groups = shared_groups(users, events)
+    assert len(rows(groups)) == 40 + 20  # a row per member, however many pairs
+    expected = {(a, b, "AB"[a % 2]) for a in range(1, 41) for b in range(1, a)
+                if a % 2 == b % 2 and (a % 3 == b % 3 or a % 2)}
+    assert set(rows(expand_groups(groups))) == expected
+    links = {(r.channel, r.city): (r.members, r.links) for r in group_links(groups).collect()}
+    assert links[(9, "B")] == (20, 190) and (9, "C") not in links
+
+
 def test_contacts_both_ways(log):
     events = log(
         {"user": 1, "to": 2}, {"user": 2, "to": 1}, {"user": 3, "to": 1}, {"user": 4, "to": 0},
@@ -158,6 +182,97 @@ def test_both_distance_joins_equal_brute_force(spark, points, metric, where):
     assert 0 < len(expected) < every.count()
 
 
+@pytest.mark.parametrize("metric", ["planar", "haversine"])
+@pytest.mark.parametrize("parts_of", ["channels", "few"])
+def test_keys_that_part_few_are_checked_afterwards(spark, points, metric, parts_of):
+    """The same pairs whether boxes meet under all keys or under the kept one alone."""
+    dice = random.Random(parts_of)
+    spots = [(dice.randrange(40), -33.8 + dice.uniform(-0.03, 0.03),
+              151.2 + dice.uniform(-0.03, 0.03)) for _ in range(200)]
+    n = 200 if parts_of == "channels" else 3
+    rows_ = [(u, "AB"[u % 2] if u % 9 else None, k) for u in range(40)
+             for k in [*dice.sample(range(n), 2), None]]
+    members = spark.createDataFrame(rows_, "user_id long, city string, k int")
+    shared = {(a, b, c) for a, c, k in rows_ for b, d, m in rows_
+              if a > b and c and c == d and k is not None and k == m}
+    near = brute_near(spots, metric, 1.0)
+    found = rows(near_pairs(points(*spots), members, ["city", "k"], 1.0, metric, ["city"]))
+    assert found == sorted((a, b, c) for a, b, c in shared if (a, b) in near)
+    assert found or n == 200
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_boxes_on_the_sphere_bound_every_pair_of_points(spark, points, seed):
+    """At the date line, the poles and elsewhere, for boxes from a metre to the whole globe."""
+    dice = random.Random(seed)
+    spots, expected = [], {}
+    for n in range(150):
+        at = dice.choice([(0, 180), (89.999, 0), (-90, 40), (-33.8, 151.2), (60, -179.999)])
+        wide = 10 ** dice.uniform(-5, 1.7)
+        for user in (2 * n, 2 * n + 1):
+            lat = [min(90.0, max(-90.0, at[0] + dice.uniform(-wide, wide))) for _ in range(4)]
+            lon = [(at[1] + dice.uniform(-wide, wide) + 180) % 360 - 180 for _ in range(4)]
+            spots += [(user, *p) for p in zip(lat, lon)]
+    located = points(*spots)
+    space = located.withColumns(dict(zip("xyz", unit_sphere(F.col("lat"), F.col("lon")))))
+    box = space.groupBy("user_id").agg(*[
+        of(a).alias(f"{a}_{end}") for a in ("lat", "lon", "x", "y", "z")
+        for end, of in (("lo", F.min), ("hi", F.max))
+    ])
+    side = lambda prefix, odd: box.where(F.col("user_id") % 2 == odd).select(
+        F.floor(F.col("user_id") / 2).alias("n"), *[F.col(c).alias(prefix + c) for c in box.columns]
+    )
+    own = {}
+    for user, lat, lon in spots:
+        own.setdefault(user, []).append((user, lat, lon))
+    for km in (0.001, 1.0, 700.0, 15_000.0):
+        possible, sure = reach(km, "haversine")
+        judged = side("l_", 0).join(side("r_", 1), "n").select(
+            "n", possible.alias("possible"), sure.alias("sure")).collect()
+        for r in judged:
+            met = [len(brute_near([p, q], "haversine", km)) for p in own[2 * r.n]
+                   for q in own[2 * r.n + 1]]
+            assert r.possible or not any(met)
+            assert not r.sure or all(met)
+
+
+def test_one_pair_with_very_many_points_is_spread(spark, points):
+    """Two people, 20,000 points each in one box of either: no task compares them all."""
+    side = 1.001 / 111
+    box = side / 8
+    spots = [(u, (0.1 + 0.8 * (n % 200) / 200) * box + (u - 1) * 6 * box,
+              (0.1 + 0.8 * (n // 200) / 100) * box) for u in (1, 2) for n in range(20_000)]
+    frame = points(*spots)
+    pair = spark.createDataFrame([(2, 1)], "user_left long, user_right long")
+    own = point_boxes(frame, 1.0, "planar", PARTS).collect()
+    assert len(own) == 2
+    still_open = spark.createDataFrame(
+        [(2, 1, *(r[c] for u in (2, 1) for r in own if r.user_id == u for c in ("cell", "part")))],
+        "user_left long, user_right long, l_cell long, l_part long, r_cell long, r_part long",
+    )
+    for km in (5.2 * box * 111, 5.21 * box * 111):
+        # Near enough or not, the blocks of either side meet under keys of their own.
+        found = _near_by_points(still_open, ["user_left", "user_right"], frame, 1.0, "planar", 512)
+        assert "r_block" in planned(found) and "l_block" in planned(found)
+        apart = 6 * box - 0.8 * box * 199 / 200
+        wanted = rows(pair) if apart * 111 <= km else []
+        assert rows(within_km(pair, frame, km)) == wanted
+    assert "NestedLoop" not in final_plan(found) and "Cartesian" not in final_plan(found)
+
+
+@pytest.mark.parametrize("block_rows", [3, 4096])
+def test_people_in_very_many_pairs(spark, points, block_rows):
+    """Everybody is paired with one person, on either side."""
+    dice = random.Random(block_rows)
+    spots = [(u, -33.8 + dice.uniform(-0.03, 0.03), 151.2 + dice.uniform(-0.03, 0.03))
+             for u in range(60) for _ in range(3)]
+    pairs = [(30, u) for u in range(30)] + [(u, 30) for u in range(31, 60)] + [(5, None)]
+    frame = spark.createDataFrame(pairs, "user_left long, user_right long")
+    near = brute_near(spots, "planar", 1.0)
+    found = rows(within_km(frame, points(*spots), block_rows=block_rows))
+    assert found == sorted(p for p in pairs if p in near) and found
+
+
 def test_one_kilometre_line(spark, points):
     degree = 1 / 111
     frame = points((1, 0.0, 0.0), (2, 0.99 * degree, 0.0), (3, 0.0, -1.01 * degree), (4, None, 0.0))
@@ -182,8 +297,6 @@ def test_boxes_alone_do_not_decide(spark, points):
 
 
 def test_a_user_with_most_points_counts_once_per_square(spark, points):
-    from waymark.operators.proximity import point_boxes
-
     busy = points(*[(1, 0.0001 + n * 1e-9, 0.0001) for n in range(5000)], (2, 0.0, 0.0))
     assert point_boxes(busy, 1.0, "planar").count() == 2
 

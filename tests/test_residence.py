@@ -1,13 +1,19 @@
 import datetime as dt
+import random
 
 import pytest
-from conftest import days, final_plan, rows
+from conftest import days, final_plan, planned, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from waymark.operators.residence import current_city, home_city, travel_history
-from waymark.operators.streaks import daily_presence, day_streaks
+from waymark.operators.streaks import (
+    advance_streaks,
+    daily_presence,
+    day_streaks,
+    merge_streaks,
+)
 from waymark.plans.user_geo import user_geo_mart
 
 JAN = dt.date(2024, 1, 1)
@@ -129,3 +135,35 @@ def test_messages_of_no_user_are_left_out_of_the_mart(stays, cities):
         (1, "Perth", dt.date(2024, 1, 1)), (None, "Perth", dt.date(2024, 1, 1))
     ), cities)
     assert rows(found, "user_id") == [(1,)]
+
+
+@pytest.mark.parametrize("max_gap_days", [1, 3])
+def test_streaks_advanced_day_by_day_equal_those_of_all_days(spark, max_gap_days):
+    dice = random.Random(max_gap_days)
+    first = dt.date(2024, 1, 1)
+    days = [
+        (user, city, first + dt.timedelta(days=day), dt.datetime(2024, 1, 1, 12) + dt.timedelta(days=day))
+        for user in range(8) for city in "AB" for day in range(24) if dice.random() < 0.6
+    ]
+    frame = lambda some: spark.createDataFrame(
+        some, "user_id long, city string, date date, datetime timestamp"
+    )
+    whole = rows(day_streaks(frame(days), max_gap_days=max_gap_days))
+    state = day_streaks(frame([]), max_gap_days=max_gap_days)
+    for a, b in ((0, 1), (1, 2), (2, 9), (9, 9), (9, 24)):
+        part = [d for d in days if a <= (d[2] - first).days < b]
+        found = rows(advance_streaks(state, frame(part), max_gap_days=max_gap_days))
+        state = spark.createDataFrame(found, state.schema)
+    assert rows(state) == whole
+    # Sets of days that interleave, in any order and number.
+    sets = [[d for d in days if (d[2] - first).days % 3 == n] for n in (2, 0, 1)]
+    runs = [day_streaks(frame(s), max_gap_days=max_gap_days) for s in sets]
+    assert rows(merge_streaks(*runs, max_gap_days=max_gap_days)) == whole
+
+
+def test_advancing_streaks_takes_one_exchange_by_user(spark):
+    state = spark.createDataFrame(
+        [], "user_id long, city string, first_date date, last_date date, last_action timestamp, days long"
+    )
+    plan = planned(merge_streaks(state, state))
+    assert plan.count("Exchange hashpartitioning(user_id") == 1

@@ -2,12 +2,13 @@ import datetime as dt
 
 import pytest
 from conftest import planned, rows
+from pyspark.sql import functions as F
 
 from waymark import schemas
 from waymark.operators.messages import normalize_messages
 from waymark.sources.cities import AREA_ZONES, CITIES, load_cities, with_timezone
 from waymark.sources.events import events_window, ingest_events, read_events
-from waymark.sources.tables import read_table, write_table
+from waymark.sources.tables import read_table, replace_window, write_table
 
 
 def test_city_csv_with_bare_carriage_returns(spark, tmp_path):
@@ -169,3 +170,44 @@ def test_city_list_goes_by_its_header(spark, tmp_path):
     path.write_text("id;city;lat\n1;Hobart;2\n")
     with pytest.raises(ValueError, match="lng"):
         load_cities(spark, str(path))
+
+
+def test_rejected_city_lines(spark, tmp_path):
+    text = "lat;id;city;lng;more\n" + "\n".join([
+        "-31,9;1;Perth;115,8;x", "abc;2;Perth;115,8;x", "-31,9;;Perth;115,8;x",
+        "-31,9;4; ;115,8;x", "-31,9;5;Perth;Infinity;x", "-31,9;6;Perth", "1;7;P;2;x;y",
+        "-33,0;8;Sydney;151;",
+    ]) + "\n"
+    (tmp_path / "cities.csv").write_text(text)
+    path, out = str(tmp_path / "cities.csv"), str(tmp_path / "rejects")
+    found = load_cities(spark, path, rejects=out)
+    assert rows(found, "id", "lat", "lon") == [(1, -31.9, 115.8), (8, -33.0, 151.0)]
+    rejects = rows(spark.read.parquet(out))
+    assert sorted(r for _, r in rejects) == ["city", "fields", "fields", "id", "lat", "lon"]
+    assert ("-31,9;6;Perth", "fields") in rejects and ("2;Perth;abc;115,8", "lat") in rejects
+    # Without a place for them they are left out all the same.
+    assert load_cities(spark, path).count() == 2
+
+
+def test_a_window_is_replaced_as_a_whole(spark, tmp_path):
+    path = str(tmp_path / "table")
+    frame = lambda *given: spark.createDataFrame(
+        [(n, dt.date(2024, 1, day)) for n, day in given], "n long, date date"
+    )
+    write_table(frame((1, 1), (2, 2), (3, 3), (4, 4)), path, ["date"])
+    read = lambda: rows(spark.read.parquet(path).select("n", F.dayofmonth("date")))
+    window = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    replace_window(frame((5, 3), (6, 3)), path, *window)
+    assert read() == [(1, 1), (4, 4), (5, 3), (6, 3)]
+    # From the table itself, and with nothing left.
+    held = spark.read.parquet(path).where("n <> 5").select(F.col("n") + 10, "date").toDF("n", "date")
+    replace_window(held.where("date = DATE '2024-01-03'"), path, *window)
+    assert read() == [(1, 1), (4, 4), (16, 3)]
+    replace_window(frame(), path, *window)
+    assert read() == [(1, 1), (4, 4)]
+    with pytest.raises(ValueError):
+        replace_window(frame((7, 1)), path, *window)
+    assert read() == [(1, 1), (4, 4)]
+    new = str(tmp_path / "new")
+    replace_window(frame((5, 3)), new, *window)
+    assert rows(spark.read.parquet(new).select("n")) == [(5,)]

@@ -34,6 +34,12 @@ def planar_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.sqrt(square(lat1 - lat2) + square(lon1 - lon2)) * KM_PER_DEGREE
 
 
+def unit_sphere(lat: Column, lon: Column) -> list[Column]:
+    """A point on the sphere of radius one, in space."""
+    lat, lon = F.radians(lat), F.radians(lon)
+    return [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
+
+
 METRICS = {"haversine": haversine_km, "planar": planar_km}
 
 

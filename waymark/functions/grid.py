@@ -59,6 +59,15 @@ class Grid:
         row = self.row(lat)
         return self._number(row, self.column(lon, row))
 
+    def part(self, lat: Column, lon: Column, parts: int) -> Column:
+        """Number of the part of its cell that holds a point, cut ``parts`` times each way."""
+        y = F.floor(lat * parts / self.height)
+        if self.planar:
+            return self._number(y, F.floor(lon * parts / self.height))
+        turned = F.pmod(lon + 180.0, F.lit(360.0))
+        count = self._columns_in_row(self.row(lat))
+        return self._number(y, F.floor(turned * count * parts / 360.0))
+
     def _moved(self, row: Column, column: Column, step: int) -> Column:
         if self.planar or step == 0:
             return column + step

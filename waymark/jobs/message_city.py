@@ -7,8 +7,8 @@ from pyspark.sql import SparkSession
 from waymark.jobs import open_session, parser
 from waymark.operators.nearest import message_city
 from waymark.schemas import CITY_DIM
-from waymark.sources.events import events_window, read_events
-from waymark.sources.tables import read_table, write_table
+from waymark.sources.events import events_window, read_events, window_days
+from waymark.sources.tables import read_table, replace_window, write_table
 
 
 def run(
@@ -20,8 +20,8 @@ def run(
     end: str | None = None,
     depth: int | None = None,
 ) -> None:
-    """The whole log, or the ``depth`` days that end at ``end``: of an earlier table the days
-    with messages in the window are then written anew and all others stay."""
+    """The whole log, or the ``depth`` days that end at ``end``: of an earlier table those days
+    are then replaced, whether or not they have messages, and all others stay."""
     log = read_events(spark, events)
     if (end is None) != (depth is None):
         raise ValueError("end and depth of a window go together")
@@ -30,7 +30,10 @@ def run(
         log = events_window(log, end, depth)
     places = read_table(spark, cities, CITY_DIM, "city_dim")
     matched = message_city(log, places, lenient)
-    write_table(matched, out, ["date"], only_partitions=windowed)
+    if windowed:
+        replace_window(matched, out, *window_days(end, depth))
+    else:
+        write_table(matched, out, ["date"])
 
 
 def main(argv: list[str] | None = None) -> None:

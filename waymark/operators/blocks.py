@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ def block_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
-    spread: Sequence[str],
+    spread: Sequence[str] | Mapping[str, Sequence[str]],
     condition: Column,
     block_rows: int = BLOCK_ROWS,
     ordered: bool = False,
@@ -32,7 +32,8 @@ def block_join(
     meets itself and those below it: half of the meetings of a hot key.
 
     ``left`` and ``right`` must be disjoint in column names but for ``keys``; the spread
-    columns are named with the prefix of their side, ``l_`` and ``r_``.
+    columns are named with the prefix of their side, ``l_`` and ``r_``, and are the same on
+    both sides if not given per prefix.
     """
     present = lambda left_rows, right_rows: [
         F.lit(left_rows).alias("_n_left"), F.lit(right_rows).alias("_n_right")
@@ -45,6 +46,7 @@ def block_join(
     )
     if ordered:
         return _ordered_blocks(left, right, keys, spread[0], condition, counted, block_rows)
+    by = spread if isinstance(spread, Mapping) else {"l_": spread, "r_": spread}
     blocks = lambda name: F.ceil(F.col(name) / block_rows).cast("int")
     # Keys over the limit on a side; at most one for every block_rows rows of input.
     hot = counted.where(
@@ -55,7 +57,7 @@ def block_join(
         with_counts = side.join(hot, list(keys), "left").withColumns(
             {n: F.coalesce(n, F.lit(1)) for n in ("_blocks_l", "_blocks_r")}
         )
-        mine = F.pmod(F.xxhash64(*[prefix + c for c in spread]), F.col(f"_blocks_{own}"))
+        mine = F.pmod(F.xxhash64(*[prefix + c for c in by[prefix]]), F.col(f"_blocks_{own}"))
         others = F.explode(F.sequence(F.lit(0), F.col(f"_blocks_{other}") - 1))
         return with_counts.withColumns(
             {f"_{own}": mine.cast("int"), f"_{other}": others}

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.distance import metric_function, square
+from waymark.functions.distance import metric_function, square, unit_sphere
 from waymark.operators.messages import normalize_messages
 from waymark.operators.place_tree import PlaceTree, box_distance, build_tree
 
@@ -33,8 +33,7 @@ def _axes(lat: Column, lon: Column, metric: str) -> list[Column]:
     """Coordinates in which the squared Euclidean distance orders like ``metric``."""
     if metric == "planar":
         return [lat, lon]
-    lat, lon = F.radians(lat), F.radians(lon)
-    return [F.cos(lat) * F.cos(lon), F.cos(lat) * F.sin(lon), F.sin(lat)]
+    return unit_sphere(lat, lon)
 
 
 def _spread(here: Sequence[Column], there: Sequence[Column]) -> Column:

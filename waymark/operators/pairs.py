@@ -27,16 +27,34 @@ def channel_members(user_geo: DataFrame, events: DataFrame) -> DataFrame:
     return homes.join(subscriptions(events), "user_id")
 
 
-def shared_channel_pairs(
-    user_geo: DataFrame, events: DataFrame, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """``user_left, user_right, city``: pairs with a channel and the home city in common.
+def shared_groups(user_geo: DataFrame, events: DataFrame) -> DataFrame:
+    """``channel, city, user_id, members``: who follows a channel in a city, with how many.
 
-    Each pair is given once, the larger id on the left. A channel followed by much of a large
-    city is matched in blocks spread over many tasks.
+    A group stands for all pairs of its members, ``members * (members - 1) / 2`` links, in as
+    many rows as it has members. The count is taken by partial sums and joined back, so no group
+    is gathered; groups of one link nobody and are left out.
     """
-    members = channel_members(user_geo, events)
-    side = lambda prefix: members.select(
+    followers = channel_members(user_geo, events).where(
+        F.col("channel").isNotNull() & F.col("city").isNotNull()
+    )
+    sizes = followers.groupBy("channel", "city").agg(F.count(F.lit(1)).alias("members"))
+    return followers.join(sizes.where(F.col("members") > 1), ["channel", "city"]).select(
+        "channel", "city", "user_id", "members"
+    )
+
+
+def group_links(groups: DataFrame) -> DataFrame:
+    """``channel, city, members, links`` of each group: its pairs, counted and not formed."""
+    n = F.col("members")
+    return groups.select("channel", "city", "members").distinct().withColumn(
+        "links", F.floor(n * (n - 1) / 2)
+    )
+
+
+def expand_groups(groups: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``user_left, user_right, city``: the pairs that groups stand for, each once, the larger
+    id on the left. A group with much of a large city is matched in blocks over many tasks."""
+    side = lambda prefix: groups.select(
         "channel", "city", F.col("user_id").alias(f"{prefix}user_id")
     )
     pairs = block_join(
@@ -53,6 +71,17 @@ def shared_channel_pairs(
     ).distinct()
 
 
+def shared_channel_pairs(
+    user_geo: DataFrame, events: DataFrame, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``user_left, user_right, city``: pairs with a channel and the home city in common.
+
+    Each pair is given once, the larger id on the left. These are the groups of followers,
+    expanded; what only needs to know who is linked can stay with the groups.
+    """
+    return expand_groups(shared_groups(user_geo, events), block_rows)
+
+
 def direct_contacts(events: DataFrame) -> DataFrame:
     """``user_left, user_right``: users with a direct message either way, each pair once,
     the larger id on the left. An addressee of 0 or NULL is no contact."""

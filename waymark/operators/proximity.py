@@ -1,167 +1,258 @@
 """Distance joins: pairs of users with any two of their points within a distance.
 
-Points are first summarised per user and small square as a bounding box, so that a user with
-any number of points in one spot counts once there. The least and greatest distance of two
-boxes settle most pairs: near if the greatest is within reach, far if the least is not.
-Boxes of a single point leave nothing open. The few pairs still open are settled by their
-exact points. Nothing is rounded, so the result equals that of comparing all points.
+Points are summarised at two levels, as a bounding box per user and grid cell and, where that
+is not enough, per user and part of a cell. The least and greatest distance of two boxes settle
+most pairs: near if the greatest is within reach, far if the least is not. Boxes of a single
+point leave nothing open. What is still open after the boxes of cells goes on to those of
+parts, and what these leave open is settled by exact points. Nothing is rounded, so the result
+equals that of comparing all points.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.distance import KM_PER_DEGREE, metric_function, square
+from waymark.functions.distance import (
+    EARTH_RADIUS_KM,
+    KM_PER_DEGREE,
+    metric_function,
+    square,
+    unit_sphere,
+)
 from waymark.functions.grid import Grid
 from waymark.operators.blocks import BLOCK_ROWS, block_join
+from waymark.sources.staging import staged
 
-# Boxes per grid cell and axis.
-BOXES_PER_CELL = 8
+# Parts of a grid cell along each axis.
+PARTS = 8
+# Points of one box that meet those of another in one go.
+BLOCK_POINTS = 1024
 
-_BOX = ("lat_lo", "lat_hi", "lon_lo", "lon_hi")
+# Cells laid on one another, about, when all boxes look ahead.
+_CELLS_AHEAD = 5
 
+_PLACE = ("lat", "lon")
+_SPHERE = ("x", "y", "z")
 
-def point_boxes(points: DataFrame, km: float, metric: str) -> DataFrame:
-    """``user_id, cell, lat_lo, lat_hi, lon_lo, lon_hi``.
 
-    Planar boxes cover an eighth of a grid cell each way. For the great-circle metric a box
-    is one distinct point, as the distances of two boxes on a sphere have no short form.
-    """
+def _axes(metric: str) -> tuple[str, ...]:
+    """Axes the bounds are taken along: degrees, and on the sphere space as well, where neither
+    the date line nor a pole is special."""
+    return _PLACE if metric == "planar" else _PLACE + _SPHERE
+
+
+def _located(points: DataFrame) -> DataFrame:
+    there = F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("user_id").isNotNull()
+    return points.where(there).select("user_id", "lat", "lon")
+
+
+def point_boxes(points: DataFrame, km: float, metric: str, parts: int = 1) -> DataFrame:
+    """``user_id, cell``, with ``parts`` over one also ``part``, and the least and greatest of
+    the user's points there along each axis, ``lat_lo, lat_hi, …``."""
     grid = Grid(km, metric)
     lat, lon = F.col("lat"), F.col("lon")
-    located = points.where(lat.isNotNull() & lon.isNotNull() & F.col("user_id").isNotNull())
-    if grid.planar:
-        side = grid.height / BOXES_PER_CELL
-        squares = located.groupBy(
-            "user_id",
-            grid.cell(lat, lon).alias("cell"),
-            F.floor(lat / side).alias("_y"),
-            F.floor(lon / side).alias("_x"),
-        )
-        return squares.agg(
-            F.min("lat").alias("lat_lo"),
-            F.max("lat").alias("lat_hi"),
-            F.min("lon").alias("lon_lo"),
-            F.max("lon").alias("lon_hi"),
-        ).drop("_y", "_x")
-    return located.select("user_id", "lat", "lon").distinct().select(
-        "user_id",
-        grid.cell(lat, lon).alias("cell"),
-        lat.alias("lat_lo"),
-        lat.alias("lat_hi"),
-        lon.alias("lon_lo"),
-        lon.alias("lon_hi"),
-    )
+    located = _located(points)
+    if metric != "planar":
+        located = located.withColumns(dict(zip(_SPHERE, unit_sphere(lat, lon))))
+    keys = [grid.cell(lat, lon).alias("cell")]
+    if parts > 1:
+        keys.append(grid.part(lat, lon, parts).alias("part"))
+    ends = [
+        of(axis).alias(f"{axis}_{end}")
+        for axis in _axes(metric) for end, of in (("lo", F.min), ("hi", F.max))
+    ]
+    return located.groupBy("user_id", *keys).agg(*ends)
 
 
-def _box_distances(metric: str) -> tuple[Column, Column]:
-    """Least and greatest distance in km between the boxes of columns ``l_*`` and ``r_*``."""
-    left = {name: F.col(f"l_{name}") for name in _BOX}
-    right = {name: F.col(f"r_{name}") for name in _BOX}
-    if metric != "planar":
-        exact = metric_function(metric)(
-            left["lat_lo"], left["lon_lo"], right["lat_lo"], right["lon_lo"]
-        )
-        return exact, exact
+def reach(km: float, metric: str) -> tuple[Column, Column]:
+    """Whether boxes of columns ``l_*`` and ``r_*`` can hold two points within the distance, and
+    whether any two of their points surely are."""
+    left = lambda name: F.col(f"l_{name}")
+    right = lambda name: F.col(f"r_{name}")
 
     def gap(axis: str) -> Column:
         return F.greatest(
             F.lit(0.0),
-            left[f"{axis}_lo"] - right[f"{axis}_hi"],
-            right[f"{axis}_lo"] - left[f"{axis}_hi"],
+            left(f"{axis}_lo") - right(f"{axis}_hi"),
+            right(f"{axis}_lo") - left(f"{axis}_hi"),
         )
 
     def extent(axis: str) -> Column:
         return F.greatest(
-            left[f"{axis}_hi"] - right[f"{axis}_lo"], right[f"{axis}_hi"] - left[f"{axis}_lo"]
+            left(f"{axis}_hi") - right(f"{axis}_lo"), right(f"{axis}_hi") - left(f"{axis}_lo")
         )
 
-    # The same steps as the planar distance, each of which keeps the order of its arguments,
-    # so the bounds hold to the last bit.
-    length = lambda of: F.sqrt(square(of("lat")) + square(of("lon"))) * KM_PER_DEGREE
-    return length(gap), length(extent)
+    if metric == "planar":
+        # The same steps as the planar distance, each of which keeps the order of its
+        # arguments, so the bounds hold to the last bit.
+        length = lambda of: F.sqrt(square(of("lat")) + square(of("lon"))) * KM_PER_DEGREE
+        return length(gap) <= km, length(extent) <= km
+    # Straight through the sphere two points are this far apart at the distance; the margin is
+    # wider than what rounding does to it or to the great-circle formula.
+    chord = 2 * math.sin(min(km / (2 * EARTH_RADIUS_KM), math.pi / 2))
+    margin = 1e-9 * chord + 1e-14
+    total = lambda of: square(of("x")) + square(of("y")) + square(of("z"))
+    single = F.lit(True)
+    for side in (left, right):
+        for axis in _PLACE:
+            single = single & (side(f"{axis}_lo") == side(f"{axis}_hi"))
+    exact = metric_function(metric)(
+        left("lat_lo"), left("lon_lo"), right("lat_lo"), right("lon_lo")
+    ) <= km
+    possible = total(gap) <= (chord + margin) ** 2
+    sure = (total(extent) <= max(chord - margin, 0.0) ** 2) & F.lit(chord > margin)
+    return F.when(single, exact).otherwise(possible), F.when(single, exact).otherwise(sure)
 
 
-def _side(boxes: DataFrame, prefix: str, cells: Column, name: str = "cell") -> DataFrame:
-    """Boxes with prefixed columns, under each of the given cells."""
-    prefixed = [F.col(c).alias(prefix + c) for c in boxes.columns if c != "cell"]
-    return boxes.select(*prefixed, cells.alias(name))
+def _side(boxes: DataFrame, prefix: str) -> DataFrame:
+    return boxes.select(*[F.col(c).alias(prefix + c) for c in boxes.columns])
 
 
-def _settle(met: DataFrame, points: DataFrame, km: float, metric: str) -> DataFrame:
-    """Near pairs out of box meetings, which end in ``near``: whether that one is sure."""
-    pair = met.columns[:-1]
-    # Spelled out, as the join below implies it for one branch only: with the same filter in
-    # both, they are the same plan up to here and share one exchange.
-    met = met.where(F.col("user_left").isNotNull() & F.col("user_right").isNotNull())
-    judged = met.groupBy(*pair).agg(F.max("near").alias("near"))
-    sure = judged.where("near").select(*pair)
-    if metric != "planar":
+def _settled(
+    met: DataFrame, pair: Sequence[str], points: DataFrame, km: float, metric: str
+) -> DataFrame:
+    """The near pairs out of meetings of boxes of cells (``pair``, ``l_cell``, ``r_cell``, and
+    ``near``: whether that one is sure)."""
+    met = staged(met, "meetings")
+    sure = met.where("near").select(*pair).distinct()
+    boxes = ["l_cell", "r_cell"]
+    still_open = met.where(~F.col("near")).select(*pair, *boxes).distinct().join(
+        sure, list(pair), "left_anti"
+    )
+    if still_open.isEmpty():
         return sure
-    still_open = judged.where(~F.col("near")).select(*pair)
-    return sure.unionByName(_near_by_points(still_open, points, km, metric))
+    fine = point_boxes(points, km, metric, PARTS)
+    possible, certain = reach(km, metric)
+    met = still_open.join(
+        _side(fine, "l_").withColumnRenamed("l_user_id", "user_left"), ["user_left", "l_cell"]
+    ).join(
+        _side(fine, "r_").withColumnRenamed("r_user_id", "user_right"), ["user_right", "r_cell"]
+    ).where(possible)
+    boxes += ["l_part", "r_part"]
+    met = staged(met.select(*pair, *boxes, certain.alias("near")), "meetings")
+    also = met.where("near").select(*pair).distinct()
+    still_open = met.where(~F.col("near")).select(*pair, *boxes).join(
+        also, list(pair), "left_anti"
+    )
+    found = sure.unionByName(also)
+    if still_open.isEmpty():
+        return found
+    return found.unionByName(_near_by_points(still_open, pair, points, km, metric))
+
 
+def _near_by_points(
+    still_open: DataFrame,
+    pair: Sequence[str],
+    points: DataFrame,
+    km: float,
+    metric: str,
+    block_points: int = BLOCK_POINTS,
+) -> DataFrame:
+    """The pairs with two points within the distance in the boxes still open.
 
-def _near_by_points(pairs: DataFrame, points: DataFrame, km: float, metric: str) -> DataFrame:
-    """The pairs with two points within the distance, by their exact points."""
+    How many points a box has is known before any meet, and a full box is dealt into blocks:
+    each block of one box meets each of the other under a key of its own.
+    """
     grid = Grid(km, metric)
     lat, lon = F.col("lat"), F.col("lon")
-    spots = points.where(lat.isNotNull() & lon.isNotNull()).select("user_id", "lat", "lon")
-    spots = spots.distinct()
-    left = spots.select(
-        F.col("user_id").alias("user_left"),
-        lat.alias("l_lat"),
-        lon.alias("l_lon"),
-        grid.cells_around(lat, lon).alias("cells"),
+    spots = _located(points).select(
+        "user_id", grid.cell(lat, lon).alias("cell"), grid.part(lat, lon, PARTS).alias("part"),
+        "lat", "lon",
     )
-    right = spots.select(
-        F.col("user_id").alias("user_right"),
-        lat.alias("r_lat"),
-        lon.alias("r_lon"),
-        grid.cell(lat, lon).alias("cell"),
+    box = ["user_id", "cell", "part"]
+    own = lambda side, user: still_open.select(
+        F.col(user).alias("user_id"), F.col(f"{side}_cell").alias("cell"),
+        F.col(f"{side}_part").alias("part"),
     )
+    wanted = own("l", "user_left").unionByName(own("r", "user_right")).distinct()
+    spots = spots.join(wanted, box, "left_semi").distinct()
+    blocks = F.ceil(F.count(F.lit(1)) / block_points).cast("int").alias("blocks")
+    per_box = spots.groupBy(*box).agg(blocks)
+    dealt = spots.join(per_box, box).select(
+        *box, F.pmod(F.xxhash64("lat", "lon"), "blocks").cast("int").alias("block"), "lat", "lon"
+    )
+    met = still_open
+    for side, user in (("l", "user_left"), ("r", "user_right")):
+        keys = {"user_id": user, "cell": f"{side}_cell", "part": f"{side}_part"}
+        counts = per_box.withColumnsRenamed(keys)
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        met = met.join(counts, list(keys.values())).withColumn(f"{side}_block", every).drop("blocks")
+    for side, user in (("l", "user_left"), ("r", "user_right")):
+        keys = {
+            "user_id": user, "cell": f"{side}_cell", "part": f"{side}_part",
+            "block": f"{side}_block",
+        }
+        named = dealt.withColumnsRenamed({**keys, "lat": f"{side}_lat", "lon": f"{side}_lon"})
+        met = met.join(named, list(keys.values()))
     apart = metric_function(metric)(
         F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")
     )
-    return (
-        pairs.join(left, "user_left")
-        .withColumn("cell", F.explode("cells"))
-        .drop("cells")
-        .join(right, ["user_right", "cell"])
-        .where(apart <= km)
-        .select(*pairs.columns)
-        .distinct()
-    )
+    return met.where(apart <= km).select(*pair).distinct()
 
 
 def within_km(
-    pairs: DataFrame, points: DataFrame, km: float = 1.0, metric: str = "planar"
+    pairs: DataFrame,
+    points: DataFrame,
+    km: float = 1.0,
+    metric: str = "planar",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The rows of ``pairs`` (``user_left, user_right, …``) with any two points within ``km``.
 
-    ``points`` has ``user_id, lat, lon``. Only cells of the pair's own users are compared.
+    ``points`` has ``user_id, lat, lon``. Only cells of the pair's own users are compared. A user
+    in very many pairs, or in very many cells, is dealt into blocks on either side.
     """
     grid = Grid(km, metric)
-    wanted = pairs.select("user_left", "user_right").distinct()
+    pair = ["user_left", "user_right"]
+    there = F.col("user_left").isNotNull() & F.col("user_right").isNotNull()
+    wanted = pairs.where(there).select(*pair).distinct()
     boxes = point_boxes(points, km, metric)
+    probes = block_join(
+        wanted.withColumnsRenamed({"user_left": "user_id", "user_right": "l_other"}),
+        _side(boxes, "r_").withColumnRenamed("r_user_id", "user_id"),
+        keys=["user_id"],
+        spread={"l_": ["other"], "r_": ["cell"]},
+        condition=F.lit(True),
+        block_rows=block_rows,
+    )
     # Around a box means around any of its corners, which lie in one cell.
-    around = grid.cells_around(F.col("lat_lo"), F.col("lon_lo"))
-    left = _side(boxes, "l_", around, "cells").withColumnRenamed("l_user_id", "user_left")
-    right = _side(boxes, "r_", F.col("cell")).withColumnRenamed("r_user_id", "user_right")
-    least, greatest = _box_distances(metric)
-    met = (
-        wanted.join(left, "user_left")
-        .withColumn("cell", F.explode("cells"))
-        .drop("cells")
-        .join(right, ["user_right", "cell"])
-        .where(least <= km)
-        .select("user_left", "user_right", (greatest <= km).alias("near"))
+    around = F.explode(grid.cells_around(F.col("r_lat_lo"), F.col("r_lon_lo")))
+    ends = [f"{axis}_{end}" for axis in _axes(metric) for end in ("lo", "hi")]
+    probes = probes.select(
+        F.col("user_id").alias("user_left"), F.col("l_other").alias("user_right"),
+        F.col("r_cell").alias("l_cell"), *[F.col(f"r_{e}").alias(f"l_{e}") for e in ends],
+        around.alias("cell"),
+    )
+    # Boxes of a user in many pairs are met by that many probes: a copy for each block of pairs.
+    n = F.count(F.lit(1))
+    busy = wanted.groupBy("user_right").agg(n.alias("_n")).where(F.col("_n") > block_rows).select(
+        "user_right", F.ceil(F.col("_n") / block_rows).cast("int").alias("_blocks")
     )
-    near = _settle(met, points, km, metric)
-    return pairs.join(near, ["user_left", "user_right"], "left_semi")
+    blocks = F.coalesce("_blocks", F.lit(1))
+    probes = probes.join(busy, "user_right", "left").withColumn(
+        "_block", F.pmod(F.xxhash64("user_left"), blocks).cast("int")
+    ).drop("_blocks")
+    there = _side(boxes, "r_").withColumnsRenamed({"r_user_id": "user_right", "r_cell": "cell"})
+    there = there.join(busy, "user_right", "left").withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), blocks - 1))
+    ).drop("_blocks")
+    possible, certain = reach(km, metric)
+    met = probes.join(there, ["user_right", "cell", "_block"]).where(possible).select(
+        *pair, "l_cell", F.col("cell").alias("r_cell"), certain.alias("near")
+    )
+    return pairs.join(_settled(met, pair, points, km, metric), pair, "left_semi")
+
+
+def _cell_counts(placed: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int, int]:
+    """Boxes per key and cell, what meetings they make about, and the most of them."""
+    counts = placed.groupBy(*keys, "cell").agg(F.count(F.lit(1)).alias("_n"))
+    n = F.col("_n").cast("double")
+    found = counts.agg(F.sum(n * n).alias("meetings"), F.max("_n").alias("most")).first()
+    return counts, found["meetings"] or 0.0, found["most"] or 0
 
 
 def near_pairs(
@@ -179,36 +270,73 @@ def near_pairs(
 
     The same pairs as forming all pairs that share the keys and then applying ``within_km``,
     but place is part of the join key from the start, so pairs that share the keys and are
-    far apart are never formed.
+    far apart are never formed. Boxes are counted before they meet. Where the other keys part
+    few of them, so that people meet more often under each key than in all, boxes meet under
+    ``keep`` and the cell alone, and near pairs are held to the other keys afterwards.
     """
+    boxes = point_boxes(points, km, metric)
+    others = [k for k in keys if k not in keep]
+    placed = boxes.join(members.select("user_id", *keys).distinct(), "user_id")
+    counts, meetings, most = _cell_counts(placed, keys)
+    met_keys = list(keys)
+    if others:
+        homes = members
+        for key in keys:
+            homes = homes.where(F.col(key).isNotNull())
+        wide = boxes.join(homes.select("user_id", *keep).distinct(), "user_id")
+        wide_counts, wide_meetings, wide_most = _cell_counts(wide, keep)
+        if wide_meetings < meetings:
+            placed, counts, most, met_keys = wide, wide_counts, wide_most, list(keep)
+    met = _meetings(placed, met_keys, km, metric, counts, most, block_rows)
+    pair = ["user_left", "user_right", *keep]
+    if len(met_keys) == len(keys):
+        return _settled(met.select(*pair, "l_cell", "r_cell", "near"), pair, points, km, metric)
+    near = _settled(met, pair, points, km, metric)
+    # Each key of the left person is looked up among those of the right one.
+    mine = members.select("user_id", *keys).distinct()
+    left = mine.withColumnRenamed("user_id", "user_left")
+    right = mine.withColumnRenamed("user_id", "user_right")
+    return (
+        near.join(left, ["user_left", *keep])
+        .join(right, ["user_right", *keys], "left_semi")
+        .select(*pair).distinct()
+    )
+
+
+def _meetings(
+    placed: DataFrame, keys: Sequence[str], km: float, metric: str, counts: DataFrame,
+    most: int, block_rows: int,
+) -> DataFrame:
+    """Boxes of different users that share the keys and can be within reach, once each."""
     grid = Grid(km, metric)
-    placed = point_boxes(points, km, metric).join(members, "user_id")
     ahead = grid.cells_around(F.col("lat_lo"), F.col("lon_lo"), forward=True)
-    own = [F.col(k) for k in keys]
-    bare = placed.drop(*keys)
     sides = {}
     for prefix, cells in (("l_", F.explode(ahead)), ("r_", F.col("cell"))):
         sides[prefix] = placed.select(
-            *own,
-            *[F.col(c).alias(prefix + c) for c in bare.columns if c != "cell"],
+            *keys,
+            *[F.col(c).alias(prefix + c) for c in placed.columns if c not in ("cell", *keys)],
             *([F.col("cell").alias("l_cell")] if prefix == "l_" else []),
             cells.alias("cell"),
         )
-    l_user, r_user = F.col("l_user_id"), F.col("r_user_id")
-    least, greatest = _box_distances(metric)
+    l_user, r_user, cell = F.col("l_user_id"), F.col("r_user_id"), F.col("cell")
+    possible, certain = reach(km, metric)
     # Two boxes of one cell meet both ways round, boxes of different cells once.
-    once = F.when(F.col("l_cell") == F.col("cell"), l_user > r_user).otherwise(l_user != r_user)
-    met = block_join(
-        sides["l_"],
-        sides["r_"],
-        keys=[*keys, "cell"],
-        spread=["user_id", "lat_lo", "lon_lo"],
-        condition=once & (least <= km),
-        block_rows=block_rows,
-    ).select(
+    once = F.when(F.col("l_cell") == cell, l_user > r_user).otherwise(l_user != r_user)
+    # With so few boxes to a cell no key is in need of blocks.
+    if most * _CELLS_AHEAD <= block_rows:
+        met = sides["l_"].join(sides["r_"], [*keys, "cell"]).where(once & possible)
+    else:
+        met = block_join(
+            sides["l_"], sides["r_"], keys=[*keys, "cell"],
+            spread=["user_id", "lat_lo", "lon_lo"], condition=once & possible,
+            block_rows=block_rows,
+        )
+    first = l_user > r_user
+    return met.select(
         F.greatest(l_user, r_user).alias("user_left"),
         F.least(l_user, r_user).alias("user_right"),
-        *keep,
-        (greatest <= km).alias("near"),
+        *keys,
+        F.when(first, F.col("l_cell")).otherwise(cell).alias("l_cell"),
+        F.when(first, cell).otherwise(F.col("l_cell")).alias("r_cell"),
+        certain.alias("near"),
     )
-    return _settle(met, points, km, metric)

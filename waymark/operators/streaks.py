@@ -46,3 +46,50 @@ def day_streaks(
         )
         .drop("_run")
     )
+
+
+def merge_streaks(
+    *runs: DataFrame, keys: Sequence[str] = ("user_id", "city"), max_gap_days: int = 1
+) -> DataFrame:
+    """Runs of several sets of days as the runs of all their days together.
+
+    Each set has the columns of ``day_streaks``, and no day of a key is in two of them. Runs
+    that meet, or reach into each other, become one; the order of the sets is no matter, and
+    merged runs can be merged again. Rows are partitioned as by ``day_streaks``.
+    """
+    whole = runs[0]
+    for more in runs[1:]:
+        whole = whole.unionByName(more)
+    in_order = Window.partitionBy(*keys).orderBy("first_date", "last_date")
+    so_far = F.max("last_date").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.when(F.datediff("first_date", so_far) > max_gap_days, 1).otherwise(0)
+    return (
+        whole.repartition(keys[0])
+        .withColumn("_starts", starts)
+        .withColumn(
+            "_run", F.sum("_starts").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+        )
+        .groupBy(*keys, "_run")
+        .agg(
+            F.min("first_date").alias("first_date"),
+            F.max("last_date").alias("last_date"),
+            F.max("last_action").alias("last_action"),
+            F.sum("days").alias("days"),
+        )
+        .drop("_run")
+    )
+
+
+def advance_streaks(
+    state: DataFrame,
+    presence: DataFrame,
+    keys: Sequence[str] = ("user_id", "city"),
+    max_gap_days: int = 1,
+) -> DataFrame:
+    """The runs of ``state`` carried on by the ``presence`` of days it does not know yet.
+
+    A daily rerun reads its new days and the runs so far, of which there are far fewer than
+    days, in place of the whole history.
+    """
+    new = day_streaks(presence, keys, max_gap_days)
+    return merge_streaks(state, new, keys=keys, max_gap_days=max_gap_days)

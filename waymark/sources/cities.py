@@ -82,24 +82,70 @@ def clean_cities(
     overrides: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """City rows as read from text: decimal commas to doubles, ``lng`` to ``lon``, plus zone."""
-    number = lambda name: F.replace(F.col(name), F.lit(","), F.lit(".")).cast("double")
+    number = lambda name: F.replace(F.col(name), F.lit(","), F.lit(".")).try_cast("double")
     numeric = raw.select("id", "city", number("lat").alias("lat"), number("lng").alias("lon"))
     return check_schema(with_timezone(numeric, default, overrides), CITY_DIM, "city_dim")
 
 
+# What the parser puts a whole line into that has too many or too few fields.
+BROKEN_LINE = "_line"
+
+
+def reject_reason() -> Column:
+    """Why a line of the city list, its fields read as text, cannot be used: ``fields`` (too
+    many or too few), or the first of ``id``, ``city``, ``lat``, ``lon`` that is empty or not a
+    number; NULL for a sound line."""
+    number = lambda name: F.replace(F.col(name), F.lit(","), F.lit(".")).try_cast("double")
+    finite = lambda value: value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    return (
+        F.when(F.col(BROKEN_LINE).isNotNull(), "fields")
+        .when(F.col("id").try_cast("int").isNull(), "id")
+        .when(F.coalesce(F.trim("city"), F.lit("")) == "", "city")
+        .when(~finite(number("lat")), "lat")
+        .when(~finite(number("lng")), "lon")
+    )
+
+
+def judged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The fields of the city list as text, the line where these are too many or too few, and
+    ``reason``. The header names the columns, which may come in any order and among others."""
+    names = spark.read.csv(path, sep=";", header=True).columns
+    missing = [f.name for f in CITY_CSV if f.name not in names]
+    if missing:
+        raise ValueError(f"city list lacks columns {', '.join(missing)}")
+    schema = ", ".join(f"`{name}` string" for name in (*names, BROKEN_LINE))
+    # All columns are parsed, whichever are asked for: else fields too many go unnoticed.
+    reader = spark.read.option("columnPruning", False)
+    lines = reader.csv(
+        path, schema=schema, sep=";", header=True, columnNameOfCorruptRecord=BROKEN_LINE
+    )
+    return lines.withColumn("reason", reject_reason())
+
+
+def city_rejects(judged: DataFrame) -> DataFrame:
+    """``line, reason`` of the lines that cannot be used, with the fields put together again
+    where the line was not kept."""
+    fields = F.concat_ws(";", *[F.coalesce(f.name, F.lit("")) for f in CITY_CSV])
+    return judged.where(F.col("reason").isNotNull()).select(
+        F.coalesce(BROKEN_LINE, fields).alias("line"), "reason"
+    )
+
+
 def load_cities(
     spark: SparkSession,
     path: str,
     default: str = DEFAULT_ZONE,
     overrides: Mapping[str, str] | None = None,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Read the city list: ``;`` between fields, decimal commas, any line end. The header
-    names the columns, which may come in any order and among others."""
-    named = spark.read.csv(path, sep=";", header=True)
-    missing = [f.name for f in CITY_CSV if f.name not in named.columns]
-    if missing:
-        raise ValueError(f"city list lacks columns {', '.join(missing)}")
-    raw = named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CITY_CSV])
+    names the columns, which may come in any order and among others. Lines that cannot be used
+    are left out, and written to ``rejects`` with the reason if that is given."""
+    judged = judged_lines(spark, path)
+    if rejects:
+        city_rejects(judged).write.mode("overwrite").parquet(rejects)
+    sound = judged.where(F.col("reason").isNull())
+    raw = sound.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in CITY_CSV])
     return clean_cities(raw, default, overrides)
 
 

@@ -31,8 +31,13 @@ def events_window(events: DataFrame, end: dt.date | str, depth: int) -> DataFram
 
     On the ingested layout the bounds reach the scan as partition filters.
     """
+    first, last = window_days(end, depth)
+    return events.where(F.col("date").between(F.lit(first), F.lit(last)))
+
+
+def window_days(end: dt.date | str, depth: int) -> tuple[dt.date, dt.date]:
+    """First and last of the ``depth`` days that end at ``end``."""
     if depth < 1:
         raise ValueError("depth must be at least one day")
     last = dt.date.fromisoformat(end) if isinstance(end, str) else end
-    first = last - dt.timedelta(days=depth - 1)
-    return events.where(F.col("date").between(F.lit(first), F.lit(last)))
+    return last - dt.timedelta(days=depth - 1), last

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.schemas import check_schema
+from waymark.sources.staging import staged
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
@@ -53,3 +55,32 @@ def write_table(
     if only_partitions:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+
+
+def replace_window(
+    df: DataFrame, path: str, first: dt.date, last: dt.date, column: str = "date"
+) -> None:
+    """Put ``df`` in the place of all that a table stored by ``column`` has of a date window.
+
+    Days ``df`` has rows for are overwritten, days of the window without any are emptied, and
+    all others stay. The rows are staged before the table is touched, so that a failure while
+    they are made leaves it as it was, and they may come from the table itself. Rows outside
+    the window are an error.
+    """
+    spark = df.sparkSession
+    rows = staged(df, "window")
+    # No more days than the window has.
+    outside = ~F.col(column).between(F.lit(first), F.lit(last)) | F.col(column).isNull()
+    if not rows.where(outside).isEmpty():
+        raise ValueError(f"rows outside the window from {first} to {last}")
+    days = {r[0] for r in rows.select(column).distinct().collect()}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if days or not files.exists(folder):
+        write_table(rows, path, [column], only_partitions=True)
+    day = first
+    while day <= last:
+        stale = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day.isoformat()}")
+        if day not in days and files.exists(stale):
+            files.delete(stale, True)
+        day += dt.timedelta(days=1)
