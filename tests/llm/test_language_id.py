@@ -3,11 +3,14 @@ import zlib
 import plain
 import pytest
 
+from pyspark.sql import functions as F
+
 from waymark.llm import language_id
 from waymark.llm.language_id import (
     CrossParser,
     identify_languages,
     learn_references,
+    reference_table,
     letters_only,
     suffix_automaton,
 )
@@ -131,6 +134,19 @@ def test_more_languages_than_a_block_holds(spark, monkeypatch):
     assert found() == blocks
 
 
+def test_references_stay_in_a_table(spark, monkeypatch):
+    """Any number of labels: a block at a time comes to the driver."""
+    monkeypatch.setattr(language_id, "BLOCK_LANGUAGES", 8)
+    rows = [(n, f"word {chr(0x4E00 + n) * 3}", f"l{n:02}", None, None) for n in range(30)]
+    docs = plain.documents(spark, rows)
+    table = reference_table(docs)
+    assert [r.number for r in table.orderBy("lang").collect()] == list(range(30))
+    found = identify_languages(docs.withColumn("leader", F.lit(1)), table)
+    assert {r.doc_id: (r.lang_pred, r.leader) for r in found.collect()} == {
+        r[0]: (r[2], 1) for r in rows}
+    assert {r.lang_pred for r in identify_languages(docs, table.limit(0)).collect()} == {"und"}
+
+
 def test_many_languages_are_all_learnt(spark):
     rows = [(n, f"word {chr(0x4E00 + n) * 3}", f"l{n:02}", None, None) for n in range(70)]
     docs = plain.documents(spark, rows)

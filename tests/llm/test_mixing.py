@@ -4,12 +4,17 @@ import numpy as np
 import plain
 import pytest
 
+from pyspark.sql import functions as F
+
+from waymark.llm import mixing
 from waymark.llm.mixing import (
     draw_counts,
     mix_sources,
     mixed_documents,
     mixing_targets,
     permuted,
+    source_draws,
+    source_targets,
 )
 
 
@@ -100,3 +105,62 @@ def test_mixed_documents_hold_the_words_taken(spark):
         assert r.n_chars == len(r.text) and r.k1 == "x"
     assert out == Counter({k: n for k, n in taken.items() if n})
     assert mixed_documents(plain.empty(spark)).count() == 0
+
+
+def test_any_number_of_sources(spark, monkeypatch):
+    """100,000 sources of one document each, and one that holds a third of all words."""
+    docs = spark.range(100_000).select(
+        F.col("id").alias("doc_id"), F.lit("a few words here").alias("text"),
+        F.concat(F.lit("host "), "id").alias("source"),
+    ).unionByName(spark.range(1_000).select(
+        (F.col("id") + 200_000).alias("doc_id"), F.repeat(F.lit("word "), 200).alias("text"),
+        F.lit("large").alias("source"),
+    ))
+    mix = mix_sources(docs, block_words=4)
+    sums = mix.taken().groupBy((F.col("source") == "large").alias("large")).agg(
+        F.sum("taken").alias("taken"), F.sum("size").alias("size"),
+        F.max(F.col("taken") - 2 * F.col("size")).alias("over"), F.count("*").alias("n"),
+    ).collect()
+    assert {r.large: r.n for r in sums} == {True: 1_000, False: 100_000}
+    assert all(r.over <= 0 for r in sums)
+    # Blocks are whole, so what rounding adds to a small source's target may show in the sum.
+    assert abs(sum(r.taken for r in sums) / sum(r.size for r in sums) - 1.5) < 0.15
+    target = mix.documents.select("source", "target").distinct().agg(F.sum("target")).first()[0]
+    assert target == pytest.approx(1.5 * sum(r.size for r in sums))
+
+
+@pytest.mark.parametrize("sizes", [
+    [100, 100, 100], [1000, 10, 10, 7, 3000], [0, 50, 0], [5], [], [0, 0], [1, 10, 100, 1000] * 5,
+])
+def test_targets_in_rounds_equal_those_on_the_driver(spark, sizes):
+    rows = [(f"s{n:03}", s) for n, s in enumerate(sizes)][::-1]
+    if len(rows) > 3:
+        rows[0] = (None, rows[0][1])
+    frame = spark.createDataFrame(rows, "source string, size long")
+    found = source_targets(frame, [3, 1, 2], 1.5, 2.0).orderBy("rank").collect()
+    assert [r["rank"] for r in found] == list(range(len(sizes)))
+    assert [r.source_size for r in found] == sizes
+    weights = [[3, 1, 2][n % 3] for n in range(len(sizes))]
+    assert [r.target for r in found] == pytest.approx(mixing_targets(sizes, weights, 1.5, 2.0))
+
+
+def test_draws_of_groups_give_each_shard_its_even_part(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "GROUP_SOURCES", 3)
+    totals = [100, 0, 37, 5, 900, 1, 1, 64, 64, 64]
+    frame = spark.createDataFrame(
+        [(n, 2 * t, t) for n, t in enumerate(totals)], "rank long, blocks long, total long"
+    )
+    drawn, total = source_draws(frame, 7, 1)
+    rows = drawn.collect()
+    assert total == sum(totals)
+    per_shard, per_rank = Counter(), defaultdict(list)
+    for r in rows:
+        per_shard[r.shard] += r["count"]
+        per_rank[r["rank"]].append((r.begin, r["count"]))
+    assert max(per_shard.values()) - min(per_shard.values()) <= 1
+    for rank, runs in per_rank.items():
+        at = 0
+        for begin, count in sorted(runs):
+            assert begin == at
+            at += count
+        assert at == totals[rank]

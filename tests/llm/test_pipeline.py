@@ -105,3 +105,23 @@ def test_token_output_holds_all_that_is_left(stages):
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_columns_of_any_name_stay_as_they_are(spark, tmp_path):
+    """Names the operators use, dots and quotes, and a language that is called undetermined."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({
+        "score": F.lit(7), "lang_pred": F.lit("mine"), "determined": F.lit(False),
+        "a.b": F.lit(1.5), "it`s": F.array(F.lit("x")), "row": F.lit(None).cast("string"),
+        "nth": F.col("doc_id"), "k1": F.lit("k"), "leader": F.struct(F.lit(1).alias("language")),
+        "given_0": F.lit(3), "pieces": F.lit("p"),
+    }).withColumn("lang", F.when(F.col("lang") == "en", "und").otherwise(F.col("lang")))
+    letters = {r for r in texts(docs) if any(map(str.isalpha, r[1] or ""))}
+    given = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.dtypes == given.dtypes
+        own = {(r.score, r.lang_pred, r["a.b"], r["it`s"][0], r.nth == r.doc_id) for r in docs.collect()}
+        assert own == {(7, "mine", 1.5, "x", True)}
+        if name == "language_id":
+            assert set(texts(docs)) == letters

@@ -9,7 +9,6 @@ of the document relative to the language; the least wins.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from waymark.llm.shared import text_sample
+from waymark.llm.shared import quoted, running_start, stored, text_sample
 
 UNDETERMINED = "und"
 # The sample a language is learnt from: so many bytes of reference, out of pieces of so many
@@ -203,13 +202,14 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def learn_references(
+def reference_table(
     labelled: DataFrame,
     reference_bytes: int = REFERENCE_BYTES,
     sample_documents: int = SAMPLE_DOCUMENTS,
     sample_chars: int = SAMPLE_CHARS,
-) -> dict[str, bytes]:
-    """A reference text per language of ``labelled`` (``text, lang``), out of a bounded sample.
+) -> DataFrame:
+    """``lang, text, number``: a reference text per language of ``labelled`` (``text, lang``), out
+    of a bounded sample, the languages numbered from 0 by code point; stored.
 
     Every labelled text gives a piece, from its first letter on and of at most ``sample_chars``
     characters. Of a language's distinct pieces, those first by hash are joined until the
@@ -224,7 +224,21 @@ def learn_references(
     joined = F.array_join(F.sort_array(F.collect_list(F.struct("mark", "text")))["text"], " ")
     # A character has a byte at least, so the reference lies within so many of them.
     languages = sample.groupBy("lang").agg(F.substring(joined, 1, reference_bytes).alias("text"))
-    return {r["lang"]: letters_only(r["text"])[:reference_bytes] for r in languages.collect()}
+    numbered = running_start(
+        languages.withColumns({"one": F.lit(1), "most": F.lit(reference_bytes)}), [], ["lang"],
+        "one", "number",
+    )
+    return stored(numbered.select("lang", "text", "number", "most"), "references")
+
+
+def _references(rows: DataFrame) -> dict[str, bytes]:
+    return {r["lang"]: letters_only(r["text"])[: r["most"]] for r in rows.collect()}
+
+
+def learn_references(labelled: DataFrame, **settings) -> dict[str, bytes]:
+    """The references of ``reference_table`` on the driver, for a number of languages known to
+    be small."""
+    return _references(reference_table(labelled, **settings))
 
 
 _PARSERS: dict[int, CrossParser] = {}
@@ -239,63 +253,89 @@ def _parser(references: dict[str, bytes]) -> CrossParser:
     return _PARSERS[key]
 
 
-def identify_languages(documents: DataFrame, references: dict[str, bytes]) -> DataFrame:
-    """All columns of ``documents`` with ``lang_pred`` and ``score`` added, from its text alone.
-
-    Every whole text is parsed against every language. With more than ``BLOCK_LANGUAGES`` a
-    task keeps its rows in a temporary file and goes through them once per block of languages,
-    with the tables of one block in memory. Null texts and those without a letter are ``und`` with score
-    0, as is everything if no language was learnt; equal costs go to the first language by
-    code point. Columns named like the two are replaced.
-    """
-    columns = [c for c in documents.columns if c not in ("lang_pred", "score")]
+def judge_languages(
+    documents: DataFrame, references: DataFrame | dict[str, bytes]
+) -> DataFrame:
+    """``identify_languages`` with one more column ``determined``: false for null texts and those
+    without a letter, and for all if no language was learnt, whatever languages are called."""
+    added = ("lang_pred", "score", "determined")
+    columns = [c for c in documents.columns if c not in added]
     at = columns.index("text")
-    languages = sorted(references)
-    blocks = [
-        {l: references[l] for l in languages[n : n + BLOCK_LANGUAGES]}
-        for n in range(0, len(languages), BLOCK_LANGUAGES)
-    ]
-
-    def with_found(batch: pa.RecordBatch, leaders: Leaders) -> pa.RecordBatch:
-        found = scored(leaders)
-        return pa.RecordBatch.from_arrays(
-            [
-                *batch.columns,
-                pa.array([f[0] for f in found], pa.string()),
-                pa.array([f[1] for f in found], pa.float64()),
-            ],
-            [*columns, "lang_pred", "score"],
+    if isinstance(references, dict):
+        languages = sorted(references)
+        n_languages = len(languages)
+        blocks = (
+            {l: references[l] for l in languages[n : n + BLOCK_LANGUAGES]}
+            for n in range(0, n_languages, BLOCK_LANGUAGES)
         )
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = _parser(blocks[0] if blocks else {})
-        for batch in batches:
-            yield with_found(batch, parser.leaders(batch.column(at).to_pylist()))
-
-    def parse_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaders: list[Leaders] = []
-        with tempfile.TemporaryFile() as file:
-            writer = None
-            parser = _parser(blocks[0])
-            for batch in batches:
-                writer = writer or pa.ipc.new_stream(file, batch.schema)
-                writer.write_batch(batch)
-                leaders.append(parser.leaders(batch.column(at).to_pylist()))
-            if writer is None:
-                return
-            writer.close()
-            for block in blocks[1:]:
-                del parser
-                parser = _parser(block)
-                file.seek(0)
-                for n, batch in enumerate(pa.ipc.open_stream(file)):
-                    texts = batch.column(at).to_pylist()
-                    leaders[n] = merged(leaders[n], parser.leaders(texts))
-            file.seek(0)
-            for batch, found in zip(pa.ipc.open_stream(file), leaders):
-                yield with_found(batch, found)
-
-    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return documents.select(*columns).mapInArrow(
-        parse if len(blocks) < 2 else parse_blocks, f"{schema}, lang_pred string, score double"
+    else:
+        n_languages = references.count()
+        # Bounded by the size of a block.
+        blocks = (
+            _references(references.where(F.col("number").between(n, n + BLOCK_LANGUAGES - 1)))
+            for n in range(0, n_languages, BLOCK_LANGUAGES)
+        )
+    rows = documents.select(*quoted(columns))
+    given = ", ".join(
+        f"`{c.replace('`', '``')}` {documents.schema[c].dataType.simpleString()}" for c in columns
     )
+    leader = "leader"
+    while leader in columns:
+        leader += "_"
+    n_blocks = max(1, -(-n_languages // BLOCK_LANGUAGES))
+    for n, block in enumerate(blocks if n_languages else [{}]):
+        last = n + 1 == n_blocks
+
+        def parse(
+            batches: Iterator[pa.RecordBatch], block=block, n=n, last=last
+        ) -> Iterator[pa.RecordBatch]:
+            parser = _parser(block)
+            for batch in batches:
+                found = parser.leaders(batch.column(at).to_pylist())
+                kept = batch.columns[: len(columns)]
+                if n:
+                    before = [
+                        l and (l["language"], l["least"], l["second"])
+                        for l in batch.column(len(columns)).to_pylist()
+                    ]
+                    found = merged(before, found)
+                if last:
+                    named = scored(found)
+                    more = [
+                        pa.array([f[0] for f in named], pa.string()),
+                        pa.array([f[1] for f in named], pa.float64()),
+                        pa.array([f is not None for f in found], pa.bool_()),
+                    ]
+                    yield pa.RecordBatch.from_arrays([*kept, *more], [*columns, *added])
+                else:
+                    made = [f and dict(zip(("language", "least", "second"), f)) for f in found]
+                    yield pa.RecordBatch.from_arrays(
+                        [*kept, pa.array(made, _LEADER)], [*columns, leader]
+                    )
+
+        if last:
+            return rows.mapInArrow(
+                parse, f"{given}, lang_pred string, score double, determined boolean"
+            )
+        rows = stored(rows.mapInArrow(
+            parse, f"{given}, `{leader}` struct<language:string,least:double,second:double>"
+        ), "leaders")
+
+
+_LEADER = pa.struct([
+    ("language", pa.string()), ("least", pa.float64()), ("second", pa.float64())
+])
+
+
+def identify_languages(
+    documents: DataFrame, references: DataFrame | dict[str, bytes]
+) -> DataFrame:
+    """All columns of ``documents`` with ``lang_pred`` and ``score`` added, from its text alone.
+
+    Every whole text is parsed against every language (``reference_table``, or a dictionary of
+    few). With more than ``BLOCK_LANGUAGES`` the rows pass once per block of languages, with the
+    leader so far beside them. Null texts and those without a letter are ``und`` with score 0,
+    as is everything if no language was learnt; equal costs go to the first language by code
+    point. Columns named like those added are replaced.
+    """
+    return judge_languages(documents, references).drop("determined")

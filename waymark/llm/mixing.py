@@ -15,7 +15,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import SPACES, row_keys, running_start, stored, words_of
+from waymark.llm.shared import (
+    SPACES,
+    quoted,
+    row_keys,
+    running_start,
+    small,
+    stored,
+    words_of,
+)
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -23,8 +31,11 @@ REPEATS = 2.0
 BLOCK_WORDS = 64
 SHARDS = 64
 SEED = 20240501
-# Sources are the rows of a mixing table and fit the driver; more than this is an error.
-MAX_SOURCES = 10_000
+# Sources whose counts one task draws; with very many sources it is as many as there are such
+# groups, so that neither a task nor the driver holds them all.
+GROUP_SOURCES = 1_024
+# Slots a task expands.
+TASK_SLOTS = 100_000
 # Slots a row is expanded to at once.
 _STEP = 4_096
 
@@ -51,18 +62,20 @@ def mixing_targets(
     return targets
 
 
-def draw_counts(totals: np.ndarray, shards: int, seed: int) -> np.ndarray:
+def draw_counts(
+    totals: np.ndarray, shards: int, seed: int | Sequence[int], dues: Sequence[int] | None = None
+) -> np.ndarray:
     """Blocks per shard and source (shards × sources).
 
-    Each shard has its even part of all blocks and draws them from a multinomial distribution
-    over the blocks not yet dealt. What a source no longer has is drawn again from the others,
-    so all blocks are dealt in the end.
+    Each shard has its even part of all blocks, or as many as ``dues`` says, and draws them
+    from a multinomial distribution over the blocks not yet dealt. What a source no longer has
+    is drawn again from the others, so all blocks are dealt in the end.
     """
     rng = np.random.default_rng(seed)
     left = totals.astype(np.int64).copy()
     counts = np.zeros((shards, len(left)), np.int64)
     for shard in range(shards):
-        due = int(left.sum()) // (shards - shard)
+        due = int(left.sum()) // (shards - shard) if dues is None else int(dues[shard])
         while due:
             drawn = np.minimum(rng.multinomial(due, left / left.sum()), left)
             counts[shard] += drawn
@@ -110,6 +123,81 @@ def source_sizes(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "source", words.alias("size"), *row_keys())
 
 
+def source_targets(
+    per_source: DataFrame, weights: Sequence[float], share: float, repeats: float
+) -> DataFrame:
+    """``source, source_size, rank, target`` of ``source, size``; the same targets as
+    ``mixing_targets`` for any number of sources.
+
+    In each round Spark adds up what the sources that cannot give their part do give, and which
+    weights are left; the part per weight follows from these sums, which are whole numbers, and
+    only grows until no source is added.
+    """
+    last = F.col("source").isNull()
+    ranked = running_start(
+        per_source.withColumns({"_last": last, "_one": F.lit(1)}), [], ["_last", "source"],
+        "_one", "rank",
+    ).select("source", F.col("size").alias("source_size"), F.col("rank").cast("long"))
+    ranked = stored(ranked, "sources")
+    nth = (F.col("rank") % len(weights)).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), nth + 1)
+    cannot = lambda part: weight * part > repeats * F.col("source_size")
+    whole = ranked.agg(F.sum("source_size")).first()[0] or 0
+    part, short = 0.0, -1
+    while True:
+        above = cannot(F.lit(part))
+        sums = ranked.agg(
+            F.count_if(above).alias("short"),
+            F.sum(F.when(above, F.col("source_size")).otherwise(0)).alias("given"),
+            *[F.count_if(~above & (nth == n)).alias(f"left_{n}") for n in range(len(weights))],
+        ).first()
+        left = sum(w * sums[f"left_{n}"] for n, w in enumerate(weights))
+        if sums["short"] == short or not left:
+            break
+        short = sums["short"]
+        part = (share * whole - repeats * (sums["given"] or 0)) / left
+    target = F.when(cannot(F.lit(part)), repeats * F.col("source_size")).otherwise(weight * part)
+    return ranked.withColumn("target", target)
+
+
+def source_draws(sources: DataFrame, shards: int, seed: int) -> tuple[DataFrame, int]:
+    """``shard, rank, begin, count, blocks``: which of a source's ``total`` blocks each shard
+    gets, and how many there are in all.
+
+    Groups of sources are drawn first, as if each were one source, and what a shard draws of a
+    group is then drawn from its sources, group by group in tasks.
+    """
+    found = sources.agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("total")).first()
+    of_group = max(GROUP_SOURCES, int(found["n"] ** 0.5))
+    grouped = sources.select(
+        F.floor(F.col("rank") / of_group).alias("group"), "rank", "blocks", "total"
+    )
+    totals = grouped.groupBy("group").agg(F.sum("total").alias("total")).orderBy("group").collect()
+    counts = draw_counts(np.array([r["total"] for r in totals], np.int64), shards, seed)
+    dues = sources.sparkSession.createDataFrame(
+        [(r["group"], counts[:, n].tolist()) for n, r in enumerate(totals)],
+        "group long, dues array<long>",
+    )
+
+    def draw(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("rank")
+        group = int(own["group"].iloc[0])
+        drawn = draw_counts(own["total"].to_numpy(), shards, [seed, group], own["dues"].iloc[0])
+        begins = np.cumsum(drawn, axis=0) - drawn
+        shard, at = np.nonzero(drawn)
+        return pd.DataFrame({
+            "shard": shard.astype(np.int32), "rank": own["rank"].to_numpy()[at],
+            "begin": begins[shard, at], "count": drawn[shard, at],
+            "blocks": own["blocks"].to_numpy()[at],
+        })
+
+    # At most so many sources come together in a group.
+    drawn = grouped.join(dues, "group").groupBy("group").applyInPandas(
+        draw, "shard int, rank long, begin long, count long, blocks long"
+    )
+    return stored(drawn, "draws"), found["total"] or 0
+
+
 class Mix:
     """The result of a mixing: what it was given and what it takes.
 
@@ -147,35 +235,24 @@ def mix_sources(
     gone through ``c`` times in part gives every block ``c`` or ``c - 1`` times. Null texts
     and those without words have size 0 and are never taken. The same input gives the same
     mix, however it is partitioned; rows that repeat each have their own place. Other columns
-    are ignored; an empty table gives an empty mix.
+    are ignored; an empty table gives an empty mix. Sources may be any number.
     """
-    spark = documents.sparkSession
     sized = stored(source_sizes(documents), "sizes")
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("size"))
-    found = per_source.limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources to mix")
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [r["size"] for r in found]
-    own = [weights[n % len(weights)] for n in range(len(found))]
-    targets = mixing_targets(sizes, own, share, repeats)
-    blocks = [-(-size // block_words) for size in sizes]
-    totals = np.array([
-        round(count * target / size) if size else 0
-        for count, target, size in zip(blocks, targets, sizes)
-    ], np.int64)
-
-    plan = [
-        (rank, r["source"], sizes[rank], targets[rank], int(blocks[rank]))
-        for rank, r in enumerate(found)
-    ]
-    sources = spark.createDataFrame(
-        plan, "rank int, source string, source_size long, target double, blocks long"
+    per_source = stored(sized.groupBy("source").agg(F.sum("size").alias("size")), "per-source")
+    size = F.col("source_size")
+    blocks = F.ceil(size / block_words)
+    total = F.when(size > 0, F.round(blocks * F.col("target") / size)).otherwise(0)
+    sources = stored(
+        source_targets(per_source, weights, share, repeats).withColumns(
+            {"blocks": blocks.cast("long"), "total": total.cast("long")}
+        ),
+        "targets",
+    )
+    named = small(
+        sources.select(F.col("source").alias("_source"), "rank", "source_size", "target"),
+        sources.count(),
     )
-    same = sized["source"].eqNullSafe(sources["source"])
-    # A row per source, bounded above.
-    ranked = sized.join(F.broadcast(sources), same).select(sized["*"], sources["rank"],
-                                                           "source_size", "target")
+    ranked = sized.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     placed = stored(running_start(ranked, ["rank"], ["doc_id", "k1", "k2"], "size", "start"),
                     "placed")
 
@@ -192,17 +269,12 @@ def mix_sources(
         "rank", "block", "start", first.alias("first_word"), (last - first).alias("n_words")
     )
 
-    counts = draw_counts(totals, shards, seed)
-    begins = np.cumsum(counts, axis=0) - counts
-    drawn = [
-        (shard, rank, int(begins[shard, rank]), int(counts[shard, rank]), int(blocks[rank]))
-        for shard in range(shards) for rank in range(len(found)) if counts[shard, rank]
-    ]
-    drawn = spark.createDataFrame(
-        drawn, "shard int, rank int, begin long, count long, blocks long"
-    )
+    drawn, n_slots = source_draws(sources, shards, seed)
     step = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(_STEP).cast("long")))
-    steps = drawn.select("*", step.alias("at")).repartition("shard", "rank", "at")
+    # Few rows that become many: as many tasks as the slots need, whatever the rows weigh.
+    steps = drawn.select("*", step.alias("at")).repartition(
+        n_slots // TASK_SLOTS + 1, "shard", "rank", "at"
+    )
     within = F.sequence(F.col("at"), F.least(F.col("at") + _STEP, F.col("count")) - 1)
     slots = steps.select("shard", "rank", "blocks", "begin", F.explode(within).alias("slot"))
     number = F.col("begin") + F.col("slot")
@@ -243,7 +315,7 @@ def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
         .select("k1", "k2", "source", "nth", "size", "turn", "pieces", "taken")
     )
     nth = F.row_number().over(Window.partitionBy("k1", "k2", "source").orderBy(F.lit(0)))
-    given = documents.select(F.struct(*columns).alias("row"), "source", *row_keys())
+    given = documents.select(F.struct(*quoted(columns)).alias("row"), "source", *row_keys())
     given = given.withColumn("nth", nth)
     keys = ["k1", "k2", "nth"]
     met = given.join(
@@ -263,6 +335,6 @@ def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
     return out.select(*[
         F.col("text") if c == "text"
         else F.length("text").cast("long").alias(c) if c == "n_chars"
-        else F.col(f"row.{c}")
+        else F.col("row").getField(c).alias(c)
         for c in columns
     ])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from waymark.llm import line_dedup, mixing, token_files, vptree
 from waymark.llm.collocations import collocations
 from waymark.llm.decontaminate import contamination, is_contaminated
-from waymark.llm.language_id import fold, identify_languages, learn_references
+from waymark.llm.language_id import fold, identify_languages, reference_table
 from waymark.llm.license_scan import scan_licenses
 from waymark.llm.packing import pack_documents
 from waymark.llm.secret_scan import scan_secrets, train_models
@@ -111,7 +111,7 @@ def op9_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False))
-    references = learn_references(documents.where(fold(F.col("doc_id")) != 0))
+    references = reference_table(documents.where(fold(F.col("doc_id")) != 0))
     found = identify_languages(documents.select("doc_id", "text"), references)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 

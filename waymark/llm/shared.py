@@ -31,6 +31,11 @@ def words_of(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
+def quoted(names: Sequence[str]) -> list[Column]:
+    """Columns by their whole names, whatever these contain."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def row_keys() -> list[Column]:
     """Two hashes that tell documents apart by id and whole text, and are never null.
 

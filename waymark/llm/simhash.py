@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.components import components
-from waymark.llm.shared import row_keys, stored
+from waymark.llm.shared import quoted, row_keys, stored
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -270,7 +270,7 @@ def one_of_each(documents: DataFrame, **settings) -> DataFrame:
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ranks = Window.partitionBy("root", F.col("doc_id").isNull()).orderBy("doc_id", "k1", "k2")
     kept = found.where(stays).withColumn("nth", F.row_number().over(ranks)).where("nth = 1")
-    given = documents.select(F.struct(*columns).alias("row"), *row_keys())
+    given = documents.select(F.struct(*quoted(columns)).alias("row"), *row_keys())
     met = given.join(kept.select("k1", "k2"), ["k1", "k2"], "left_semi")
     # Rows that repeat in id and text are one document.
     nth = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
