@@ -11,27 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.llm.decontaminate import contamination, is_contaminated
-from waymark.llm.language_id import (
-    UNDETERMINED,
-    fold,
-    holds_letter,
-    identify_languages,
-    learn_references,
-)
+from waymark.llm.language_id import fold, holds_letter, judge_languages, reference_table
 from waymark.llm.mixing import mixed_documents
 from waymark.llm.registry import token_digest
-from waymark.llm.shared import row_keys, stored
+from waymark.llm.shared import quoted, row_keys, stored
 from waymark.llm.simhash import one_of_each
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no language, for want of text or letters, go."""
-    references = learn_references(docs.where(fold(F.col("doc_id")) != 0))
-    if not references:
+    references = reference_table(docs.where(fold(F.col("doc_id")) != 0))
+    if references.isEmpty():
         # With no language learnt nothing is told apart but what has letters.
         return docs.where(holds_letter("text"))
-    found = identify_languages(docs, references)
-    return found.where(F.col("lang_pred") != UNDETERMINED).select(*docs.columns)
+    # Under names of their own, no column of the documents is taken for a result.
+    names = [c if c == "text" else f"given_{n}" for n, c in enumerate(docs.columns)]
+    found = judge_languages(docs.toDF(*names), references).where("determined")
+    return found.select(*names).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that a benchmark contaminates go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = contamination(docs, benchmark).where(is_contaminated()).select("k1", "k2").distinct()
-    row = docs.select(F.struct(*docs.columns).alias("row"), *row_keys())
+    row = docs.select(F.struct(*quoted(docs.columns)).alias("row"), *row_keys())
     return row.join(found, ["k1", "k2"], "left_anti").select("row.*")
 
 
