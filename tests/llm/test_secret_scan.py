@@ -1,12 +1,16 @@
 import random
 import re
 
+import numpy as np
 import plain
+import pytest
 from pyspark.sql import functions as F
 
 from waymark.llm.registry import op8_secret_scan
 from waymark.llm.secret_scan import (
+    THRESHOLD,
     TOKEN,
+    MarkovRatio,
     base_spans,
     model_spans,
     scan_secrets,
@@ -58,7 +62,7 @@ def test_models_tell_random_strings_from_words(spark):
     docs = plain.documents(spark, rows)
     models = train_models(docs)
     secret, ordinary = key(32), "connection_timeout_handler_version2"
-    assert models.score(secret) > 0.5 > 0 > models.score(ordinary)
+    assert models.score(secret) > THRESHOLD > 0 > models.score(ordinary)
     given = [(1, f"see {secret} and {ordinary} here", None, None, None), *plain.ODD]
     found = scan_secrets(plain.documents(spark, given), models).collect()
     assert [(s.kind, s.start, s.end) for r in found for s in r.spans] == [("random", 4, 36)]
@@ -67,23 +71,74 @@ def test_models_tell_random_strings_from_words(spark):
 
 
 def test_model_spans_keep_off_base_spans():
-    class Always:
-        def score(self, token):
-            return 1.0
-
+    always = MarkovRatio(np.zeros((69, 69)), np.zeros((69, 69)))
+    always.ratio[:] = 1.0
     dice = random.Random(3)
-    for _ in range(300):
-        text = "".join(
-            dice.choice(["secret=", "AKIA", "0123456789abcdef", "Zz9_", " ", "=", "x" * 20, "token:"])
-            for _ in range(30)
-        )
-        spans = base_spans(text)
-        expected = [
-            (m.start(), 3, m.end()) for m in TOKEN.finditer(text)
-            if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])
-            and not any(s < m.end() and m.start() < e for s, _, e in spans)
-        ]
-        assert model_spans(text, spans, Always(), 0.5) == expected
+    texts = [
+        "".join(dice.choice(["secret=", "AKIA", "0123456789abcdef", "Zz9_", " ", "=", "x" * 20,
+                             "token:", "é", "漢 "]) for _ in range(30))
+        for _ in range(300)
+    ] + [""]
+    spans = [base_spans(t) for t in texts]
+    expected = [
+        [(m.start(), 3, m.end()) for m in TOKEN.finditer(text)
+         if not any(s < m.end() and m.start() < e for s, _, e in own)]
+        for text, own in zip(texts, spans)
+    ]
+    assert model_spans(texts, spans, always, 0.5) == expected
+    assert sum(map(len, expected)) > 300
+
+
+def test_scores_of_a_batch_equal_those_of_tokens():
+    rng = np.random.default_rng(1)
+    models = MarkovRatio(rng.integers(0, 50, (69, 69)), rng.integers(0, 50, (69, 69)))
+    text = "short abcdefghijkl +/=_-AZaz09+/=_ é" + "x" * 30 + "\nlastlastlastlast"
+    begins, ends, scores = models.tokens(text.encode())
+    tokens = [text.encode()[a:b].decode() for a, b in zip(begins, ends)]
+    assert tokens == TOKEN.findall(text)
+    assert scores.tolist() == pytest.approx([models.score(k) for k in tokens])
+    assert [len(x) for x in models.tokens(b"")] == [0, 0, 0]
+
+
+ORDINARY = """connection timeout buffer handler request version manager internationalization
+    straightforward responsibilities configuration abstract factory controller repository
+    user agent string background color maximum minimum transaction serializer authentication
+    middleware environment variable collection iterator exception listener attribute""".split()
+
+
+def ordinary_names(dice):
+    """Identifiers as they are written in code, 12 characters or more."""
+    while True:
+        words = dice.sample(ORDINARY, dice.randrange(1, 4))
+        name = dice.choice([
+            "_".join(words), "-".join(words), "".join(w.title() for w in words),
+            words[0] + "".join(w.title() for w in words[1:]), "/".join(words),
+            "_".join(words).upper(), f"{'_'.join(words)}_{dice.randrange(99)}",
+        ])
+        if len(name) >= 12:
+            yield name
+
+
+def test_held_out_keys_are_found_and_names_left_alone(spark):
+    """Letters only, capitals and digits, and mixtures, from 12 to 40 characters; none of the
+    keys or lines that are judged was seen in training."""
+    dice = random.Random(8)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    kinds = [upper + upper.lower(), upper + "0123456789", upper + upper.lower() + "0123456789"]
+    key = lambda kind, n: "".join(dice.choice(kind) for _ in range(n))
+    names = ordinary_names(dice)
+    rows = []
+    for n in range(600):
+        prose = " ".join(next(names) for _ in range(20))
+        rows.append((n, f"{prose} token={key(kinds[n % 3], dice.randrange(12, 41))}", None, None, None))
+    models = train_models(plain.documents(spark, rows))
+    for kind in kinds:
+        keys = [key(kind, 12 + n % 29) for n in range(600)]
+        text = " ".join(keys)
+        found = model_spans([text], [[]], models, THRESHOLD)[0]
+        assert len(found) >= 0.9 * len(keys)
+    other = [next(names) for _ in range(3_000)]
+    assert len(model_spans([" ".join(other)], [[]], models, THRESHOLD)[0]) <= 0.01 * len(other)
 
 
 def test_without_labelled_samples_only_the_patterns_count(spark):

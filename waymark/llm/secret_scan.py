@@ -2,7 +2,8 @@
 
 Two models of characters following one another are trained, one from strings that a pattern
 has labelled as secrets, one from the other identifiers beside them. A token is a secret by
-the models if it is likelier a random string by so many nats per character.
+the models if it is likelier a random string by so many nats in all, whatever characters it is
+made of, and by so many per character, so that length alone does not make one.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import text_sample
+from waymark.llm.shared import stored, text_sample
+from waymark.llm.token_files import slices
 
 # Kinds in order, their patterns and least lengths.
 ASSIGN = re.compile(
@@ -29,16 +31,20 @@ ACCESS_CHARS = 18
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
 
-# What the models judge: long runs of the characters keys are written in.
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# What the models judge: runs of the characters keys are written in, as long as a base value.
+TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+TOKEN_CHARS = 12
 IDENTIFIER = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
 
 # The sample the models are trained on: so many documents that hold a labelled secret, of
 # longer ones a window of this many characters round it.
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_CHARS = 20_000
-# Least likelihood ratio, in nats per character.
-THRESHOLD = 0.5
+# Least likelihood ratio of a token, in nats, and per character.
+THRESHOLD = 6.0
+LEAST_MEAN = 0.15
+# Bytes of text that are judged together.
+SLICE_BYTES = 2_000_000
 
 # Characters as the models see them: 64 that keys are written in, the start, and all others.
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -46,6 +52,8 @@ _OTHER = len(_ALPHABET)
 _START = _OTHER + 1
 _SYMBOLS = _OTHER + 2
 _CODES = {c: n for n, c in enumerate(_ALPHABET)}
+_BYTE_CODES = np.full(256, _OTHER)
+_BYTE_CODES[list(_ALPHABET.encode())] = np.arange(_OTHER)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -110,9 +118,28 @@ class MarkovRatio:
         self.ratio = logs[0] - logs[1]
 
     def score(self, token: str) -> float:
-        """Nats per character by which the token is likelier a secret."""
+        """Nats by which the token is likelier a secret."""
         codes = _codes(token)
-        return float(self.ratio[codes[:-1], codes[1:]].mean()) if token else 0.0
+        return float(self.ratio[codes[:-1], codes[1:]].sum())
+
+    def tokens(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begin, end and score of every token of UTF-8 text, all at once."""
+        codes = _BYTE_CODES[np.frombuffer(text, np.uint8)]
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], codes < _OTHER, [False]])))
+        begins, ends = edges[::2], edges[1::2]
+        long = ends - begins >= TOKEN_CHARS
+        begins, ends = begins[long], ends[long]
+        if not len(begins):
+            return begins, ends, np.zeros(0)
+        # The pairs of all tokens end to end, each after the start.
+        lengths = ends - begins
+        at = np.repeat(begins - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        own = codes[at]
+        before = np.empty_like(own)
+        before[1:] = own[:-1]
+        firsts = np.cumsum(lengths) - lengths
+        before[firsts] = _START
+        return begins, ends, np.add.reduceat(self.ratio[before, own], firsts)
 
 
 def train_models(
@@ -129,7 +156,9 @@ def train_models(
     """
     # Through a generator of one row, so that the patterns are not applied in each use.
     one = F.explode(F.array(training_text(F.col("text"), sample_chars))).alias("text")
-    texts = documents.select(one)
+    # The labelled texts are few and cut; stored, the patterns are applied once for all that
+    # the choice of a sample asks of them.
+    texts = stored(documents.select(one).where(F.col("text").isNotNull()), "labelled")
     sample = text_sample(texts, F.col("text").isNotNull(), sample_documents).select("text")
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,24 +199,25 @@ def _count(table: np.ndarray, token: str) -> None:
 
 
 def model_spans(
-    text: str, base: list[tuple[int, int, int]], models: MarkovRatio, threshold: float
-) -> list[tuple[int, int, int]]:
-    """Spans the models add: tokens apart from the base ones, with a digit and a letter, whose
-    ratio reaches the threshold."""
-    found = []
-    # Both go by start; ``reached`` is how far the base spans that begin before a token go.
-    at = reached = 0
-    for m in TOKEN.finditer(text):
-        start, end = m.span()
-        while at < len(base) and base[at][0] < end:
-            reached = max(reached, base[at][2])
-            at += 1
-        if start < reached:
-            continue
-        token = m[0]
-        if re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token):
-            if models.score(token) >= threshold:
-                found.append((start, 3, end))
+    texts: list[str], base: list[list[tuple[int, int, int]]], models: MarkovRatio,
+    threshold: float, least_mean: float = LEAST_MEAN,
+) -> list[list[tuple[int, int, int]]]:
+    """Per text the spans the models add: tokens apart from the base ones whose ratio reaches
+    the threshold and, per character, the least mean."""
+    found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    data = [t.encode() for t in texts]
+    # A line break is in no token.
+    starts = np.cumsum([0, *(len(d) + 1 for d in data)])
+    begins, ends, scores = models.tokens(b"\n".join(data))
+    chosen = (scores >= threshold) & (scores >= least_mean * (ends - begins))
+    for begin, end in zip(begins[chosen].tolist(), ends[chosen].tolist()):
+        n = int(np.searchsorted(starts, begin, "right")) - 1
+        at = int(starts[n])
+        # Spans count code points.
+        first = begin - at if texts[n].isascii() else len(data[n][: begin - at].decode())
+        last = first + end - begin
+        if not any(s < last and first < e for s, _, e in base[n]):
+            found[n].append((first, 3, last))
     return found
 
 
@@ -201,17 +231,20 @@ def scan_secrets(
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = []
-            for text in batch.column(1).to_pylist():
-                base = base_spans(text or "")
-                added = model_spans(text or "", base, models, threshold) if models else []
-                spans.append([
-                    {"kind": KINDS[kind], "start": start, "end": end}
-                    for start, kind, end in sorted(base + added)
-                ])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(spans, _SPANS)], ["doc_id", "spans"]
-            )
+            for some in slices(batch, SLICE_BYTES):
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                base = [base_spans(t) for t in texts]
+                added = model_spans(texts, base, models, threshold) if models else [[]] * len(base)
+                spans = [
+                    [
+                        {"kind": KINDS[kind], "start": start, "end": end}
+                        for start, kind, end in sorted(own + more)
+                    ]
+                    for own, more in zip(base, added)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(spans, _SPANS)], ["doc_id", "spans"]
+                )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
