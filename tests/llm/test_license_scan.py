@@ -1,3 +1,5 @@
+import random
+
 import plain
 import pytest
 
@@ -59,6 +61,75 @@ def test_notices_are_found_though_words_are_left_out_or_put_in(spark):
     assert all(r.n_base == 0 for r in found.values())
 
 
+def spans(text, gram=5, drift=4, gap=64):
+    """Of each notice the parts of its words in its spans, by the definition: all equal k-grams,
+    runs of near diagonals, and runs that go on in both texts."""
+    own = plain.words(text)
+    found = {}
+    for label, notice in NOTICES:
+        there = plain.words(notice)
+        at = {}
+        for a in range(len(there) - gram + 1):
+            for p in range(len(own) - gram + 1):
+                if own[p : p + gram] == there[a : a + gram]:
+                    at.setdefault(p - a, set()).add(a)
+        runs, last = [], None
+        for d in sorted(at):
+            if last is None or d - last > drift:
+                runs.append([])
+            runs[-1].append(d)
+            last = d
+        placed = sorted(
+            (min(d + min(at[d]) for d in run), n, max(d + max(at[d]) + gram for d in run),
+             set().union(*(at[d] for d in run)))
+            for n, run in enumerate(runs, 1)
+        )
+        chains = []
+        for start, _, end, voted in placed:
+            if chains and -gram <= start - chains[-1][0] <= gap and min(voted) > max(chains[-1][1]):
+                chains[-1] = (end, voted, chains[-1][2] | voted)
+            else:
+                chains.append((end, voted, set(voted)))
+        for _, _, voted in chains:
+            part = len({a + i for a in voted for i in range(gram)}) / len(there)
+            found[label] = max(found.get(label, 0), part)
+    return found
+
+
+def test_labels_and_scores_equal_brute_force(spark):
+    dice = random.Random(6)
+    texts = []
+    for n in range(60):
+        words = []
+        for _ in range(dice.randrange(1, 4)):
+            notice = dice.choice(NOTICES)[1].split()
+            for _ in range(dice.randrange(4)):
+                at = dice.randrange(len(notice))
+                if dice.random() < 0.6:
+                    notice[at:at] = ["put"] * dice.choice([1, 3, 5, 30, 80])
+                else:
+                    del notice[at : at + dice.choice([1, 2, 8])]
+            words += ["between"] * dice.randrange(40) + notice
+        texts.append((n, " ".join(words), None, None, None))
+    found = {r.doc_id: r for r in scan_licenses(plain.documents(spark, texts)).collect()}
+    for n, text, *_ in texts:
+        parts = spans(text)
+        known = {label for label, part in parts.items() if part >= 0.6}
+        assert set(found[n].labels) == known | set(found[n].base_labels)
+        if not found[n].n_base:
+            assert found[n].score == pytest.approx(max(parts.values(), default=0))
+
+
+def test_a_whole_notice_with_words_put_in_its_middle_keeps_its_label(spark):
+    rows = []
+    for n, (_, notice) in enumerate(NOTICES):
+        own = notice.split()
+        half = len(own) // 2
+        rows.append((n, " ".join([*own[:half], *["page", "header"] * 10, *own[half:]]), None, None, None))
+    found = {r.doc_id: r for r in scan_licenses(plain.documents(spark, rows)).collect()}
+    assert all(label in found[n].labels for n, (label, _) in enumerate(NOTICES))
+
+
 def test_plan_is_native_and_empty_table(spark):
     assert scan_licenses(plain.empty(spark)).count() == 0
     plan = scan_licenses(plain.documents(spark))._jdf.queryExecution().executedPlan().toString()

@@ -1,9 +1,19 @@
+import random
+import time
 from collections import defaultdict
 
 import plain
+import pytest
 from pyspark.sql import functions as F
 
-from waymark.llm.line_dedup import dedup_lines, host_of, html_lines
+from waymark.llm.line_dedup import (
+    BLOCK_TAGS,
+    HIDDEN,
+    OTHER_TAGS,
+    dedup_lines,
+    host_of,
+    html_lines,
+)
 
 PAGES = "page_id long, url string, html string, host string, lines string"
 
@@ -55,3 +65,26 @@ def test_odd_pages(spark):
     found = dedup_lines(spark.createDataFrame(rows, PAGES))
     assert [r.kept for r in found.orderBy("page_id").collect()] == [["a"], [], [], [], ["a"]]
     assert dedup_lines(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_broken_markup_reads_as_the_patterns_say(spark):
+    dice = random.Random(4)
+    parts = ["<!--", "-->", "<script", "</script>", "<STYLE>", "</Style>", "<p>", "a", " b\n", ">",
+             "<", "<div", "</sCript>", "<Script x>", "<!-->", "é", "İ", "<br/>"]
+    pages = ["".join(dice.choices(parts, k=dice.randrange(14))) for _ in range(1_500)]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    plainly = F.regexp_replace(F.regexp_replace(F.regexp_replace(
+        "html", HIDDEN, ""), BLOCK_TAGS, "\n"), OTHER_TAGS, "")
+    lines = F.split(F.regexp_replace(plainly, r"[\x20\x09\x0B-\x0D]+", " "), r"\x20?\n\x20?")
+    wanted = F.array_remove(F.transform(lines, lambda line: F.trim(line)), "")
+    for r in df.select("html", html_lines(F.col("html")).alias("own"), wanted.alias("wanted")).collect():
+        assert r.own == r.wanted, r.html
+
+
+@pytest.mark.parametrize("part", ["<!-- open ", "<script> x ", "<style ", "<div ", "< ", "<!-->"])
+def test_megabytes_of_what_is_never_closed(spark, part):
+    page = "<p>start</p>" + part * (1_000_000 // len(part))
+    begin = time.monotonic()
+    found = spark.createDataFrame([(page,)], "html string").select(
+        F.get(html_lines(F.col("html")), F.lit(0)).alias("first")).first()
+    assert found.first == "start" and time.monotonic() - begin < 10

@@ -2,9 +2,11 @@
 
 Every rolling word k-gram of a document meets the positions of the same k-gram in the
 templates. A match votes for the diagonal ``document position - template position``; words
-inserted or left out move a text over to a neighbouring diagonal, so neighbours are merged,
-and a span counts if enough of its template voted for it. Short phrases are templates of a
-single k-gram, whose every vote is a place.
+inserted or left out move a text over to a neighbouring diagonal, so neighbours are merged.
+Runs of a template that follow each other, in the document and in the template, with not too
+many words between them are one span. It is verified by its words: a vote counts only where the
+words of the k-gram stand, and a span if enough of its template's words stand in it. Short
+phrases are templates of a single k-gram, whose every vote is a place.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from waymark.llm.shared import (
     words_of,
 )
 
-# Words per k-gram of a long template, diagonals a span may drift between matches, and the
-# part of a template's k-grams that must vote.
+# Words per k-gram of a long template, diagonals a run may drift between matches, words of
+# something else that may stand between runs of a span, and the part of a template's words
+# that must stand in it.
 GRAM_WORDS = 5
 DRIFT = 4
+GAP_WORDS = 64
 COVERAGE = 0.6
 
 # Phrases and their labels.
@@ -67,6 +71,24 @@ NOTICES = (
         "cc-by-notice",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
     ),
+    (
+        "isc-notice",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+        "or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies",
+    ),
+    (
+        "mpl-notice",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If "
+        "a copy of the MPL was not distributed with this file, You can obtain one at",
+    ),
+    (
+        "unlicense-notice",
+        "This is free and unencumbered software released into the public domain. Anyone is free "
+        "to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or non-commercial, "
+        "and by any means",
+    ),
 )
 
 _ROW = ("k1", "k2")
@@ -104,9 +126,10 @@ def license_matches(
     notices: Sequence = NOTICES,
     gram: int = GRAM_WORDS,
     drift: int = DRIFT,
+    gap: int = GAP_WORDS,
 ) -> DataFrame:
-    """``k1, k2, label, phrase, start, coverage``: each place of a phrase, and each span of
-    merged diagonals with the part of its template that voted for it."""
+    """``k1, k2, label, phrase, start, coverage``: each place of a phrase, and each span with
+    the part of its template's words that stand in it."""
     spark = documents.sparkSession
     templates = _templates(spark, phrases, notices, gram)
     plain = lambda text: len([w for w in _plain_words(text)])
@@ -134,22 +157,41 @@ def license_matches(
     votes = (
         rolling.join(F.broadcast(known), "hash")
         .where(same)
-        .groupBy(*_ROW, "template", "label", "phrase", "grams",
+        .groupBy(*_ROW, "template", "label", "phrase", "grams", "k",
                  (F.col("pos") - F.col("at")).alias("diagonal"))
         .agg(F.collect_set("at").alias("voted"))
     )
+    own = ["template", "label", "phrase", "grams", "k"]
     along = Window.partitionBy(*_ROW, "template").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(along)
     # A phrase is all there on its own diagonal: its places are never merged.
     opens = (F.col("phrase") | F.coalesce(apart > drift, F.lit(True))).cast("int")
     runs = votes.withColumn("opens", opens).withColumn("run", F.sum("opens").over(along))
-    spans = runs.groupBy(*_ROW, "template", "label", "phrase", "grams", "run").agg(
-        F.array_distinct(F.flatten(F.collect_list("voted"))).alias("voted"),
+    together = F.array_distinct(F.flatten(F.collect_list("voted"))).alias("voted")
+    merged = runs.groupBy(*_ROW, *own, "run").agg(
+        together,
         F.min(F.col("diagonal") + F.array_min("voted")).alias("start"),
+        F.max(F.col("diagonal") + F.array_max("voted") + F.col("k")).alias("end"),
     )
-    return spans.select(
-        *_ROW, "label", "phrase", "start", (F.size("voted") / F.col("grams")).alias("coverage")
+    # A run goes on where another of its template left off: further on in both texts. A run of
+    # more than one place of the template overlaps what is before and begins a span of its own.
+    by_place = Window.partitionBy(*_ROW, "template").orderBy("start", "run")
+    before = lambda column: F.lag(column).over(by_place)
+    follows = (
+        ~F.col("phrase")
+        & (F.col("start") - before(F.col("end")) <= gap)
+        & (F.col("start") >= before(F.col("end")) - F.col("k"))
+        & (F.array_min("voted") > before(F.array_max("voted")))
     )
+    chained = merged.withColumn("opens", (~F.coalesce(follows, F.lit(False))).cast("int"))
+    chained = chained.withColumn("span", F.sum("opens").over(by_place))
+    spans = chained.groupBy(*_ROW, *own, "span").agg(together, F.min("start").alias("start"))
+    # The words of the template that were compared and stand in the span.
+    words = F.size(F.array_distinct(F.flatten(F.transform(
+        "voted", lambda at: F.sequence(at, at + F.col("k") - 1)
+    ))))
+    coverage = words / (F.col("grams") + F.col("k") - 1)
+    return spans.select(*_ROW, "label", "phrase", "start", coverage.alias("coverage"))
 
 
 def _plain_words(text: str) -> list[str]:
@@ -164,16 +206,17 @@ def scan_licenses(
     notices: Sequence = NOTICES,
     gram: int = GRAM_WORDS,
     drift: int = DRIFT,
+    gap: int = GAP_WORDS,
     coverage: float = COVERAGE,
 ) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score`` per row.
 
-    The score is the largest part of any template found, 1 where a phrase stands. Null and
+    The score is the largest part of any template's words found, 1 where a phrase stands. Null and
     empty texts have no words and no license; rows that repeat are each returned; columns but
     ``doc_id`` and ``text`` are ignored. Phrases and notices are ASCII text.
     """
     documents = documents.select("doc_id", "text")
-    found = license_matches(documents, phrases, notices, gram, drift)
+    found = license_matches(documents, phrases, notices, gram, drift, gap)
     base = F.col("phrase")
     known = base | (F.col("coverage") >= coverage)
     per_row = found.groupBy(*_ROW).agg(

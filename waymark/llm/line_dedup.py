@@ -7,10 +7,12 @@ lines above a ratio are dropped from that host's pages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import SPACES, stored
+from waymark.llm.shared import ascii_lower, stored
 
 RATIO = 0.2
 # A line is boilerplate only if at least this many pages of the host hold it.
@@ -32,10 +34,53 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
 
 
+# What opens a hidden part and what closes it. An opening after the last closing of its kind
+# opens nothing, but a pattern would look for the closing from each such opening to the end of
+# the page; so they are set apart by a character that is never in a text, while patterns run.
+_HIDDEN_ENDS = (("<!--", "-->"), ("<script", "</script>"), ("<style", "</style>"))
+_APART = "\uFFFF"
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _set_apart(opening: str, closing: str) -> Callable[[Column], Column]:
+    def apart(t: Column) -> Column:
+        tail = F.length(F.substring_index(ascii_lower(t), closing, -1))
+        marked = F.regexp_replace(F.right(t, tail), f"(?i)<(?={opening[1:]})", f"<{_APART}")
+        return F.when(
+            F.contains(F.right(ascii_lower(t), tail), F.lit(opening)),
+            F.concat(F.left(t, F.length(t) - tail), marked),
+        ).otherwise(t)
+
+    return apart
+
+
+def _without_hidden(text: Column) -> Column:
+    """Scripts, styles and comments taken out, in time that grows with the text alone."""
+    for opening, closing in _HIDDEN_ENDS:
+        text = _once(text, _set_apart(opening, closing))
+    hidden = F.regexp_replace(text, HIDDEN, "")
+    return _once(hidden, lambda t: F.when(
+        F.contains(t, F.lit(f"<{_APART}")), F.replace(t, F.lit(f"<{_APART}"), F.lit("<"))
+    ).otherwise(t))
+
+
+def _without_tags(text: Column) -> Column:
+    """Tags taken out; what stands after the last end of a tag holds none."""
+    def cut(t: Column) -> Column:
+        tail = F.length(F.substring_index(t, ">", -1))
+        head = F.regexp_replace(F.left(t, F.length(t) - tail), BLOCK_TAGS, "\n")
+        return F.concat(F.regexp_replace(head, OTHER_TAGS, ""), F.right(t, tail))
+
+    return _once(text, cut)
+
+
 def html_lines(html: Column) -> Column:
     """The lines of text of a page: white space closed up, empty lines left out."""
-    text = F.regexp_replace(F.coalesce(html, F.lit("")), HIDDEN, "")
-    text = F.regexp_replace(F.regexp_replace(text, BLOCK_TAGS, "\n"), OTHER_TAGS, "")
+    text = _without_tags(_without_hidden(F.coalesce(html, F.lit(""))))
     lines = F.split(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r"\x20?\n\x20?")
     return F.array_remove(F.transform(lines, lambda line: F.trim(line)), "")
 
