@@ -33,8 +33,9 @@ from waymark.operators.sampling import estimated_counts, sample_users  # noqa: E
 from waymark.plans.friends import friends_mart  # noqa: E402
 from waymark.plans.user_geo import user_geo_mart  # noqa: E402
 from waymark.plans.zone import zone_mart  # noqa: E402
-from waymark.schemas import CITY_CSV  # noqa: E402
+from waymark.schemas import CITY_CSV, MESSAGE_CITY, USER_GEO_MART  # noqa: E402
 from waymark.session import prepare_session  # noqa: E402
+from waymark.sources.bucketed import open_table, write_bucketed  # noqa: E402
 from waymark.sources.cities import (  # noqa: E402
     BROKEN_LINE,
     city_rejects,
@@ -273,6 +274,24 @@ def _registrations(spark, sf_dir):
     return activity.registrations(at.kept_message_city, at.kept_user_geo)
 
 
+def _registrations_by_user(spark, sf_dir):
+    """The registrations out of tables that are stored by user in the warehouse. The folders go
+    with the session."""
+    at = _Inputs(spark, sf_dir)
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    tables = []
+    for name, df, schema in (
+        ("message_city", at.message_city, MESSAGE_CITY),
+        ("user_geo_mart", at.user_geo, USER_GEO_MART),
+    ):
+        path = f"{warehouse}/{name}_{uuid.uuid4().hex}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+        write_bucketed(df, path, buckets=8)
+        tables.append(open_table(spark, path, schema, name))
+    return activity.registrations(*tables)
+
+
 def _activity_week(spark, sf_dir):
     at = _Inputs(spark, sf_dir)
     return activity.city_activity(at.events, at.user_geo)
@@ -405,6 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_actor_city": _event_actor_city,
         "calendar_buckets": _calendar_buckets,
         "registrations": _registrations,
+        "registrations_by_user": _registrations_by_user,
         "activity_week": _activity_week,
         "activity_month": _activity_month,
         "zone_mart": _zone_mart,

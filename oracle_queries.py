@@ -360,6 +360,7 @@ ORACLES: dict[str, str] = {
         "geo",
     ),
     "registrations": _with("SELECT * FROM regs", "regs"),
+    "registrations_by_user": _with("SELECT * FROM regs", "regs"),
     "activity_week": _with("SELECT * FROM week_counts", "week_counts"),
     "activity_month": _with("SELECT * FROM month_counts", "month_counts"),
     "zone_mart": _with(

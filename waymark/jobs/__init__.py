@@ -14,11 +14,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from waymark.session import prepare_session
+from waymark.session import join_by_user, prepare_session
 
 
 def open_session(name: str) -> SparkSession:
-    return prepare_session(SparkSession.builder.appName(f"waymark-{name}").getOrCreate())
+    session = SparkSession.builder.appName(f"waymark-{name}").getOrCreate()
+    return join_by_user(prepare_session(session))
 
 
 def parser(description: str, *paths: str) -> argparse.ArgumentParser:

@@ -11,6 +11,7 @@ from waymark.jobs import instant, open_session, parser
 from waymark.operators.sampling import sample_users
 from waymark.plans.friends import friends_mart
 from waymark.schemas import CITY_DIM, MESSAGE_CITY, USER_GEO_MART
+from waymark.sources.bucketed import open_table
 from waymark.sources.events import read_events
 from waymark.sources.tables import read_table, write_table
 
@@ -27,11 +28,11 @@ def run(
     metric: str = "planar",
     sample: float | None = None,
 ) -> None:
-    users = read_table(spark, user_geo, USER_GEO_MART, "user_geo_mart")
+    users = open_table(spark, user_geo, USER_GEO_MART, "user_geo_mart")
     mart = friends_mart(
         users if sample is None else sample_users(users, sample),
         read_events(spark, events),
-        read_table(spark, message_city, MESSAGE_CITY, "message_city"),
+        open_table(spark, message_city, MESSAGE_CITY, "message_city"),
         read_table(spark, cities, CITY_DIM, "city_dim"),
         as_of,
         km,

@@ -8,8 +8,9 @@ from waymark.jobs import open_session, parser
 from waymark.operators.sampling import sample_users
 from waymark.plans.zone import zone_mart
 from waymark.schemas import MESSAGE_CITY, USER_GEO_MART
+from waymark.sources.bucketed import open_table
 from waymark.sources.events import read_events
-from waymark.sources.tables import read_table, write_table
+from waymark.sources.tables import write_table
 
 
 def run(
@@ -21,10 +22,10 @@ def run(
     fill_zero: bool = False,
     sample: float | None = None,
 ) -> None:
-    users = read_table(spark, user_geo, USER_GEO_MART, "user_geo_mart")
+    users = open_table(spark, user_geo, USER_GEO_MART, "user_geo_mart")
     mart = zone_mart(
         read_events(spark, events),
-        read_table(spark, message_city, MESSAGE_CITY, "message_city"),
+        open_table(spark, message_city, MESSAGE_CITY, "message_city"),
         users if sample is None else sample_users(users, sample),
         fill_zero,
     )
