@@ -6,11 +6,16 @@ import pytest
 
 from waymark.llm.components import components
 from waymark.llm.simhash import (
+    PIVOTS,
+    distance_table,
     fingerprint,
     linked_fingerprints,
     near_duplicates,
     one_of_each,
     part_masks,
+    passed,
+    pivot_distances,
+    pivot_fingerprints,
 )
 
 
@@ -112,9 +117,26 @@ def test_empty_table(spark):
 
 
 def test_distance_table_bounds_distances():
-    from waymark.llm.simhash import pivot_distances, pivot_fingerprints
-
     marks = np.array(some_fingerprints("clusters"), np.uint64)
     table = pivot_distances(marks, pivot_fingerprints(5)).astype(int)
     apart = np.bitwise_count(marks[:, None] ^ marks[None, :])
     assert (np.abs(table[:, None] - table[None]).max(axis=2) <= apart).all()
+
+
+def test_the_table_is_stored_and_discards_nearly_all_unrelated_pairs(spark):
+    dice = random.Random(7)
+    marks = [dice.getrandbits(64) for _ in range(600)]
+    rows = distance_table(spark.createDataFrame([(signed(m),) for m in marks], "fp long"), PIVOTS)
+    found = {r.fp: (r.d0, r.table) for r in rows.collect()}
+    references = pivot_fingerprints(PIVOTS).tolist()
+    for m in marks:
+        own = [(m ^ r).bit_count() for r in references]
+        assert found[signed(m)] == (own[0], bytes(own))
+    table = pivot_distances(np.array(marks, np.uint64), pivot_fingerprints(PIVOTS))
+    a, b = np.triu_indices(len(marks), 1)
+    # Thirty-two references leave hardly a pair to verify, eight still a few in a hundred.
+    assert len(passed(table, a, b, 3)) < 1e-4 * len(a)
+    assert len(passed(table[:, :8], a, b, 3)) < 0.05 * len(a)
+    near = np.array([marks[0], marks[0] ^ 0b10101], np.uint64)
+    table = pivot_distances(near, pivot_fingerprints(PIVOTS))
+    assert len(passed(table, np.array([0]), np.array([1]), 3)) == 1

@@ -3,11 +3,12 @@
 A table of Hamming distances to reference fingerprints bounds every distance from below: two
 fingerprints are no closer than their largest difference in any coordinate. By itself the
 bound can only discard pairs, and distances to 64-bit references lie so close together that it
-passes nearly half of unrelated pairs per reference; which pairs are held against each other
-is therefore decided by exact equality on parts of the fingerprint. Fingerprints a few bits
-apart agree on all but as many of the parts, so every link meets. Within the rows that meet,
-ordered by the first coordinate, only those within reach are taken, pairs whose coordinates
-differ too much are discarded, and the survivors are verified bit by bit.
+passes nearly half of unrelated pairs per reference, so that many references are needed; which
+pairs are held against each other is decided by exact equality on parts of the fingerprint.
+Fingerprints a few bits apart agree on all but as many of the parts, so every link meets. The
+table is computed once per fingerprint and stored. Within the rows that meet, ordered by the
+first coordinate, only those within reach are taken, pairs with any coordinate too far apart
+are discarded, and the survivors are verified bit by bit.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ MAX_BITS = 3
 SEED = 42
 # Parts a fingerprint is cut into, and reference fingerprints of the distance table.
 PARTS = 6
-PIVOTS = 8
+PIVOTS = 32
 # Fingerprints that share the same parts and are held against each other by one task.
 CELL_ROWS = 2_048
 
@@ -97,6 +98,35 @@ def pivot_distances(fps: np.ndarray, references: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps[:, None] ^ references[None, :]).astype(np.int8)
 
 
+def distance_table(fps: DataFrame, pivots: int) -> DataFrame:
+    """``fp, d0, table``: of each fingerprint the distances to all references, a byte each, and
+    the first of them."""
+    references = pivot_fingerprints(pivots)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            table = pivot_distances(marks.view(np.uint64), references)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(table[:, 0].astype(np.int16)),
+                 pa.array([row.tobytes() for row in table], pa.binary())],
+                ["fp", "d0", "table"],
+            )
+
+    return fps.select("fp").mapInArrow(measured, "fp long, d0 short, table binary")
+
+
+def passed(table: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
+    """Of pairs of rows those that no coordinate of the table discards, by number."""
+    left = np.arange(len(a))
+    for coordinate in range(1, table.shape[1]):
+        if not len(left):
+            break
+        own = table[a[left], coordinate] - table[b[left], coordinate]
+        left = left[np.abs(own) <= bits]
+    return left
+
+
 def linked_rows(
     cell: np.ndarray, fps: np.ndarray, table: np.ndarray, bits: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -115,12 +145,8 @@ def linked_rows(
         at, near = at[keep], near[keep]
         keep = (cell[at] == cell[near]) & (table[near, 0] - table[at, 0] <= bits)
         at, near = at[keep], near[keep]
-        a, b = at, near
-        for coordinate in range(1, table.shape[1]):
-            if not len(a):
-                break
-            keep = np.abs(table[a, coordinate] - table[b, coordinate]) <= bits
-            a, b = a[keep], b[keep]
+        keep = passed(table, at, near, bits)
+        a, b = at[keep], near[keep]
         keep = np.bitwise_count(fps[a] ^ fps[b]) <= bits
         a, b = a[keep], b[keep]
         keep = root[a] != root[b]
@@ -193,20 +219,23 @@ def linked_fingerprints(
         "fp", "choice", "part",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
     )
-    references = pivot_fingerprints(pivots)
-    first = F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(int(references[0])))))
+    # Of those that meet at all; the others need no distances.
+    table = stored(distance_table(met.select("fp").distinct(), pivots), "distances")
     cell = ["choice", "part", "low", "high"]
     ordered = (
-        cells.select("fp", F.xxhash64(*cell).alias("cell"), *cell, first.alias("d0"))
+        cells.join(table, "fp")
+        .select("fp", F.xxhash64(*cell).alias("cell"), *cell, "d0", "table")
         .repartition(*cell)
         .sortWithinPartitions("cell", *cell, "d0", "fp")
-        .select("fp", *cell)
+        .select("fp", *cell, "table")
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             got = [batch.column(n).to_numpy(zero_copy_only=False) for n in range(5)]
+            held_bytes = b"".join(batch.column(5).to_pylist())
+            got.append(np.frombuffer(held_bytes, np.int8).reshape(-1, pivots))
             if held is not None:
                 got = [np.concatenate(pair) for pair in zip(held, got)]
             if not len(got[0]):
@@ -221,7 +250,7 @@ def linked_fingerprints(
 
     def _cell_numbers(got: list[np.ndarray]) -> np.ndarray:
         new = np.zeros(len(got[0]), bool)
-        for column in got[1:]:
+        for column in got[1:5]:
             new[1:] |= column[1:] != column[:-1]
         return np.cumsum(new)
 
@@ -229,8 +258,7 @@ def linked_fingerprints(
         marks = got[0].astype(np.int64).view(np.uint64)
         if len(marks) < 2:
             return
-        table = pivot_distances(marks, references)
-        a, b = linked_rows(_cell_numbers(got), marks, table, bits)
+        a, b = linked_rows(_cell_numbers(got), marks, got[5], bits)
         yield pa.RecordBatch.from_arrays(
             [pa.array(marks[a].view(np.int64)), pa.array(marks[b].view(np.int64))], ["a", "b"]
         )
