@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -58,14 +57,9 @@ def with_words(documents: DataFrame, text: Column, separators: str) -> DataFrame
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="waymark-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    """The folder that driver and executors share; the warehouse where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

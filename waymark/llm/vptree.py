@@ -26,9 +26,6 @@ LEAF_VECTORS = 128
 # Results kept beyond those asked for until scores are computed in a fixed order.
 SPARE = 12
 
-# Marks an unused place for an id; ids may be negative.
-_ABSENT = np.iinfo(np.int64).min
-
 
 def usable_vectors(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """``id, v, dim``: vectors of finite components, at least one of them not zero."""
@@ -80,8 +77,11 @@ def build_tree(vectors: np.ndarray, longest: float, leaf: int = LEAF_VECTORS) ->
     }
 
 
-def search_tree(tree: dict, queries: np.ndarray, k: int, factor: float) -> np.ndarray:
-    """The ``k`` rows nearest to each query that the search finds (−1 beyond their number)."""
+def search_tree(
+    tree: dict, queries: np.ndarray, k: int, factor: float, visits: np.ndarray | None = None
+) -> np.ndarray:
+    """The ``k`` rows nearest to each query that the search finds (−1 beyond their number).
+    ``visits`` is added the number of leaves that each query was held against."""
     lifted, order = tree["lifted"], tree["order"]
     asked = np.hstack([queries, np.zeros((len(queries), 1))])
     asked_sq, lifted_sq = (asked**2).sum(axis=1), (lifted**2).sum(axis=1)
@@ -99,6 +99,8 @@ def search_tree(tree: dict, queries: np.ndarray, k: int, factor: float) -> np.nd
         number = node_at.get((begin, end))
         if number is None:
             rows = order[begin:end]
+            if visits is not None:
+                visits[who] += 1
             all_reach = np.hstack([reach[who], distances(who, rows)])
             all_found = np.hstack([found[who], np.broadcast_to(rows, (len(who), len(rows)))])
             best = np.argpartition(all_reach, k - 1, axis=1)[:, :k]
@@ -145,13 +147,14 @@ def build_index(
         matrix = np.array(rows["v"].tolist(), float)
         distinct, group = np.unique(matrix, axis=0, return_inverse=True)
         group = group.reshape(-1)
-        ids = np.full((len(distinct), copies), _ABSENT)
+        ids = np.zeros((len(distinct), copies), np.int64)
         order = np.argsort(group, kind="stable")
         nth = np.arange(len(order)) - np.searchsorted(group[order], group[order])
         keep = nth < copies
         ids[group[order][keep], nth[keep]] = rows["id"].to_numpy()[order][keep]
         tree = build_tree(distinct, float(rows["longest"].iloc[0]), leaf)
-        data = _packed(ids=ids, vectors=distinct, **tree)
+        held = np.bincount(group[order][keep], minlength=len(distinct))
+        data = _packed(ids=ids, held=held, vectors=distinct, **tree)
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "tree": [data]})
 
     return dealt.select("dim", "shard", "id", "v", "longest").groupBy("dim", "shard").applyInPandas(
@@ -212,7 +215,8 @@ def nearest_vectors(
         # The same sum in the same order for every pair, so that equal vectors tie exactly.
         score = (ask["vectors"][who] * tree["vectors"][rows]).sum(axis=1)
         ids = tree["ids"][rows]
-        pair, copy = np.nonzero(ids != _ABSENT)
+        # Any number is an id, so how many a vector has is kept beside them.
+        pair, copy = np.nonzero(np.arange(ids.shape[1]) < tree["held"][rows][:, None])
         out = pd.DataFrame({
             "query_id": ask["ids"][who[pair]], "vec_id": ids[pair, copy], "score": score[pair],
         })
