@@ -70,17 +70,28 @@ def _without_hidden(text: Column) -> Column:
 
 def _without_tags(text: Column) -> Column:
     """Tags taken out; what stands after the last end of a tag holds none."""
+    def plainly(t: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(t, BLOCK_TAGS, "\n"), OTHER_TAGS, "")
+
     def cut(t: Column) -> Column:
         tail = F.length(F.substring_index(t, ">", -1))
-        head = F.regexp_replace(F.left(t, F.length(t) - tail), BLOCK_TAGS, "\n")
-        return F.concat(F.regexp_replace(head, OTHER_TAGS, ""), F.right(t, tail))
+        return F.concat(plainly(F.left(t, F.length(t) - tail)), F.right(t, tail))
 
-    return _once(text, cut)
+    open_tail = lambda t: F.contains(F.substring_index(t, ">", -1), F.lit("<"))
+    return _once(text, lambda t: F.when(open_tail(t), cut(t)).otherwise(plainly(t)))
 
 
 def html_lines(html: Column) -> Column:
     """The lines of text of a page: white space closed up, empty lines left out."""
-    text = _without_tags(_without_hidden(F.coalesce(html, F.lit(""))))
+    page = F.coalesce(html, F.lit(""))
+    lowered = F.lower(page)
+    # Whether anything may be opened and not closed; most pages are spared the closer look.
+    broken = F.lit(False)
+    for opening, closing in _HIDDEN_ENDS:
+        broken = broken | F.contains(F.substring_index(lowered, closing, -1), F.lit(opening))
+    text = _without_tags(
+        F.when(broken, _without_hidden(page)).otherwise(F.regexp_replace(page, HIDDEN, ""))
+    )
     lines = F.split(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r"\x20?\n\x20?")
     return F.array_remove(F.transform(lines, lambda line: F.trim(line)), "")
 
