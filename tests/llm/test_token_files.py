@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from waymark.llm import token_files
+from waymark.llm import shared, token_files
 from waymark.llm.registry import TOKENIZER, token_digest
 
 HARD = [
@@ -49,11 +49,11 @@ def test_long_texts_in_parts(monkeypatch):
 
 
 def test_slices_hold_every_row_once(monkeypatch):
-    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
-    monkeypatch.setattr(token_files, "SLICE_ROWS", 3)
+    monkeypatch.setattr(shared, "SLICE_BYTES", 10)
+    monkeypatch.setattr(shared, "SLICE_ROWS", 3)
     texts = ["x" * n for n in (30, 0, 1, 2, 3, 4, 5, 6, 50)] + [None, "a"]
     batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
-    cut = list(token_files.slices(batch))
+    cut = list(shared.slices(batch))
     assert [t for s in cut for t in s.column(1).to_pylist()] == texts
     assert all(s.num_rows == 1 or sum(len(t or "") for t in s.column(1).to_pylist()) <= 10
                for s in cut)

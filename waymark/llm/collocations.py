@@ -20,8 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import UPPER, running_start, stored
-from waymark.llm.token_files import slices
+from waymark.llm.shared import UPPER, running_start, slices, stored, tidy
 
 LEAST_COUNT = 10
 LONGER_PERCENT = 50
@@ -191,7 +190,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 ["lang", "word", "n"],
             )
 
-    found = texts.mapInArrow(count, "lang string, word string, n long")
+    found = texts.mapInArrow(tidy(count), "lang string, word string, n long")
     return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -236,7 +235,7 @@ def encode_streams(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
         words = spark.sparkContext.broadcast(own)
         left -= 1
         out = _FILLED if left else "codes binary"
-        rows = stored(rows.mapInArrow(_filler(words, first, not left), out), "streams")
+        rows = stored(rows.mapInArrow(tidy(_filler(words, first, not left)), out), "streams")
         words.unpersist()
         first = False
     return rows
@@ -398,9 +397,9 @@ def _summed(
                     size = len(held[0][0])
         yield from done()
 
-    packed = rows.mapInArrow(pack, "bucket int, keys binary, counts binary")
+    packed = rows.mapInArrow(tidy(pack), "bucket int, keys binary, counts binary")
     ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(add, "key long, n long")
+    return ordered.mapInArrow(tidy(add), "key long, n long")
 
 
 def _next_phrases(streams: Streams, least: int, places: int) -> DataFrame:
@@ -454,7 +453,7 @@ def _advanced(streams: Streams, phrases: DataFrame) -> Streams:
                 yield from _rows(codes, *((after,) if last else (states, after)))
 
         out = "codes binary, states binary" + ("" if last else ", next binary")
-        rows = stored(rows.mapInArrow(move, out), "states")
+        rows = stored(rows.mapInArrow(tidy(move), out), "states")
         one.unpersist()
     return Streams(rows, level + 1)
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from waymark.llm.shared import quoted, running_start, stored, text_sample
+from waymark.llm.shared import quoted, running_start, slices, stored, text_sample, tidy
 
 UNDETERMINED = "und"
 # The sample a language is learnt from: so many bytes of reference, out of pieces of so many
@@ -28,6 +28,8 @@ SAMPLE_DOCUMENTS = 96
 SAMPLE_CHARS = 4_000
 # Every language has a table in memory; of more than this, one block is held after another.
 BLOCK_LANGUAGES = 32
+# Bytes of text that are parsed together.
+SLICE_BYTES = 8_000_000
 # With fewer texts than this left, each is parsed on its own.
 LANES = 24
 
@@ -290,7 +292,7 @@ def judge_languages(
             batches: Iterator[pa.RecordBatch], block=block, n=n, last=last
         ) -> Iterator[pa.RecordBatch]:
             parser = _parser(block)
-            for batch in batches:
+            for batch in (some for b in batches for some in slices(b, SLICE_BYTES, at)):
                 found = parser.leaders(batch.column(at).to_pylist())
                 kept = batch.columns[: len(columns)]
                 if n:
@@ -314,11 +316,9 @@ def judge_languages(
                     )
 
         if last:
-            return rows.mapInArrow(
-                parse, f"{given}, lang_pred string, score double, determined boolean"
+            return rows.mapInArrow(tidy(parse), f"{given}, lang_pred string, score double, determined boolean"
             )
-        rows = stored(rows.mapInArrow(
-            parse, f"{given}, `{leader}` struct<language:string,least:double,second:double>"
+        rows = stored(rows.mapInArrow(tidy(parse), f"{given}, `{leader}` struct<language:string,least:double,second:double>"
         ), "leaders")
 
 

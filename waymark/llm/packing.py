@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import small, stored
-from waymark.llm.token_files import END_ID, encoder, slices
+from waymark.llm.shared import slices, small, stored, tidy
+from waymark.llm.token_files import END_ID, encoder
 
 CAPACITY = 2048
 
@@ -198,7 +198,7 @@ def cut_pieces(
                     yield pa.RecordBatch.from_arrays(columns, schema=_PIECE_SCHEMA)
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = texts.mapInArrow(cut, _PIECES)
+    found = texts.mapInArrow(tidy(cut), _PIECES)
     return found if keep_ids else found.drop("ids")
 
 
@@ -245,7 +245,7 @@ def pack_documents(
     kinds = {f.name: f.dataType.simpleString() for f in pieces.schema}
     out = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", sequence_id long, offset long"
     nth = (F.col("first") + F.col("nth")).alias("nth")
-    return counted.select(*columns, nth).mapInArrow(place, out)
+    return counted.select(*columns, nth).mapInArrow(tidy(place), out)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import stored, text_sample
-from waymark.llm.token_files import slices
+from waymark.llm.shared import slices, stored, text_sample, tidy
 
 # Kinds in order, their patterns and least lengths.
 ASSIGN = re.compile(
@@ -185,7 +184,7 @@ def train_models(
             ["label", "before", "after", "n"],
         )
 
-    pairs = sample.mapInArrow(label, "label long, before long, after long, n long")
+    pairs = sample.mapInArrow(tidy(label), "label long, before long, after long, n long")
     rows = pairs.groupBy("label", "before", "after").agg(F.sum("n").alias("n")).collect()
     tables = np.zeros((2, _SYMBOLS, _SYMBOLS))
     for r in rows:
@@ -247,8 +246,7 @@ def scan_secrets(
                 )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        scan, f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>"
+    return documents.select("doc_id", "text").mapInArrow(tidy(scan), f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>"
     )
 
 

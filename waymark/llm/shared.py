@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +19,10 @@ ITEM_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ITEM_SEPARATORS_CASED = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
+# Texts that a task works on together.
+SLICE_ROWS = 4_096
+SLICE_BYTES = 4_000_000
+
 # Rows up to which a side of a join counts as small whatever the input; its rows are counted
 # before it is broadcast, and with more of them the join is left to Spark.
 BROADCAST_ROWS = 200_000
@@ -77,6 +85,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over Arrow batches that hands back the memory it no longer uses when it is done.
+
+    Python workers live on for the tasks of other stages, and Arrow and the C library would keep
+    what the largest batches took for each of them.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
+def slices(
+    batch: pa.RecordBatch, size: int | None = None, column: int = 1
+) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``SLICE_ROWS`` rows and, but for a single text that has
+    more, ``size`` bytes (``SLICE_BYTES`` if not given) of the text in a ``column``."""
+    size = size or SLICE_BYTES
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    whole = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = whole[at - 1] if at else 0
+        end = int(np.searchsorted(whole, before + size, "right"))
+        end = min(max(end, at + 1), at + SLICE_ROWS, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its counted ``rows`` allow one."""
     return F.broadcast(df) if rows <= limit else df

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.components import components
-from waymark.llm.shared import quoted, row_keys, stored
+from waymark.llm.shared import quoted, row_keys, stored, tidy
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -85,7 +85,7 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFram
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return given.mapInArrow(hashed, f"doc_id {kind}, k1 long, k2 long, fp long")
+    return given.mapInArrow(tidy(hashed), f"doc_id {kind}, k1 long, k2 long, fp long")
 
 
 def pivot_fingerprints(pivots: int) -> np.ndarray:
@@ -113,7 +113,7 @@ def distance_table(fps: DataFrame, pivots: int) -> DataFrame:
                 ["fp", "d0", "table"],
             )
 
-    return fps.select("fp").mapInArrow(measured, "fp long, d0 short, table binary")
+    return fps.select("fp").mapInArrow(tidy(measured), "fp long, d0 short, table binary")
 
 
 def passed(table: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
@@ -263,7 +263,7 @@ def linked_fingerprints(
             [pa.array(marks[a].view(np.int64)), pa.array(marks[b].view(np.int64))], ["a", "b"]
         )
 
-    return ordered.mapInArrow(link, "a long, b long")
+    return ordered.mapInArrow(tidy(link), "a long, b long")
 
 
 def near_duplicates(

@@ -17,13 +17,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waymark.llm.shared import small, stored, text_sample
+from waymark.llm.shared import slices, small, stored, text_sample, tidy
 
 END_ID = 0
 LEVEL = 3
@@ -34,13 +33,10 @@ SAMPLE_CHARS = 8_000
 BLOCK_BYTES = 1_000_000
 BLOCK_DOCUMENTS = 4_096
 # Runs of text a worker remembers as recent, and their characters, and as many from before.
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 8_000_000
+REMEMBERED = 150_000
+REMEMBERED_CHARS = 3_000_000
 # Texts are cut into runs so many characters at a time.
-PART_CHARS = 4_000_000
-# Texts that a task hands to the encoder together.
-SLICE_ROWS = 4_096
-SLICE_BYTES = 8_000_000
+PART_CHARS = 2_000_000
 
 _BLOCKS = (
     "part int, block int, before long, dictionary_hash string, frames binary, "
@@ -296,21 +292,6 @@ def train_dictionary(
     return bytes(made["dictionary"]) if made else b""
 
 
-def slices(batch: pa.RecordBatch, size: int | None = None) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of at most ``SLICE_ROWS`` rows and, but for a single text that has
-    more, ``size`` bytes (``SLICE_BYTES`` if not given) of ``text``, its second column."""
-    size = size or SLICE_BYTES
-    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-    whole = np.cumsum(sizes)
-    at = 0
-    while at < batch.num_rows:
-        before = whole[at - 1] if at else 0
-        end = int(np.searchsorted(whole, before + size, "right"))
-        end = min(max(end, at + 1), at + SLICE_ROWS, batch.num_rows)
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def _dictionary(data: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(data)} if len(data) >= 8 else {}
 
@@ -380,7 +361,7 @@ def write_token_files(
     # in one task and the sample that sets the ranges holds no whole texts.
     ranged = documents.repartitionByRange("doc_id", F.substring("text", 1, 12))
     ordered = ranged.sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(pack, _BLOCKS).write.parquet(f"{path}/blocks")
+    ordered.mapInArrow(tidy(pack), _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 _BLOCK_SCHEMA = pa.schema([
@@ -454,8 +435,7 @@ def read_token_files(spark: SparkSession, path: str, tokenizer: str) -> DataFram
 
     found = blocks.join(small(parts, parts.count()), "part")
     start = (F.col("start") + F.col("before")).alias("start")
-    return found.select(start, "dictionary_hash", "frames", "documents").mapInArrow(
-        unpack, "doc_id long, start long, n_tokens long, ids binary"
+    return found.select(start, "dictionary_hash", "frames", "documents").mapInArrow(tidy(unpack), "doc_id long, start long, n_tokens long, ids binary"
     )
 
 
