@@ -369,3 +369,24 @@ def test_no_cartesian_product_anywhere(spark, homes, log, cities):
     ):
         plan = final_plan(df)
         assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("block_rows", [2, 8, 4096])
+def test_pairs_of_followers_are_formed_once_and_not_made_distinct(homes, log, block_rows):
+    """Many share all of their channels, some a few; some follow more than one row may hold."""
+    dice = random.Random(block_rows)
+    users = [(n, "AB"[n % 2]) for n in range(60)] + [(3, "A"), (3, "B")]
+    follows = {(n, k) for n in range(60) for k in (range(5) if n % 3 else dice.sample(range(9), 2))}
+    events = log(*[follow(n, k) for n, k in sorted(follows)])
+    made = {(a, b, c) for a, c in users for b, d in users if a > b and c == d
+            and any((a, k) in follows and (b, k) in follows for k in range(9))}
+    found = shared_channel_pairs(homes(*users), events, block_rows)
+    assert rows(found) == sorted(made)
+    last = final_plan(found).split("Generate", 1)[0]
+    assert "Exchange" not in last and "HashAggregate" not in last
+    busy = [follow(n, k) for n in (7, 9, 20) for k in range(3 + n % 2, 80)]
+    more = {(n, k) for n in (7, 9, 20) for k in range(3 + n % 2, 80)} | follows
+    made = {(a, b, c) for a, c in users for b, d in users if a > b and c == d
+            and any((a, k) in more and (b, k) in more for k in range(80))}
+    events = log(*[follow(n, k) for n, k in sorted(follows)], *busy)
+    assert rows(shared_channel_pairs(homes(*users), events, block_rows)) == sorted(made)
