@@ -390,3 +390,29 @@ def test_pairs_of_followers_are_formed_once_and_not_made_distinct(homes, log, bl
             and any((a, k) in more and (b, k) in more for k in range(80))}
     events = log(*[follow(n, k) for n, k in sorted(follows)], *busy)
     assert rows(shared_channel_pairs(homes(*users), events, block_rows)) == sorted(made)
+
+
+@pytest.mark.parametrize("metric", ["planar", "haversine"])
+def test_near_pairs_are_found_in_blocks_and_never_moved(spark, points, monkeypatch, metric):
+    """Small and large users, boxes of one and of many points, and pairs just at the distance."""
+    dice = random.Random(metric)
+    spots = [(u, -33.8 + dice.uniform(-0.03, 0.03), 151.2 + dice.uniform(-0.03, 0.03))
+             for u in range(30) for _ in range(1 + u % 4)]
+    spots += [(u, lat + dice.uniform(-0.0006, 0.0006), lon) for u, lat, lon in spots[::2] * 3]
+    spots += [(40, 0.0, 10.0), (41, 0.0, 10.0 + math.degrees(1.0 / 6371.0)), (42, 0.0, float("nan")),
+              (43, 1.0, 10.0), (44, 1.0 + 1 / 111, 10.0), (None, 0.0, 10.0)]
+    rows_ = [(u, "A", k) for u in range(45) for k in range(3) if u % 5 or k]
+    members = spark.createDataFrame(rows_, "user_id long, city string, k int")
+    expected = {(*p, "A") for p in brute_near([s for s in spots if s[0] is not None], metric, 1.0)}
+    near = lambda rows_: near_pairs(
+        points(*spots), members, ["city", "k"], 1.0, metric, ["city"], rows_
+    )
+    for block_rows in (7, 4096):
+        found = near(block_rows)
+        assert rows(found) == sorted(expected)
+        above = final_plan(found).split("FlatMapGroupsInArrow", 1)[0]
+        assert "Exchange" not in above and "HashAggregate" not in above
+    for limit in ("MOST_POINTS", "MOST_KEYS"):
+        with monkeypatch.context() as patch:
+            patch.setattr(f"waymark.operators.proximity.{limit}", 8 if limit == "MOST_POINTS" else 2)
+            assert rows(near(4096)) == sorted(expected)

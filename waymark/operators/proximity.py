@@ -11,8 +11,9 @@ equals that of comparing all points.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from waymark.functions.distance import (
 )
 from waymark.functions.grid import Grid
 from waymark.operators.blocks import BLOCK_ROWS, block_join
+from waymark.operators.near_blocks import near_in_blocks
 from waymark.sources.staging import staged
 
 # Parts of a grid cell along each axis.
@@ -32,6 +34,14 @@ PARTS = 8
 # Points of one box that meet those of another in one go.
 BLOCK_POINTS = 1024
 
+# Points of a user, and values of keys, that are held in one row.
+MOST_POINTS = 20_000
+MOST_KEYS = 64
+# Points of a block of users, about.
+BLOCK_SPOTS = 500_000
+# Tasks for each core of the session.
+_TASKS = 8
+
 # Cells laid on one another, about, when all boxes look ahead.
 _CELLS_AHEAD = 5
 
@@ -269,31 +279,155 @@ def near_pairs(
     Keys named in ``keep`` stay in the result, which then has a row per pair and value.
 
     The same pairs as forming all pairs that share the keys and then applying ``within_km``,
-    but place is part of the join key from the start, so pairs that share the keys and are
-    far apart are never formed. Boxes are counted before they meet. Where the other keys part
-    few of them, so that people meet more often under each key than in all, boxes meet under
-    ``keep`` and the cell alone, and near pairs are held to the other keys afterwards.
+    but place is part of the search from the start, so pairs that share the keys and are far
+    apart are never formed. Boxes are counted before they meet. Where the other keys part many
+    of them, boxes meet under all keys. Else users are dealt into blocks under ``keep``, and all
+    pairs of two blocks are found, held to the other keys and given out by one task, so that
+    pairs are never moved. Users too large for a row meet the others box by box.
     """
-    boxes = point_boxes(points, km, metric)
     others = [k for k in keys if k not in keep]
-    placed = boxes.join(members.select("user_id", *keys).distinct(), "user_id")
-    counts, meetings, most = _cell_counts(placed, keys)
-    met_keys = list(keys)
+    boxes = point_boxes(points, km, metric)
+    homes = members.where(F.col("user_id").isNotNull())
+    for key in keys:
+        homes = homes.where(F.col(key).isNotNull())
+    wide = boxes.join(homes.select("user_id", *keep).distinct(), "user_id")
+    if others:
+        placed = boxes.join(members.select("user_id", *keys).distinct(), "user_id")
+        counts, meetings, most = _cell_counts(placed, keys)
+        _, wide_meetings, _ = _cell_counts(wide, keep)
+        if wide_meetings >= meetings:
+            pair = ["user_left", "user_right", *keep]
+            met = _meetings(placed, list(keys), km, metric, counts, most, block_rows)
+            return _settled(
+                met.select(*pair, "l_cell", "r_cell", "near"), pair, points, km, metric
+            )
+    large = _large_users(points, homes, others)
+    found = _near_in_blocks(points, homes, keep, others, large, km, metric, block_rows)
+    if large is None:
+        return found
+    return found.unionByName(
+        _near_large(points, wide, homes, large, keys, keep, km, metric, block_rows)
+    )
+
+
+def _large_users(
+    points: DataFrame, homes: DataFrame, others: Sequence[str]
+) -> DataFrame | None:
+    """``user_id`` of those with too many points or keys to be held in a row, if there are any."""
+    n = F.count(F.lit(1)).alias("_n")
+    large = _located(points).groupBy("user_id").agg(n).where(F.col("_n") > MOST_POINTS)
+    large = large.select("user_id")
     if others:
-        homes = members
-        for key in keys:
-            homes = homes.where(F.col(key).isNotNull())
-        wide = boxes.join(homes.select("user_id", *keep).distinct(), "user_id")
-        wide_counts, wide_meetings, wide_most = _cell_counts(wide, keep)
-        if wide_meetings < meetings:
-            placed, counts, most, met_keys = wide, wide_counts, wide_most, list(keep)
-    met = _meetings(placed, met_keys, km, metric, counts, most, block_rows)
+        of_user = homes.select("user_id", *others).distinct().groupBy("user_id").agg(n)
+        large = large.unionByName(of_user.where(F.col("_n") > MOST_KEYS).select("user_id"))
+    large = staged(large.distinct(), "large")
+    return None if large.isEmpty() else large
+
+
+def _near_in_blocks(
+    points: DataFrame,
+    homes: DataFrame,
+    keep: Sequence[str],
+    others: Sequence[str],
+    large: DataFrame | None,
+    km: float,
+    metric: str,
+    block_rows: int,
+) -> DataFrame:
+    """The near pairs of users that are not ``large``."""
+    spots = _located(points)
+    if large is not None:
+        spots = spots.join(large, "user_id", "left_anti")
+    spots = spots.groupBy("user_id").agg(F.collect_set(F.struct("lat", "lon")).alias("spots"))
+    if len(others) == 1:
+        value = F.col(others[0])
+    else:
+        value = F.to_json(F.struct(F.lit(0), *others))
+    if not keep:
+        homes = homes.withColumn("_all", F.lit(0))
+    at = list(keep) or ["_all"]
+    users = homes.groupBy("user_id", *at).agg(F.collect_set(value).alias("shared"))
+    users = users.join(spots, "user_id")
+    full = F.greatest(
+        F.count(F.lit(1)) / block_rows, F.sum(F.size("spots")) / BLOCK_SPOTS
+    )
+    blocks = users.groupBy(*at).agg(F.ceil(full).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("user_id"), "_blocks").cast("int")
+    dealt = users.join(blocks, at).withColumn("_own", own).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    ).select(
+        *at, F.greatest("_own", "_other").alias("_l"), F.least("_own", "_other").alias("_r"),
+        "_own", "user_id", "shared", F.col("spots.lat").alias("lat"), F.col("spots.lon").alias("lon"),
+    )
+    user = dealt.schema["user_id"].dataType.simpleString()
+    spot = f"struct<other:{user},l_lat:double,l_lon:double,r_lat:double,r_lon:double>"
+    kept = ", ".join(f"`{c}` {dealt.schema[c].dataType.simpleString()}" for c in at)
+    check = bool(others)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
+        yield from near_in_blocks(rows, at, km, metric, check)
+
+    tasks = _TASKS * max(1, points.sparkSession.sparkContext.defaultParallelism)
+    near = dealt.repartition(tasks, *at, "_l", "_r").groupBy(*at, "_l", "_r").applyInArrow(
+        found, f"{kept}, one {user}, others array<{user}>, doubts array<{spot}>"
+    )
+    apart = metric_function(metric)
+    measured = F.transform(
+        F.filter("doubts", lambda d: apart(d["l_lat"], d["l_lon"], d["r_lat"], d["r_lon"]) <= km),
+        lambda d: d["other"],
+    )
+    every = F.when(F.size("doubts") == 0, F.col("others")).otherwise(
+        F.concat("others", F.array_distinct(measured))
+    )
+    near = near.select(*keep, "one", F.explode(every).alias("other"))
+    return near.select(
+        F.greatest("one", "other").alias("user_left"),
+        F.least("one", "other").alias("user_right"), *keep,
+    )
+
+
+def _near_large(
+    points: DataFrame,
+    placed: DataFrame,
+    homes: DataFrame,
+    large: DataFrame,
+    keys: Sequence[str],
+    keep: Sequence[str],
+    km: float,
+    metric: str,
+    block_rows: int,
+) -> DataFrame:
+    """The near pairs in which either user is ``large``."""
+    grid = Grid(km, metric)
+    known = placed.join(large.withColumn("large", F.lit(True)), "user_id", "left")
+    around = F.explode(grid.cells_around(F.col("lat_lo"), F.col("lon_lo")))
+    side = lambda df, prefix, *more: df.select(
+        *keep, *[F.col(c).alias(prefix + c) for c in placed.columns if c not in ("cell", *keep)],
+        *more,
+    )
+    l_user, r_user = F.col("l_user_id"), F.col("r_user_id")
+    once = F.when(F.col("large"), l_user > r_user).otherwise(l_user != r_user)
+    possible, certain = reach(km, metric)
+    met = block_join(
+        side(known.where("large"), "l_", F.col("cell").alias("l_cell"), around.alias("cell")),
+        side(known, "r_", "cell", "large"), keys=[*keep, "cell"],
+        spread=["user_id", "lat_lo", "lon_lo"], condition=once & possible, block_rows=block_rows,
+    )
+    first, cell = l_user > r_user, F.col("cell")
     pair = ["user_left", "user_right", *keep]
-    if len(met_keys) == len(keys):
-        return _settled(met.select(*pair, "l_cell", "r_cell", "near"), pair, points, km, metric)
+    met = met.select(
+        F.greatest(l_user, r_user).alias("user_left"),
+        F.least(l_user, r_user).alias("user_right"), *keep,
+        F.when(first, F.col("l_cell")).otherwise(cell).alias("l_cell"),
+        F.when(first, cell).otherwise(F.col("l_cell")).alias("r_cell"),
+        certain.alias("near"),
+    )
     near = _settled(met, pair, points, km, metric)
+    if len(keys) == len(keep):
+        return near
     # Each key of the left person is looked up among those of the right one.
-    mine = members.select("user_id", *keys).distinct()
+    mine = homes.select("user_id", *keys).distinct()
     left = mine.withColumnRenamed("user_id", "user_left")
     right = mine.withColumnRenamed("user_id", "user_right")
     return (
