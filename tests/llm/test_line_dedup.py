@@ -88,3 +88,20 @@ def test_megabytes_of_what_is_never_closed(spark, part):
     found = spark.createDataFrame([(page,)], "html string").select(
         F.get(html_lines(F.col("html")), F.lit(0)).alias("first")).first()
     assert found.first == "start" and time.monotonic() - begin < 10
+
+
+def test_white_space_is_closed_up_without_touching_single_spaces(spark):
+    """A lone space, the most frequent of all, is no match; the lines are those of closing up
+    every run and cutting at line ends with their spaces."""
+    from waymark.llm.line_dedup import WHITE
+
+    dice = random.Random(6)
+    texts = ["".join(dice.choices("ab \t\n\r\x0b\x0c ", k=40)) for _ in range(300)]
+    texts += ["one two three", " \n \n ", "", "\n", " a  b \n c"]
+    page = F.col("t")
+    plainly = F.split(F.regexp_replace(page, r"[\x20\x09\x0B-\x0D]+", " "), r"\x20?\n\x20?")
+    plainly = F.array_remove(F.transform(plainly, lambda x: F.trim(x)), "")
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert df.where(~html_lines(page).eqNullSafe(plainly)).count() == 0
+    one = spark.createDataFrame([("one two three",)], "t string")
+    assert one.select(F.regexp_count(page, F.lit(WHITE))).first()[0] == 0

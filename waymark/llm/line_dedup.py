@@ -26,6 +26,8 @@ BLOCK_TAGS = (
     r"table|tr|td|th|br|main|aside|form|blockquote|pre)\b[^>]*>"
 )
 OTHER_TAGS = r"<[^>]*>"
+# Runs of white space but for a single space.
+WHITE = r"\x20[\x20\x09\x0B-\x0D]+|[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)"
 
 
@@ -92,7 +94,8 @@ def html_lines(html: Column) -> Column:
     text = _without_tags(
         F.when(broken, _without_hidden(page)).otherwise(F.regexp_replace(page, HIDDEN, ""))
     )
-    lines = F.split(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "), r"\x20?\n\x20?")
+    # A lone space is left as it is, and the spaces beside a line end go with the trimming.
+    lines = F.split(F.regexp_replace(text, WHITE, " "), "\n")
     return F.array_remove(F.transform(lines, lambda line: F.trim(line)), "")
 
 
