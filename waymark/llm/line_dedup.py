@@ -26,6 +26,8 @@ BLOCK_TAGS = (
     r"table|tr|td|th|br|main|aside|form|blockquote|pre)\b[^>]*>"
 )
 OTHER_TAGS = r"<[^>]*>"
+# The same parts, tried only where a tag begins.
+_HIDDEN = r"(?is)<(?:script.*?</script>|style.*?</style>|!--.*?-->)"
 # Runs of white space but for a single space.
 WHITE = r"\x20[\x20\x09\x0B-\x0D]+|[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)"
@@ -64,7 +66,7 @@ def _without_hidden(text: Column) -> Column:
     """Scripts, styles and comments taken out, in time that grows with the text alone."""
     for opening, closing in _HIDDEN_ENDS:
         text = _once(text, _set_apart(opening, closing))
-    hidden = F.regexp_replace(text, HIDDEN, "")
+    hidden = F.regexp_replace(text, _HIDDEN, "")
     return _once(hidden, lambda t: F.when(
         F.contains(t, F.lit(f"<{_APART}")), F.replace(t, F.lit(f"<{_APART}"), F.lit("<"))
     ).otherwise(t))
@@ -92,7 +94,7 @@ def html_lines(html: Column) -> Column:
     for opening, closing in _HIDDEN_ENDS:
         broken = broken | F.contains(F.substring_index(lowered, closing, -1), F.lit(opening))
     text = _without_tags(
-        F.when(broken, _without_hidden(page)).otherwise(F.regexp_replace(page, HIDDEN, ""))
+        F.when(broken, _without_hidden(page)).otherwise(F.regexp_replace(page, _HIDDEN, ""))
     )
     # A lone space is left as it is, and the spaces beside a line end go with the trimming.
     lines = F.split(F.regexp_replace(text, WHITE, " "), "\n")
