@@ -7,7 +7,7 @@ import plain
 import pytest
 
 from waymark.llm import collocations as module
-from waymark.llm.collocations import Trie, collocations
+from waymark.llm.collocations import Edges, Trie, collocations
 from waymark.llm.registry import op13_collocations
 
 
@@ -97,3 +97,54 @@ def test_trie_accepts_its_phrases_only():
     known = {tuple(e): n for e, n in zip(edges.tolist(), numbers.tolist())}
     wanted = [known.get((s, c), 0) for s, c in zip(states.tolist(), codes[2:].tolist())]
     assert after.tolist() == wanted + [0, 0]
+
+
+def test_many_blocks_pass_texts_and_streams_once(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_WORDS", 2)
+    monkeypatch.setattr(module, "BLOCK_PHRASES", 3)
+    names, stored = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: names.append(name) or stored(df, name))
+    dice = random.Random(4)
+    rows = [(n, " ".join(dice.choices("abcdef", [6, 5, 4, 3, 2, 1], k=40)), "en", None, None)
+            for n in range(40)]
+    docs = plain.documents(spark, rows).repartition(3)
+    assert found(collocations(docs)) == expected(given(docs))
+    # Once, not once for each block of words or phrases.
+    assert names.count("streams") == 1 and names.count("states") == 1
+
+
+def test_blocks_of_tries_are_one_trie_and_one_at_a_time_in_memory():
+    class Shared:
+        """A broadcast variable as a task has it."""
+
+        _path = "somewhere"
+
+        def __init__(self, made):
+            self.made = made
+
+        @property
+        def value(self):
+            assert not [s for s in every if s is not self and hasattr(s, "_value")]
+            self._value = self.made
+            return self._value
+
+    rng = np.random.default_rng(5)
+    edges = np.unique(rng.integers(1, 60, (2_000, 2)), axis=0)
+    numbers = np.arange(1, len(edges) + 1)
+    cuts = [slice(n, n + 100) for n in range(0, len(edges), 100)]
+    every = [Shared(Trie(edges[c, 0], edges[c, 1], numbers[c])) for c in cuts]
+    ends = [(int(edges[c, 0].min()), int(edges[c, 0].max())) for c in cuts]
+    states = rng.integers(0, 70, 5_000).astype("<i4")
+    codes = rng.integers(0, 70, 5_000).astype("<i4")
+    whole = Trie(edges[:, 0], edges[:, 1], numbers).advance(states, codes, 1)
+    assert Edges(ends, every).advance(states, codes, 1).tolist() == whole.tolist()
+    assert (whole > 0).any() and not [s for s in every if hasattr(s, "_value")]
+
+
+def test_counts_of_many_blocks_need_no_table_of_all_numbers():
+    large = 2**31 - 2
+    chunks = [np.array(c, "<i4") for c in ([0, 3, 3, 5], [large, 0, 3, large], [5, 0], [0])]
+    total = Counter()
+    for numbers, counts in module._tallied(iter(chunks)):
+        total.update(dict(zip(numbers.tolist(), counts.tolist())))
+    assert total == {3: 3, 5: 2, large: 2}

@@ -3,14 +3,14 @@
 Words are counted first. Texts then become streams of codes of the frequent words; all else is
 a break, since no phrase around it can be frequent. Candidates of a level are the phrases that
 stand in the streams often enough and whose parts are frequent (Apriori). They are broadcast as
-the next edges of a trie, in double arrays and in blocks of bounded size; the states of all
-places of a stream advance together, a word a level, and the accepting states they end in are
-counted per task and summed up over tasks.
+the next edges of a trie, in double arrays and in blocks of bounded size, of which a task holds
+one at a time; the states of all places of a stream advance together, a word a level, and the
+accepting states they end in are counted per task and summed up over tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,12 +28,16 @@ BEST = 2_000
 NO_LANGUAGE = "und"
 # Words of one broadcast vocabulary, and phrases of one broadcast trie.
 BLOCK_WORDS = 500_000
-BLOCK_PHRASES = 1_000_000
+BLOCK_PHRASES = 500_000
 # Bytes of text a task cuts into words together, codes it looks through together, and codes of
 # a row of the stored streams; writers hold some hundred rows at a time.
 SLICE_BYTES = 4_000_000
 CHUNK_CODES = 1_000_000
 ROW_CODES = 8_192
+# Codes that are looked through together where tries are read block by block, and places that
+# move on together.
+SWEEP_CODES = 2_000_000
+STEP_PLACES = 250_000
 # Keys of a bucket, about, whose counts are summed up together.
 BUCKET_KEYS = 500_000
 # Parts of a language that are ranked by themselves first.
@@ -84,7 +88,10 @@ class Level:
         at, bases = slots
         own_bases = np.zeros(max(int(firsts[-1]), 1), np.int64)
         own_bases[groups] = bases
-        made = cls(firsts, own_bases, *(np.full(size, -1, np.int32) for _ in range(3)))
+        made = cls(
+            firsts.astype(np.int32), own_bases.astype(np.int32),
+            *(np.full(size, -1, np.int32) for _ in range(3)),
+        )
         made.parents[at], made.symbols[at], made.states[at] = parents[order], symbols[order], order
         return made
 
@@ -137,17 +144,62 @@ class Trie:
     def __init__(self, states: np.ndarray, codes: np.ndarray, numbers: np.ndarray):
         self._states, at = np.unique(states, return_inverse=True)
         self._level = Level.build(at, codes, len(self._states))
-        self._numbers = numbers
+        self._numbers = numbers.astype(np.int32)
+
+    def _after(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The numbers of the phrases that states and codes make, 0 where there is none."""
+        own = np.minimum(np.searchsorted(self._states, states), len(self._states) - 1)
+        known = np.flatnonzero(self._states[own] == states)
+        edge = self._level.step(own[known], codes[known].astype(np.int64))
+        found = np.zeros(len(states), np.int32)
+        found[known[edge >= 0]] = self._numbers[edge[edge >= 0]]
+        return found
+
+    def move(
+        self, after: np.ndarray, states: np.ndarray, codes: np.ndarray, nth: int, at: np.ndarray
+    ) -> None:
+        """Notes in ``after`` the states of the places ``at`` that have a phrase here."""
+        for begin in range(0, len(at), STEP_PLACES):
+            some = at[begin:begin + STEP_PLACES]
+            found = self._after(states[some], codes[some + nth])
+            after[some[found > 0]] = found[found > 0]
 
     def advance(self, states: np.ndarray, codes: np.ndarray, nth: int) -> np.ndarray:
         """The states after the word ``nth`` places on, 0 where there is no such phrase."""
-        after = np.zeros(len(states), np.int64)
+        after = np.zeros(len(states), np.int32)
+        self.move(after, states, codes, nth, np.flatnonzero(states[: max(len(states) - nth, 0)]))
+        return after
+
+
+def _let_go(shared: Broadcast) -> None:
+    """Frees a task's copy of a broadcast value; it is read again from the executor's disk where
+    it is wanted again. Workers live on, and would keep each value they have used."""
+    if shared._path is not None:
+        vars(shared).pop("_value", None)
+
+
+@dataclass
+class Edges:
+    """One level of candidates in blocks: the least and greatest state before each, and its
+    trie."""
+
+    ends: list[tuple[int, int]]
+    tries: list[Broadcast]
+
+    def advance(self, states: np.ndarray, codes: np.ndarray, nth: int) -> np.ndarray:
+        """As of one trie of all blocks. Of many, one at a time is in memory, and is asked for
+        the places alone whose states it has."""
+        if len(self.tries) == 1:
+            return self.tries[0].value.advance(states, codes, nth)
+        after = np.zeros(len(states), np.int32)
         at = np.flatnonzero(states[: max(len(states) - nth, 0)])
-        own = np.minimum(np.searchsorted(self._states, states[at]), len(self._states) - 1)
-        known = self._states[own] == states[at]
-        at, own = at[known], own[known]
-        edge = self._level.step(own, codes[at + nth].astype(np.int64))
-        after[at[edge >= 0]] = self._numbers[edge[edge >= 0]]
+        at = at[np.argsort(states[at], kind="stable")]
+        own = states[at]
+        for (least, greatest), trie in zip(self.ends, self.tries):
+            mine = at[np.searchsorted(own, least):np.searchsorted(own, greatest, "right")]
+            if len(mine):
+                trie.value.move(after, states, codes, nth, mine)
+                _let_go(trie)
         return after
 
 
@@ -215,13 +267,11 @@ def encode_streams(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     are not in one piece, for words that are not in ``vocabulary`` (``lang, word, code``), and
     at the end of each row.
 
-    With more words than a block, the texts pass once per block, each filling in its codes.
+    The texts pass once, whatever the words; with more words than a block, a task holds one block
+    at a time.
     """
     spark = texts.sparkSession
-    rows, first = texts, True
-    left = -(-(vocabulary.agg(F.max("code")).first()[0] or 0) // BLOCK_WORDS)
-    if not left:
-        return spark.createDataFrame([], "codes binary")
+    blocks: list[tuple[frozenset[str], Broadcast]] = []
     for block in _blocks(vocabulary, "code", BLOCK_WORDS):
         # Bounded by the size of a block.
         table = block.select("lang", "word", "code").toArrow()
@@ -230,50 +280,40 @@ def encode_streams(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
         for n, language in enumerate(languages.dictionary.to_pylist()):
             mine = table.filter(pa.array(languages.indices.to_numpy() == n))
             own[language] = (
-                mine["word"].combine_chunks().cast(pa.large_string()), mine["code"].to_numpy()
+                mine["word"].combine_chunks().cast(pa.large_string()),
+                mine["code"].to_numpy().astype("<i4"),
             )
-        words = spark.sparkContext.broadcast(own)
-        left -= 1
-        out = _FILLED if left else "codes binary"
-        rows = stored(rows.mapInArrow(tidy(_filler(words, first, not left)), out), "streams")
+        blocks.append((frozenset(own), spark.sparkContext.broadcast(own)))
+    if not blocks:
+        return spark.createDataFrame([], "codes binary")
+    rows = stored(texts.mapInArrow(tidy(_filler(blocks)), "codes binary"), "streams")
+    for _, words in blocks:
         words.unpersist()
-        first = False
     return rows
 
 
-_FILLED = "lang string, joined binary, codes binary"
-
-
-def _filler(words: Broadcast, first: bool, last: bool) -> Callable:
-    """Fills in the codes of a block of words: of ``lang, text`` if it is the first, and to
-    ``codes`` if it is the last."""
+def _filler(blocks: Sequence[tuple[frozenset[str], Broadcast]]) -> Callable:
+    """Turns ``lang, text`` into rows of ``codes``, by blocks of words and the languages of
+    each."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (
-            ((language, joined, None) for language, joined in _by_language(batches)) if first
-            else ((r["lang"], r["joined"], r["codes"]) for b in batches
-                  for n in range(b.num_rows) for r in b.slice(n, 1).to_pylist())
-        )
-        for language, joined, before in rows:
+        for language, joined in _by_language(batches):
             own, pieces = _words(joined)
             own = own.dictionary_encode()
-            known, numbers = words.value.get(language, (pa.array([], pa.large_string()), None))
-            at = pc.index_in(own.dictionary, value_set=known)
-            code_of = np.zeros(len(at), "<i4")
-            if numbers is not None:
+            code_of = np.zeros(len(own.dictionary), "<i4")
+            for languages, words in blocks:
+                if language not in languages:
+                    continue
+                known, numbers = words.value[language]
+                at = pc.index_in(own.dictionary, value_set=known)
                 met = pc.is_valid(at).to_numpy(zero_copy_only=False)
                 code_of[met] = numbers[at.drop_null().to_numpy()]
-            codes = code_of[own.indices.to_numpy()]
-            if before is not None:
-                codes = np.maximum(codes, np.frombuffer(before, "<i4"))
-            if last:
-                yield from _rows(_stream(codes, pieces))
-            else:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([language], pa.string()), pa.array([joined], pa.binary()),
-                     pa.array([codes.tobytes()], pa.binary())],
-                    ["lang", "joined", "codes"],
-                )
+                if len(blocks) > 1:
+                    del known, numbers
+                    _let_go(words)
+            yield from _rows(_stream(code_of[own.indices.to_numpy()], pieces))
+        for _, words in blocks:
+            _let_go(words)
 
     return fill
 
@@ -295,22 +335,21 @@ def _rows(codes: np.ndarray, *beside: np.ndarray) -> Iterator[pa.RecordBatch]:
         end = int(ends[at]) if at < len(ends) else len(codes)
         yield pa.RecordBatch.from_arrays(
             [pa.array([c[begin:end].tobytes()], pa.binary()) for c in (codes, *beside)],
-            ["codes", "states", "next"][: 1 + len(beside)],
+            ["codes", "states"][: 1 + len(beside)],
         )
         begin = end
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Rows end to end, some ``CHUNK_CODES`` codes at a time: the codes, and what stands beside
+def _chunks(batches: Iterator[pa.RecordBatch], n_codes: int) -> Iterator[list[np.ndarray]]:
+    """Rows end to end, some ``n_codes`` codes at a time: the codes, and what stands beside
     them."""
     held: list[list[np.ndarray]] = []
     size = 0
     for batch in batches:
         for row in zip(*batch.columns):
-            held.append([np.frombuffer(row[0].as_buffer(), "<i4"),
-                         *(np.frombuffer(c.as_buffer(), "<i8") for c in row[1:])])
+            held.append([np.frombuffer(c.as_buffer(), "<i4") for c in row])
             size += len(held[-1][0])
-            if size >= CHUNK_CODES:
+            if size >= n_codes:
                 yield [np.concatenate(c) for c in zip(*held)]
                 held, size = [], 0
     if held:
@@ -320,25 +359,36 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
 @dataclass
 class Streams:
     """Streams with the states their places are in: the codes, or ``states`` if there is such a
-    column, moved on by ``tries``, one for each level since."""
+    column, moved on by ``edges``, one for each level since."""
 
     rows: DataFrame
     level: int = 1
-    tries: tuple[Broadcast, ...] = ()
+    edges: tuple[Edges, ...] = ()
 
     def reader(self) -> Callable[[Iterator[pa.RecordBatch]], Iterator[tuple]]:
         """What gives a task the codes and states of its chunks."""
-        first, tries = self.level - len(self.tries), self.tries
+        first, edges = self.level - len(self.edges), self.edges
+        many = any(len(e.tries) > 1 for e in edges)
+        n_codes = SWEEP_CODES if many else CHUNK_CODES
 
         def states(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for codes, *beside in _chunks(batches):
-                own = beside[0] if beside else codes.astype(np.int64)
-                for n, trie in enumerate(tries):
-                    own = trie.value.advance(own, codes, first + n)
+            for codes, *beside in _chunks(batches, n_codes):
+                own = beside[0] if beside else codes
+                for n, level in enumerate(edges):
+                    own = level.advance(own, codes, first + n)
                 yield codes, own
+            for level in edges:
+                for trie in level.tries:
+                    _let_go(trie)
 
         return states
 
+    def done(self) -> None:
+        """Takes the tries back from the executors."""
+        for level in self.edges:
+            for trie in level.tries:
+                trie.unpersist()
+
 
 def _summed(
     rows: DataFrame, keyed: Callable[[Iterator[pa.RecordBatch]], Iterator], least: int, places: int
@@ -411,7 +461,7 @@ def _next_phrases(streams: Streams, least: int, places: int) -> DataFrame:
         for codes, states in read(batches):
             n = max(len(codes) - level, 0)
             safe = np.flatnonzero((states[:n] > 0) & (states[1 : n + 1] > 0))
-            keys = states[safe] * 2**32 + codes[safe + level]
+            keys = states[safe].astype(np.int64) * 2**32 + codes[safe + level]
             yield np.unique(keys, return_counts=True)
 
     met = stored(_summed(streams.rows, keyed, least, places).select("key"), "phrases")
@@ -422,40 +472,47 @@ def _next_phrases(streams: Streams, least: int, places: int) -> DataFrame:
     )
 
 
-def _advanced(streams: Streams, phrases: DataFrame) -> Streams:
-    """The streams a level on. One block of phrases is kept as a trie that tasks apply as they
-    go; of more, each moves the states of its own phrases, and the states are stored."""
+def _advanced(streams: Streams, phrases: DataFrame, again: bool = False) -> Streams:
+    """The streams a level on, by tries of blocks of phrases that tasks apply as they go. Of more
+    than one block the states are found once and stored, if they are to be used ``again``."""
     spark = phrases.sparkSession
-    blocks = list(_blocks(phrases, "number", BLOCK_PHRASES))
-
-    def trie(block: DataFrame) -> Broadcast:
+    edges = Edges([], [])
+    for block in _blocks(phrases, "number", BLOCK_PHRASES):
         # Bounded by the size of a block.
         table = block.select("state", "code", "number").toArrow()
-        return spark.sparkContext.broadcast(
-            Trie(*(table[c].to_numpy() for c in ("state", "code", "number")))
-        )
-
-    if len(blocks) == 1:
-        return Streams(streams.rows, streams.level + 1, (*streams.tries, trie(blocks[0])))
-    rows, level, read = streams.rows, streams.level, streams.reader()
-    for n, block in enumerate(blocks):
-        one, last = trie(block), n + 1 == len(blocks)
-
-        def move(
-            batches: Iterator[pa.RecordBatch], n=n, one=one, last=last
-        ) -> Iterator[pa.RecordBatch]:
-            if n == 0:
-                chunks = ((c, s, np.zeros(len(c), np.int64)) for c, s in read(batches))
-            else:
-                chunks = _chunks(batches)
-            for codes, states, after in chunks:
-                after = np.maximum(after, one.value.advance(states, codes, level))
-                yield from _rows(codes, *((after,) if last else (states, after)))
-
-        out = "codes binary, states binary" + ("" if last else ", next binary")
-        rows = stored(rows.mapInArrow(tidy(move), out), "states")
-        one.unpersist()
-    return Streams(rows, level + 1)
+        states, codes, numbers = (table[c].to_numpy() for c in table.column_names)
+        edges.ends.append((int(states.min()), int(states.max())))
+        edges.tries.append(spark.sparkContext.broadcast(Trie(states, codes, numbers)))
+    moved = Streams(streams.rows, streams.level + 1, (*streams.edges, edges))
+    if len(edges.tries) == 1 or not again:
+        return moved
+    read = moved.reader()
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for codes, states in read(batches):
+            yield from _rows(codes, states)
+
+    out = "codes binary, states binary"
+    rows = stored(streams.rows.mapInArrow(tidy(move), out), "states")
+    moved.done()
+    return Streams(rows, moved.level)
+
+
+def _tallied(chunks: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers over 0 and how often each stands. Those of one block of phrases are counted in a
+    table for all chunks, those of many chunk by chunk: a table of all would grow with them."""
+    total = np.zeros(0, np.int64)
+    for numbers in chunks:
+        numbers = numbers[numbers > 0]
+        if len(numbers) and numbers.max() > BLOCK_PHRASES:
+            yield np.unique(numbers, return_counts=True)
+            continue
+        accepted = np.bincount(numbers)
+        if len(accepted) > len(total):
+            total = np.pad(total, (0, len(accepted) - len(total)))
+        total[: len(accepted)] += accepted
+    met = np.flatnonzero(total)
+    yield met, total[met]
 
 
 def _counted(streams: Streams, places: int) -> DataFrame:
@@ -463,20 +520,7 @@ def _counted(streams: Streams, places: int) -> DataFrame:
     read = streams.reader()
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        # One count per task, of bounded size: numbers so far in it.
-        total = np.zeros(0, np.int64)
-        for _, states in read(batches):
-            accepted = np.bincount(states[states > 0])
-            if len(accepted) > len(total):
-                total = np.pad(total, (0, len(accepted) - len(total)))
-            total[: len(accepted)] += accepted
-            if len(total) > BLOCK_PHRASES:
-                # Numbers of many blocks: counted chunk by chunk.
-                met = np.flatnonzero(total)
-                yield met, total[met]
-                total = np.zeros(0, np.int64)
-        met = np.flatnonzero(total)
-        yield met, total[met]
+        yield from _tallied(states for _, states in read(batches))
 
     found = _summed(streams.rows, keyed, 1, places)
     return stored(found.select(F.col("key").alias("number"), "n"), "counts")
@@ -527,7 +571,7 @@ def collocations(
     pairs = _next_phrases(one, least_count, places)
     if pairs.isEmpty():
         return documents.sparkSession.createDataFrame([], _OUT)
-    two_words = _advanced(one, pairs)
+    two_words = _advanced(one, pairs, again=True)
     two = pairs.select(F.col("state").alias("c1"), F.col("code").alias("c2"), "number").join(
         _counted(two_words, places), "number"
     )
@@ -535,9 +579,12 @@ def collocations(
     if triples.isEmpty():
         three = two.select("c1", "c2", F.col("c2").alias("c3"), "n").limit(0)
     else:
-        three = triples.join(_counted(_advanced(two_words, triples), places), "number").select(
+        three_words = _advanced(two_words, triples)
+        three = triples.join(_counted(three_words, places), "number").select(
             F.col("state").alias("number"), F.col("code").alias("c3"), "n"
         ).join(two.select("number", "c1", "c2"), "number").select("c1", "c2", "c3", "n")
+        three_words.done()
+    two_words.done()
     two = stored(two.drop("number"), "pairs")
     three = stored(three, "triples")
 
