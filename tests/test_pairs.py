@@ -416,3 +416,39 @@ def test_near_pairs_are_found_in_blocks_and_never_moved(spark, points, monkeypat
         with monkeypatch.context() as patch:
             patch.setattr(f"waymark.operators.proximity.{limit}", 8 if limit == "MOST_POINTS" else 2)
             assert rows(near(4096)) == sorted(expected)
+
+
+@pytest.mark.parametrize("metric", ["planar", "haversine"])
+def test_contacts_are_left_out_in_blocks_and_no_pair_is_moved(spark, points, monkeypatch, metric):
+    dice = random.Random(metric)
+    spots = [(u, -33.8 + dice.uniform(-0.02, 0.02), 151.2 + dice.uniform(-0.02, 0.02))
+             for u in range(30) for _ in range(1 + u % 4)]
+    # Two at the distance to the last bit, where blocks leave the points to be measured.
+    spots += [(40, 0.0, 10.0), (41, 0.0, 10.0 + math.degrees(1.0 / 6371.0)), (43, 1.0, 10.0),
+              (44, 1.0 + 1 / 111, 10.0), (45, 1.0, 10.001)]
+    rows_ = [(u, city, k) for u in range(50) for city in "AB"[: 1 + (u % 7 == 0)] for k in range(3)
+             if u % 5 or k]
+    members = spark.createDataFrame(rows_, "user_id long, city string, k int")
+    near = lambda rows_: near_pairs(
+        points(*spots), members, ["city", "k"], 1.0, metric, ["city"], rows_
+    )
+    every = rows(near(4096))
+    met = sorted({(a, b) for a, b, _ in every})
+    known = {p for n, p in enumerate(met) if n % 3 == 0} | {(41, 40), (45, 43), (44, 7), (60, 2)}
+    edges = [*known, *[(b, a) for a, b in known], (3, 3), *list(known)[:5]]
+    # An edge one way only, the other way than pairs are given, meets none.
+    edges += [(b, a) for a, b in met[1:2]] + [(None, 5), (5, None)]
+    edges = spark.createDataFrame(edges, "user_id long, contact_id long")
+    wanted = [p for p in every if p[:2] not in known]
+    assert 0 < len(wanted) < len(every) and any(p[2] == "B" for p in every)
+    for block_rows in (7, 4096):
+        found = exclude_contacts(near(block_rows), edges)
+        assert rows(found) == wanted
+        above = final_plan(found).split("FlatMapGroupsInArrow", 1)[0]
+        assert "Exchange" not in above and "Join" not in above
+    # Pairs that were changed after they were found are joined.
+    changed = near(4096).where(F.col("user_left") > 3)
+    assert rows(exclude_contacts(changed, edges)) == [p for p in wanted if p[0] > 3]
+    with monkeypatch.context() as patch:
+        patch.setattr("waymark.operators.proximity.MOST_POINTS", 8)
+        assert rows(exclude_contacts(near(7), edges)) == wanted

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,3 +122,31 @@ def _ordered_blocks(
     cells = ["_l", "_r", "_l_part", "_r_part"]
     lefts, rights = dealt(left, "l_", "_l", "_r"), dealt(right, "r_", "_r", "_l")
     return lefts.join(rights, [*keys, *cells]).where(condition).drop(*cells)
+
+
+def without_edges(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (``user_left, user_right, …``) no edge (``user_id, contact_id``)
+    leads along.
+
+    Pairs that are formed block by block, and are as their operator gave them, are formed without
+    these, so that the edges are moved and the pairs are not. Others are joined with the edges.
+    """
+    formed = vars(pairs).get("_formed_without")
+    if formed is not None and _same_ids(pairs, edges):
+        return formed(edges)
+    known = edges.select(
+        F.col("user_id").alias("user_left"), F.col("contact_id").alias("user_right")
+    )
+    return pairs.join(known, ["user_left", "user_right"], "left_anti")
+
+
+def formed_without(formed: Callable[[DataFrame | None], DataFrame]) -> DataFrame:
+    """The pairs ``formed(None)``, which ``without_edges`` replaces by those it gives of edges."""
+    pairs = formed(None)
+    pairs._formed_without = formed
+    return pairs
+
+
+def _same_ids(pairs: DataFrame, edges: DataFrame) -> bool:
+    kinds = [pairs.schema[c].dataType for c in ("user_left", "user_right")]
+    return kinds == [edges.schema[c].dataType for c in ("user_id", "contact_id")]

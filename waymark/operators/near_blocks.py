@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from waymark.functions.distance import EARTH_RADIUS_KM, KM_PER_DEGREE
 from waymark.functions.grid import MARGIN
@@ -196,13 +197,32 @@ def _sharing(left: pa.Array, right: pa.Array) -> Callable[[int], np.ndarray]:
     return among
 
 
+def _barred(known: pa.Table, left: pa.Array, right: pa.Array, marks: _Marks) -> np.ndarray:
+    """The places of known pairs in the table of marks, whichever of the two is on the left."""
+    found = []
+    for one, other in (("user_id", "_contact"), ("_contact", "user_id")):
+        l = pc.index_in(known.column(one).combine_chunks(), value_set=left)
+        r = pc.index_in(known.column(other).combine_chunks(), value_set=right)
+        l, r = (pc.fill_null(at, -1).to_numpy().astype(np.int64) for at in (l, r))
+        here = (l >= 0) & (r >= 0)
+        found.append(l[here] * marks.width + r[here])
+    return np.concatenate(found)
+
+
 def near_in_blocks(
     rows: pa.Table, at: list[str], km: float, metric: str, check: bool
 ) -> Iterator[pa.RecordBatch]:
     """``at…, one, others, doubts``: a user of one block with those of the other that are near
     and share a value. Rows have ``at…, _l, _r, _own, user_id, shared, lat, lon``. Of pairs in
-    doubt their points are given, to be measured by the caller."""
+    doubt their points are given, to be measured by the caller. Where there is a column
+    ``_contact``, rows that have one are pairs with ``user_id`` that are left out."""
     l_block, r_block = rows.column("_l")[0].as_py(), rows.column("_r")[0].as_py()
+    known = None
+    if "_contact" in rows.column_names:
+        paired = pc.is_valid(rows.column("_contact"))
+        known, rows = rows.filter(paired), rows.filter(pc.invert(paired))
+        if not len(rows):
+            return
     own = rows.column("_own").to_numpy()
     measure, same = _Metric(km, metric), l_block == r_block
     left = _Side(rows.filter(pa.array(own == l_block)), measure)
@@ -218,6 +238,7 @@ def near_in_blocks(
     marks = _Marks(left, right, measure)
     marks.search(span)
     among = _sharing(left.shared, right.shared) if check else None
+    barred = _barred(known, left.users, right.users, marks) if known is not None else None
     user = left.users.type
     spot = pa.struct([("other", user), *[(c, pa.float64()) for c in (
         "l_lat", "l_lon", "r_lat", "r_lon")]])
@@ -227,6 +248,8 @@ def near_in_blocks(
     if marks.doubts:
         pair, l, r = np.concatenate(marks.doubts, axis=1)
         still = ~marks.flat[pair]
+        if barred is not None:
+            still &= ~np.isin(pair, barred)
         for p, a, b in zip(pair[still], l[still], r[still]):
             i, j = divmod(int(p), marks.width)
             if (not same or j > i) and (among is None or among(i)[j]):
@@ -234,6 +257,9 @@ def near_in_blocks(
                     (right.users[j].as_py(), left.lat[a], left.lon[a], right.lat[b], right.lon[b])
                 )
 
+    if barred is not None:
+        marks.flat[barred] = False
+
     def given(ones: list[int], others: list[np.ndarray]) -> pa.RecordBatch:
         ends = np.cumsum([0, *map(len, others)]).astype(np.int32)
         near = right.users.take(pa.array(np.concatenate(others)))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.functions.events import MESSAGE, SUBSCRIPTION
-from waymark.operators.blocks import BLOCK_ROWS, block_join
+from waymark.operators.blocks import BLOCK_ROWS, block_join, without_edges
 
 # Channels of a user that are held in one row.
 MOST_CHANNELS = 64
@@ -197,8 +197,8 @@ def contact_edges(events: DataFrame) -> DataFrame:
 
 
 def exclude_contacts(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """The pairs no edge connects; ``edges`` is symmetric, as from ``contact_edges``."""
-    known = edges.select(
-        F.col("user_id").alias("user_left"), F.col("contact_id").alias("user_right")
-    )
-    return pairs.join(known, ["user_left", "user_right"], "left_anti")
+    """The pairs no edge connects; ``edges`` is symmetric, as from ``contact_edges``.
+
+    Pairs as ``near_pairs`` gives them are formed without the edges and not moved.
+    """
+    return without_edges(pairs, edges)

@@ -25,7 +25,7 @@ from waymark.functions.distance import (
     unit_sphere,
 )
 from waymark.functions.grid import Grid
-from waymark.operators.blocks import BLOCK_ROWS, block_join
+from waymark.operators.blocks import BLOCK_ROWS, block_join, formed_without, without_edges
 from waymark.operators.near_blocks import near_in_blocks
 from waymark.sources.staging import staged
 
@@ -283,7 +283,8 @@ def near_pairs(
     apart are never formed. Boxes are counted before they meet. Where the other keys part many
     of them, boxes meet under all keys. Else users are dealt into blocks under ``keep``, and all
     pairs of two blocks are found, held to the other keys and given out by one task, so that
-    pairs are never moved. Users too large for a row meet the others box by box.
+    pairs are never moved. Users too large for a row meet the others box by box. What is asked
+    for without the pairs of some edges (``exclude_contacts``) has them left out in these tasks.
     """
     others = [k for k in keys if k not in keep]
     boxes = point_boxes(points, km, metric)
@@ -302,13 +303,18 @@ def near_pairs(
                 met.select(*pair, "l_cell", "r_cell", "near"), pair, points, km, metric
             )
     large = _large_users(points, homes, others)
-    found = _near_in_blocks(points, homes, keep, others, large, km, metric, block_rows)
-    if large is None:
-        return found
-    return found.unionByName(
-        _near_large(points, wide, homes, large, keys, keep, km, metric, block_rows)
+    few = None if large is None else _near_large(
+        points, wide, homes, large, keys, keep, km, metric, block_rows
     )
 
+    def formed(edges: DataFrame | None) -> DataFrame:
+        found = _near_in_blocks(points, homes, keep, others, large, km, metric, block_rows, edges)
+        if few is None:
+            return found
+        return found.unionByName(few if edges is None else without_edges(few, edges))
+
+    return formed_without(formed)
+
 
 def _large_users(
     points: DataFrame, homes: DataFrame, others: Sequence[str]
@@ -333,8 +339,10 @@ def _near_in_blocks(
     km: float,
     metric: str,
     block_rows: int,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
-    """The near pairs of users that are not ``large``."""
+    """The near pairs of users that are not ``large``, but for those that one of the ``edges``
+    connects: these go to the blocks their users are in, each to one task."""
     spots = _located(points)
     if large is not None:
         spots = spots.join(large, "user_id", "left_anti")
@@ -368,6 +376,20 @@ def _near_in_blocks(
         rows = pa.Table.from_batches(list(batches))
         yield from near_in_blocks(rows, at, km, metric, check)
 
+    if edges is not None:
+        # Of pairs the larger id is on the left, so the other half of the edges meets none.
+        known = edges.where(F.col("user_id") > F.col("contact_id")).select(
+            "user_id", F.col("contact_id").alias("_contact")
+        )
+        of = homes.select("user_id", *at).distinct().join(blocks, at).select(
+            "user_id", *at, own.alias("_own")
+        )
+        of_contact = of.withColumnsRenamed({"user_id": "_contact", "_own": "_theirs"})
+        known = known.join(of, "user_id").join(of_contact, ["_contact", *at]).select(
+            *at, F.greatest("_own", "_theirs").alias("_l"), F.least("_own", "_theirs").alias("_r"),
+            "user_id", "_contact",
+        )
+        dealt = dealt.unionByName(known, allowMissingColumns=True)
     tasks = _TASKS * max(1, points.sparkSession.sparkContext.defaultParallelism)
     near = dealt.repartition(tasks, *at, "_l", "_r").groupBy(*at, "_l", "_r").applyInArrow(
         found, f"{kept}, one {user}, others array<{user}>, doubts array<{spot}>"
